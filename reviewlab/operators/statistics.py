@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlab.operators.corpus import bounded_ratio
@@ -171,9 +171,12 @@ def split_distribution(splits: DataFrame) -> DataFrame:
     return subtotals.withColumn("percentage", F.col("n") * 100.0 / whole).drop("_level")
 
 
-def matrix_sparsity(vectors: DataFrame, n_documents: int, n_features: int) -> DataFrame:
+def matrix_sparsity(
+    vectors: DataFrame, n_documents: int | Column, n_features: int | Column
+) -> DataFrame:
     """Share of zero cells in percent, from the stored non-zero entries."""
-    cells = float(n_documents) * float(n_features)
+    sizes = [n if isinstance(n, Column) else F.lit(n) for n in (n_documents, n_features)]
+    cells = sizes[0].cast("double") * sizes[1].cast("double")
     return vectors.agg(F.count("*").alias("nnz")).select(
-        "nnz", ((1.0 - F.col("nnz") / F.lit(cells)) * 100.0).alias("sparsity")
+        "nnz", ((1.0 - F.col("nnz") / cells) * 100.0).alias("sparsity")
     )

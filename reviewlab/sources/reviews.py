@@ -129,11 +129,14 @@ def read_json(
 
 
 def read_nested_json(
-    spark: SparkSession, path: str, fields: T.StructType = REVIEW_FIELDS
+    spark: SparkSession, path: str, fields: T.StructType = REVIEW_FIELDS, file_glob: str = "reviews.json"
 ) -> DataFrame:
-    """`<game_id>/reviews.json` files; the folder name is the game id."""
-    rows = _json_records(spark, f"{path.rstrip('/')}/*/reviews.json", fields, lone_object=False)
-    return _with_game(rows, r"([^/]*)/[^/]*$")
+    """`<game_id>/reviews.json` files; the folder name is the game id.
+
+    Folders written by a partitioned Spark job (`game_id=<id>`) are understood too.
+    """
+    rows = _json_records(spark, f"{path.rstrip('/')}/*/{file_glob}", fields, lone_object=False)
+    return _with_game(rows, r"(?:/game_id=|/)([^/=]*)/[^/]*$")
 
 
 def _with_game(rows: DataFrame, pattern: str) -> DataFrame:
