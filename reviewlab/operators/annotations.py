@@ -118,7 +118,8 @@ def noun_phrases(annotations: DataFrame) -> DataFrame:
     def one(letter: str) -> str:
         return rf"{letter}\x{{1}}[^\x{{2}}]*\x{{2}}"
 
-    pattern = f"(?:{one('D')})?(?:{one('J')})*(?:{one('N')})+"
+    # possessive repeats: nothing to give back, and no recursion per repeat on long runs
+    pattern = f"(?:{one('D')})?(?:{one('J')})*+(?:{one('N')})++"
     found = spelled.select(
         "doc_id",
         "sentence_idx",

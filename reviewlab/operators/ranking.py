@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from reviewlab.functions.keys import leading_bits, seeded_hash
@@ -16,6 +17,9 @@ BUCKET_HEX_DIGITS = 4
 Cuts = Callable[[Column, Column, Column], list[Column]]
 
 
+MAX_GROUPS = 1000
+
+
 def hash_segments(
     df: DataFrame, group: str, key: str, seed: int | str, cuts: Cuts, column: str = "segment"
 ) -> DataFrame:
@@ -25,42 +29,34 @@ def hash_segments(
     own group and of the smallest and largest group. A row gets segment `i` when exactly `i` ends
     lie before it. Rows without a group are dropped.
 
-    Only (group, key) pairs are aggregated, into `groups x buckets` counters; then the few buckets
-    that hold an end are ranked exactly, and the key found there is sent back as a limit to compare
-    with. The rows themselves are never shuffled. Groups are classes: few, of any size and skew.
-    Rows with equal key always share a segment.
+    Two small jobs over (group, key) find the hash at which each segment ends: the first counts rows
+    per group and hash bucket, the second ranks the few buckets that hold an end. The driver gets one
+    row per end. The result then is a plain projection that compares hashes, so the rows are never
+    shuffled, and groups may be of any size and skew. Rows with equal key always share a segment.
     """
     keyed = df.where(F.col(group).isNotNull()).select(
         F.col(group), F.col(key).cast("string").alias("_k"), seeded_hash(seed, F.col(key)).alias("_h")
     )
     keyed = keyed.withColumn("_b", leading_bits(F.col("_h"), BUCKET_HEX_DIGITS))
     ends = _segment_ends(_bucket_spans(keyed, group), group, cuts)
-    inside = ends.where((F.col("_end") > 0) & F.col("_end").between(F.col("_start") + 1, F.col("_stop")))
-
-    one_bucket = Window.partitionBy(group, "_b").orderBy("_h", "_k")
-    ranked = (
-        keyed.join(F.broadcast(inside.select(group, "_b", "_start").distinct()), [group, "_b"])
-        .groupBy(group, "_b", "_start", "_h", "_k")
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_upto", F.col("_start") + F.sum("_rows").over(one_bucket))
-    )
-    reached = (
-        ranked.join(F.broadcast(inside.select(group, "_b", "_i", "_end")), [group, "_b"])
-        .where(F.col("_upto") >= F.col("_end"))
-        .groupBy(group, "_i")
-        .agg(F.min(F.struct("_h", "_k")).alias("_last"))
-    )
-    empty = ends.where((F.col("_end") <= 0) & F.col("_first_bucket")).select(
-        group, "_i", F.struct(F.lit("").alias("_h"), F.lit("").alias("_k")).alias("_last")
-    )
-    limits = (
-        reached.unionByName(empty).groupBy(group).agg(F.collect_list("_last").alias("_limits"))
-    )
-    position = F.struct(
-        seeded_hash(seed, F.col(key)).alias("_h"), F.col(key).cast("string").alias("_k")
-    )
-    passed = F.size(F.filter("_limits", lambda last: position > last))
-    return df.join(F.broadcast(limits), group).withColumn(column, passed).drop("_limits")
+    limits = {(e[group], e["_i"]): ("", "") for e in ends if e["_end"] <= 0}
+    limits.update(_last_rows(keyed, group, [e for e in ends if e["_end"] > 0]))
+    groups = sorted({g for g, _ in limits}, key=str)
+    if not groups:
+        return df.where(F.lit(False)).withColumn(column, F.lit(0))
+    hashed, name = seeded_hash(seed, F.col(key)), F.col(key).cast("string")
+
+    def passed(g) -> Column:
+        after = [
+            ((hashed > h) | ((hashed == h) & (name > k))).cast("int")
+            for (own, _), (h, k) in limits.items() if own == g
+        ]
+        return reduce(lambda x, y: x + y, after)
+
+    segment = F.when(F.col(group) == groups[0], passed(groups[0]))
+    for g in groups[1:]:
+        segment = segment.when(F.col(group) == g, passed(g))
+    return df.where(F.col(group).isNotNull()).withColumn(column, segment)
 
 
 def _bucket_spans(keyed: DataFrame, group: str) -> DataFrame:
@@ -73,24 +69,60 @@ def _bucket_spans(keyed: DataFrame, group: str) -> DataFrame:
         .withColumn("_stop", F.sum("_rows").over(running))
         .withColumn("_start", F.col("_stop") - F.col("_rows"))
         .withColumn("_size", F.sum("_rows").over(whole))
-        .withColumn("_first_bucket", F.col("_start") == 0)
     )
 
 
-def _segment_ends(spans: DataFrame, group: str, cuts: Cuts) -> DataFrame:
+def _segment_ends(spans: DataFrame, group: str, cuts: Cuts) -> list[Row]:
+    """`(group, _b, _start, _i, _end)` for each end, with the bucket that holds its last row."""
     over_all = Window.partitionBy(F.lit(1))
-    sizes = (
-        spans.where("_first_bucket")
-        .select(group, "_size")
-        .withColumn("_smallest", F.min("_size").over(over_all))
-        .withColumn("_largest", F.max("_size").over(over_all))
+    size = F.col("_size")
+    wanted = cuts(size, F.min(size).over(over_all), F.max(size).over(over_all))
+    ends = F.array(*[F.least(c.cast("bigint"), size) for c in wanted])
+    rows = (
+        spans.withColumn("_ends", ends)
+        .select(group, "_b", "_start", "_stop", F.posexplode("_ends").alias("_i", "_end"))
+        .where(
+            F.col("_end").between(F.col("_start") + 1, F.col("_stop"))
+            | ((F.col("_end") <= 0) & (F.col("_start") == 0))
+        )
+        .drop("_stop")
+        .limit(MAX_GROUPS * len(wanted) + 1)
+        .collect()
+    )
+    if len(rows) > MAX_GROUPS * len(wanted):
+        raise ValueError(f"more than {MAX_GROUPS} groups in {group}")
+    return rows
+
+
+def _last_rows(keyed: DataFrame, group: str, ends: list[Row]) -> dict:
+    """Hash and key of the last row before each end, by ranking the buckets of the ends."""
+    if not ends:
+        return {}
+    held = {(e[group], e["_b"], e["_start"]) for e in ends}
+    chosen = reduce(
+        lambda x, y: x | y, [(F.col(group) == g) & (F.col("_b") == b) for g, b, _ in held]
+    )
+    start = reduce(
+        lambda c, h: c.when((F.col(group) == h[0]) & (F.col("_b") == h[1]), F.lit(h[2])), held, F
+    )
+    one_bucket = Window.partitionBy(group, "_b").orderBy("_h", "_k")
+    ranked = (
+        keyed.where(chosen)
+        .groupBy(group, "_b", "_h", "_k")
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_upto", start + F.sum("_rows").over(one_bucket))
     )
-    wanted = [
-        F.least(c.cast("bigint"), F.col("_size"))
-        for c in cuts(F.col("_size"), F.col("_smallest"), F.col("_largest"))
+    firsts = [
+        F.min(
+            F.when(
+                (F.col(group) == e[group]) & (F.col("_b") == e["_b"]) & (F.col("_upto") >= e["_end"]),
+                F.struct("_h", "_k"),
+            )
+        ).alias(f"_{n}")
+        for n, e in enumerate(ends)
     ]
-    per_group = sizes.select(group, F.posexplode(F.array(*wanted)).alias("_i", "_end"))
-    return spans.join(F.broadcast(per_group), group)
+    found = ranked.agg(*firsts).first()
+    return {(e[group], e["_i"]): tuple(found[f"_{n}"]) for n, e in enumerate(ends)}
 
 
 def hash_rank(df: DataFrame, group: str, key: str, seed: int | str, column: str = "rank") -> DataFrame:

@@ -496,7 +496,7 @@ ORACLE["feature_names"] = f"WITH {vocabulary(2)} SELECT idx, term FROM terms"
 ORACLE["top_terms_per_doc"] = f"""WITH {vocabulary(1)}, {TFIDF}, named AS (
     SELECT doc_id, term, round(value, 9) AS value FROM tfidf JOIN terms USING (idx)),
   placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY value DESC, term) AS rank FROM named)
-  SELECT doc_id, rank, term, round(value, 6) AS value FROM placed WHERE rank <= 10"""
+  SELECT doc_id, rank, term, value FROM placed WHERE rank <= 10"""
 ORACLE["vocabulary_by_order"] = f"""WITH {vocabulary(3)}, placed AS (SELECT idx, term, row_number() OVER (
     PARTITION BY len(string_split(term, ' ')) ORDER BY idx) AS p FROM terms) SELECT idx, term FROM placed WHERE p <= 10"""
 ORACLE["matrix_sparsity"] = f"""WITH {vocabulary(1)}, {TFIDF} SELECT count(*) AS nnz,

@@ -251,9 +251,9 @@ def split_table(spark, sf):
 
 @query
 def report_tables(spark, sf):
-    labelled = fx.corpus(spark, sf)
-    balanced = sampling.balance_subsample(labelled)
-    splits = sampling.two_step_split(balanced)
+    labelled = materialize(fx.corpus(spark, sf).select("doc_id", "label"))
+    balanced = materialize(sampling.balance_subsample(labelled))
+    splits = materialize(sampling.two_step_split(balanced))
     return rounded(experiment.report_tables(labelled, balanced, splits))
 
 
@@ -690,7 +690,9 @@ def union_splits(spark, sf):
 @query
 def split_disjoint(spark, sf):
     """Ids that appear in two parts of a split; there must be none."""
-    split = sampling.stratified_split(fx.corpus(spark, sf), 0.2, 0.1).select("doc_id", "set")
+    split = materialize(
+        sampling.stratified_split(fx.corpus(spark, sf), 0.2, 0.1).select("doc_id", "set")
+    )
     parts = {s: split.where(F.col("set") == s).select("doc_id") for s in ("train", "validation", "test")}
     return (
         parts["train"].intersect(parts["test"])
@@ -762,7 +764,8 @@ def top_terms_per_doc(spark, sf):
     terms = _terms(spark, sf, 1)
     tfidf = vectors.tfidf_vectors(_words(spark, sf), terms, (1, 1), fx.SMALL_VOCABULARY)
     # equal values must not be told apart by their last bits
-    return rounded(vectors.top_terms(rounded(tfidf, 9), terms, 10, fx.SMALL_VOCABULARY))
+    top = vectors.top_terms(rounded(tfidf, 9), terms, 10, fx.SMALL_VOCABULARY)
+    return rounded(top, 9)
 
 
 @query
