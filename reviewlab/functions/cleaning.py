@@ -17,8 +17,13 @@ ColumnStep = Callable[[Column], Column]
 
 
 def strip(text: Column) -> Column:
-    """Drop Unicode whitespace at both ends (`trim` alone knows only the space)."""
-    return F.btrim(text, F.lit(fv.WHITESPACE_CHARS))
+    """Drop Unicode whitespace at both ends (`trim` alone knows only the space).
+
+    Trimming a set of characters walks the whole text, so it is done only where an end needs it.
+    """
+    chars = list(fv.WHITESPACE_CHARS)
+    ragged = F.left(text, F.lit(1)).isin(chars) | F.right(text, F.lit(1)).isin(chars)
+    return F.when(ragged, F.btrim(text, F.lit(fv.WHITESPACE_CHARS))).otherwise(text)
 
 
 def remove_html(text: Column) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from reviewlab.functions import fixed_values as fv
 from reviewlab.functions.text import sentence_tokens, sentences, tokens
-from reviewlab.operators.annotations import with_following
 from reviewlab.operators.corpus import bounded_ratio
 from reviewlab.operators.lookup import lookup_join
 
@@ -42,53 +41,99 @@ def _count_if(condition: Column) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False)))
 
 
-def _positive() -> Column:
-    return _count_if(F.col("valence") > 0)
+# A lexicon up to this size is also sent along as a list, to drop other tokens within the row.
+INLINE_WORD_LIMIT = 20_000
 
 
-def _negative() -> Column:
-    return _count_if(F.col("valence") < 0)
+def _inline_words(lexicon: DataFrame, extra: Iterable[str] = ()) -> list[str] | None:
+    """All words that can count, or None when the lexicon is too large to be listed."""
+    terms = lexicon.select(F.lower("term").alias("term")).limit(INLINE_WORD_LIMIT + 1).collect()
+    if len(terms) > INLINE_WORD_LIMIT:
+        return None
+    return sorted({t["term"] for t in terms if t["term"] is not None} | {w.lower() for w in extra})
 
 
-def _token_rows(df: DataFrame, lexicon: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """`(doc_id, *keep, word, valence)`, one row per token and at least one per document."""
-    exploded = df.select("doc_id", *keep, F.explode_outer(tokens(F.col(text))).alias("token"))
-    words = exploded.withColumn("word", F.lower("token")).drop("token")
-    return lookup_join(words, _valences(lexicon, "word", "valence"), ["word"], spread=F.col("doc_id"))
+def _scored_rows(
+    df: DataFrame, word_array: str, lexicon: DataFrame, listed: list[str] | None, negated: str | None = None
+) -> DataFrame:
+    """Unfold `word_array` to `word` and look up its `valence`; a document keeps one row at least.
+
+    Words outside `listed` are dropped before they become rows. Words in the array `negated` are
+    added and marked `is_negated`. The other columns of `df` are kept.
+    """
+    words = F.col(word_array)
+    if listed is not None:
+        words = F.filter(words, lambda w: w.isin(listed))
+
+    def item(is_negated: bool):
+        return lambda w: F.struct(w.alias("word"), F.lit(is_negated).alias("is_negated"))
+
+    items = F.transform(words, item(False))
+    if negated is not None:
+        items = F.concat(items, F.transform(negated, item(True)))
+    kept = [c for c in df.columns if c not in (word_array, negated)]
+    rows = df.select(*kept, F.inline_outer(items))
+    return lookup_join(
+        rows, _valences(lexicon, "word", "valence"), ["word"], spread=F.col("doc_id"),
+        known_rows=None if listed is None else len(listed),
+    )
+
+
+def _document_rows(
+    df: DataFrame, lexicon: DataFrame, text: str, extra: Iterable[str] = ()
+) -> DataFrame:
+    """`(doc_id, token_count, word, is_negated, valence)`"""
+    lowered = df.select("doc_id", tokens(F.lower(text)).alias("_words")).select(
+        "doc_id", F.size("_words").cast("bigint").alias("token_count"), "_words"
+    )
+    return _scored_rows(lowered, "_words", lexicon, _inline_words(lexicon, extra))
+
 
+def _plain(condition: Column) -> Column:
+    """The condition for words as they stand, not as targets of a negation."""
+    return _count_if(~F.col("is_negated") & condition)
 
-def _opinion_columns(n: Column) -> list[Column]:
+
+def _opinion_columns() -> list[Column]:
+    positive, negative = _plain(F.col("valence") > 0), _plain(F.col("valence") < 0)
     return [
-        _positive().alias("positive_word_count"),
-        _negative().alias("negative_word_count"),
-        bounded_ratio(_positive() - _negative(), n).alias("opinion_word_ratio"),
+        positive.alias("positive_word_count"),
+        negative.alias("negative_word_count"),
+        bounded_ratio(positive - negative, F.col("token_count")).alias("opinion_word_ratio"),
     ]
 
 
-def _domain_columns(n: Column, domain: Iterable[str]) -> list[Column]:
-    hits = _count_if(F.col("word").isin(sorted({w.lower() for w in domain})))
+def _domain_columns(domain: Iterable[str]) -> list[Column]:
+    hits = _plain(F.col("word").isin(_lowered(domain)))
+    opinions = _plain(F.col("valence") != 0)
     return [
         hits.alias("domain_word_count"),
-        bounded_ratio(hits, n).alias("domain_word_ratio"),
+        bounded_ratio(hits, F.col("token_count")).alias("domain_word_ratio"),
         (hits > 0).alias("has_domain_words"),
-        ((_positive() + _negative() > 0) & (hits > 0)).alias("domain_opinion_overlap"),
+        ((opinions > 0) & (hits > 0)).alias("domain_opinion_overlap"),
     ]
 
 
-def _valence_columns(n: Column) -> list[Column]:
-    total = F.coalesce(F.sum("valence"), F.lit(0.0))
-    positive, negative = bounded_ratio(_positive(), n), bounded_ratio(_negative(), n)
+def _valence_columns() -> list[Column]:
+    n = F.col("token_count")
+    total = F.coalesce(F.sum(F.when(~F.col("is_negated"), F.col("valence"))), F.lit(0.0))
+    positive, negative = _plain(F.col("valence") > 0), _plain(F.col("valence") < 0)
+    neutral = F.when(n > 0, bounded_ratio(n - positive - negative, n)).otherwise(0.0)
     return [
         (total / F.sqrt(total * total + F.lit(fv.VALENCE_ALPHA))).alias("vader_compound"),
-        positive.alias("vader_positive"),
-        negative.alias("vader_negative"),
-        F.when(n > 0, bounded_ratio(n - _positive() - _negative(), n)).otherwise(0.0).alias("vader_neutral"),
+        bounded_ratio(positive, n).alias("vader_positive"),
+        bounded_ratio(negative, n).alias("vader_negative"),
+        neutral.alias("vader_neutral"),
     ]
 
 
+def _lowered(words: Iterable[str]) -> list[str]:
+    return sorted({w.lower() for w in words})
+
+
 def opinion_words(df: DataFrame, lexicon: DataFrame, text: str = "text") -> DataFrame:
-    rows = _token_rows(df, lexicon, text, [])
-    return rows.groupBy("doc_id").agg(*_opinion_columns(F.count("word")))
+    rows = _document_rows(df, lexicon, text)
+    return rows.groupBy("doc_id", "token_count").agg(*_opinion_columns()).drop("token_count")
 
 
 def domain_vocabulary(
@@ -97,20 +142,17 @@ def domain_vocabulary(
     domain: Iterable[str] = fv.DOMAIN_WORDS_SHORT,
     text: str = "text",
 ) -> DataFrame:
-    rows = _token_rows(df, lexicon, text, [])
-    return rows.groupBy("doc_id").agg(*_domain_columns(F.count("word"), domain))
+    rows = _document_rows(df, lexicon, text, domain)
+    return rows.groupBy("doc_id", "token_count").agg(*_domain_columns(domain)).drop("token_count")
 
 
 def domain_word_frequency(
     df: DataFrame, domain: Iterable[str] = fv.DOMAIN_WORDS_SHORT, text: str = "text"
 ) -> DataFrame:
     """Occurrences of each domain term over all documents (combined on the map side)."""
-    words = df.select(F.explode(tokens(F.lower(text))).alias("term"))
-    return (
-        words.where(F.col("term").isin(sorted({w.lower() for w in domain})))
-        .groupBy("term")
-        .agg(F.count("*").alias("n"))
-    )
+    listed = _lowered(domain)
+    hits = F.filter(tokens(F.lower(text)), lambda w: w.isin(listed))
+    return df.select(F.explode(hits).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
 
 
 def valence_scores(df: DataFrame, lexicon: DataFrame | None, text: str = "text") -> DataFrame:
@@ -118,8 +160,8 @@ def valence_scores(df: DataFrame, lexicon: DataFrame | None, text: str = "text")
     if lexicon is None:
         names = ("vader_compound", "vader_positive", "vader_negative", "vader_neutral")
         return df.select("doc_id", *[F.lit(0.0).alias(c) for c in names])
-    rows = _token_rows(df, lexicon, text, [])
-    return rows.groupBy("doc_id").agg(*_valence_columns(F.count("word")))
+    rows = _document_rows(df, lexicon, text)
+    return rows.groupBy("doc_id", "token_count").agg(*_valence_columns()).drop("token_count")
 
 
 def structural_features(
@@ -237,64 +279,40 @@ def linguistic_features(
     """`doc_id`, `label` and the 23 features (22 without the rating), in their fixed order.
 
     With `annotations` the negation and degree columns come from them and are joined in. Without,
-    the cue rules are applied to neighbouring tokens in the same pass, so all columns come from a
-    single aggregate whose map side already holds one row per document.
+    the cue rules are applied to neighbouring tokens, so all columns come from a single aggregate
+    whose map side already holds one row per document.
     """
-    kept = ["label", "rating"]
+    cues, strong_words = _lowered(negation_cues), sorted(set(_lowered(strong)) - set(_lowered(negation_cues)))
+    weak_words = sorted(set(_lowered(weak)) - set(strong_words) - set(cues))
     measured = df.select(
-        "doc_id",
-        *kept,
+        "doc_id", "label", "rating",
         F.length(text).cast("bigint").alias("text_length"),
-        sentence_tokens(F.col(text)).alias("_sentences"),
+        sentence_tokens(F.lower(text)).alias("_sentences"),
     )
-    pairs = F.flatten(F.transform("_sentences", with_following))
-    exploded = measured.select(
-        "doc_id",
-        *kept,
-        "text_length",
+    following = F.flatten(F.transform("_sentences", lambda s: _after(s, cues)))
+    arrays = measured.select(
+        "doc_id", "label", "rating", "text_length",
         F.size("_sentences").cast("bigint").alias("sentence_count"),
-        F.explode_outer(pairs).alias("_pair"),
-    )
-    is_cue = F.lower("_pair.token").isin(list(negation_cues))
-    words = exploded.select(
-        "doc_id",
-        *kept,
-        "text_length",
-        "sentence_count",
-        F.lower("_pair.token").alias("word"),
-        F.when(is_cue, F.lower("_pair.following")).alias("negated"),
-    )
-    spread = F.col("doc_id")
-    words = lookup_join(words, _valences(lexicon, "word", "valence"), ["word"], spread)
-    n = F.count("word")
-    columns = [
-        n.alias("token_count"),
-        *_opinion_columns(n),
-        *_domain_columns(n, domain),
-        *_valence_columns(n),
-    ]
+        F.flatten("_sentences").alias("_words"),
+        (following if annotations is None else F.array().cast("array<string>")).alias("_negated"),
+    ).withColumn("token_count", F.size("_words").cast("bigint"))
+    listed = _inline_words(lexicon, [*domain, *cues, *strong_words, *weak_words])
+    words = _scored_rows(arrays, "_words", lexicon, listed, negated="_negated")
+    columns = [*_opinion_columns(), *_domain_columns(domain), *_valence_columns()]
     if annotations is None:
-        words = lookup_join(
-            words, _valences(lexicon, "negated", "negated_valence"), ["negated"], spread
-        )
-        cues = _count_if(F.col("word").isin(list(negation_cues)))
-        strong_word = F.col("word").isin(list(strong))
-        strong_count = _count_if(strong_word & ~F.col("word").isin(list(negation_cues)))
-        weak_count = _count_if(
-            F.col("word").isin(list(weak)) & ~strong_word & ~F.col("word").isin(list(negation_cues))
+        counts = {
+            "negation": _plain(F.col("word").isin(cues)),
+            "intensifier": _plain(F.col("word").isin(strong_words)),
+            "mitigator": _plain(F.col("word").isin(weak_words)),
+        }
+        columns += [count.alias(f"{name}_count") for name, count in counts.items()]
+        columns += [(count > 0).alias(f"has_{name}") for name, count in counts.items()]
+        columns.append(
+            _count_if(F.col("is_negated") & (F.col("valence") != 0)).alias("negated_opinion_words")
         )
-        columns += [
-            cues.alias("negation_count"),
-            (cues > 0).alias("has_negation"),
-            _count_if(F.col("negated_valence") != 0).alias("negated_opinion_words"),
-            strong_count.alias("intensifier_count"),
-            weak_count.alias("mitigator_count"),
-            (strong_count > 0).alias("has_intensifier"),
-            (weak_count > 0).alias("has_mitigator"),
-        ]
     # columns of the document ride along as grouping keys: text in an aggregate would force a sort
-    features = words.groupBy("doc_id", *kept, "text_length", "sentence_count").agg(*columns)
-    features = features.withColumn(
+    keys = ["doc_id", "label", "rating", "text_length", "sentence_count", "token_count"]
+    features = words.groupBy(*keys).agg(*columns).withColumn(
         "avg_sentence_length", bounded_ratio(F.col("token_count"), F.col("sentence_count"))
     )
     if annotations is not None:
@@ -305,3 +323,9 @@ def linguistic_features(
             features = features.withColumn(name, F.coalesce(name, missing))
     wanted = [c for c in fv.FEATURE_COLUMNS if include_rating or c != "rating"]
     return features.select("doc_id", "label", *wanted)
+
+
+def _after(sentence: Column, cues: list[str]) -> Column:
+    """The tokens that directly follow a cue in the sentence."""
+    shifted = F.slice(sentence, 2, F.greatest(F.size(sentence), F.lit(1)))
+    return F.array_compact(F.zip_with(sentence, shifted, lambda w, after: F.when(w.isin(cues), after)))

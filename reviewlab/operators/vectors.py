@@ -32,7 +32,22 @@ def _exploded(documents: DataFrame, ngram_sizes: tuple[int, int]) -> DataFrame:
     every later step per document then needs no exchange of its own.
     """
     placed = documents.select("doc_id", "words").repartition("doc_id")
-    return placed.select("doc_id", F.explode(ngram_range(F.col("words"), *ngram_sizes)).alias("term"))
+    low, high = ngram_sizes
+    shifted = [F.slice("words", i + 1, F.greatest(F.size("words"), F.lit(1))) for i in range(high)]
+    names = [f"_w{i}" for i in range(high)]
+    zipped = F.arrays_zip(*[part.alias(name) for part, name in zip(shifted, names)])
+    # one row per position with the words from there on; null past the end, which makes a gram null
+    rows = placed.select("doc_id", F.inline_outer(zipped)).toDF("doc_id", *names)
+    grams = [_spaced(names[:n]) for n in range(low, high + 1)]
+    unfolded = rows.select("doc_id", F.explode(F.array(*grams)).alias("term"))
+    return unfolded.where(F.col("term").isNotNull())
+
+
+def _spaced(names: list[str]) -> Column:
+    parts: list[Column] = [F.col(names[0])]
+    for name in names[1:]:
+        parts += [F.lit(" "), F.col(name)]
+    return F.concat(*parts)
 
 
 def term_statistics(documents: DataFrame, ngram_sizes: tuple[int, int] = (1, 1)) -> DataFrame:

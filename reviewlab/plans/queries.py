@@ -457,8 +457,8 @@ def segment_sentences(spark, sf):
 
 
 def _ngrams(n, spark, sf):
-    grams = words_of.ngrams(words_of.words(F.col("text")), n)
-    return fx.texts(spark, sf).select("doc_id", grams.alias("g")).select(
+    words = vectors.document_words(fx.texts(spark, sf))
+    return words.select("doc_id", words_of.ngrams(F.col("words"), n).alias("g")).select(
         "doc_id", F.size("g").cast("bigint").alias("n_terms"), F.array_join("g", "|").alias("terms")
     )
 
