@@ -748,7 +748,7 @@ def linguistic_matrix(spark, sf):
 
 @query
 def combine_features(spark, sf):
-    terms = _terms(spark, sf, 1)
+    terms = materialize(_terms(spark, sf, 1))
     tfidf = vectors.tfidf_vectors(_words(spark, sf), terms, (1, 1), fx.SMALL_VOCABULARY)
     linguistic = vectors.linguistic_vectors(_features(spark, sf), include_rating=False)
     return rounded(vectors.combine((tfidf, vectors.width_of(terms)), (linguistic, 22)))
@@ -761,7 +761,7 @@ def feature_names(spark, sf):
 
 @query
 def top_terms_per_doc(spark, sf):
-    terms = _terms(spark, sf, 1)
+    terms = materialize(_terms(spark, sf, 1))
     tfidf = vectors.tfidf_vectors(_words(spark, sf), terms, (1, 1), fx.SMALL_VOCABULARY)
     # equal values must not be told apart by their last bits
     top = vectors.top_terms(rounded(tfidf, 9), terms, 10, fx.SMALL_VOCABULARY)
@@ -770,7 +770,7 @@ def top_terms_per_doc(spark, sf):
 
 @query
 def vocabulary_by_order(spark, sf):
-    terms = _terms(spark, sf, 3)
+    terms = materialize(_terms(spark, sf, 3))
     parts = [vectors.vocabulary_sample(terms, n) for n in (1, 2, 3)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -819,10 +819,12 @@ _QUALITY_TERMS = 200
 
 
 def _quality_vectors(spark, sf):
+    """Documents, vocabulary and counts; the last two are read several times and therefore kept."""
     documents = fx.two_class(spark, sf)
     words = vectors.document_words(documents)
-    terms = vectors.fit_terms(words, (1, 1), _QUALITY_TERMS)
-    return documents, terms, vectors.count_vectors(words, terms, (1, 1), _QUALITY_TERMS)
+    terms = materialize(vectors.fit_terms(words, (1, 1), _QUALITY_TERMS))
+    counts = materialize(vectors.count_vectors(words, terms, (1, 1), _QUALITY_TERMS))
+    return documents.drop("text"), terms, counts
 
 
 def _quality_model(spark, sf):
@@ -851,7 +853,7 @@ def naive_bayes_predict(spark, sf):
 def _quality_representation(spark, sf):
     documents, _, counts = _quality_vectors(spark, sf)
     return (
-        models.Representation("counts", materialize(counts), _QUALITY_TERMS),
+        models.Representation("counts", counts, _QUALITY_TERMS),
         documents.select("doc_id", "label", "set"),
     )
 
