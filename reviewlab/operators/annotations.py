@@ -87,6 +87,21 @@ def dependency_table(annotations: DataFrame) -> DataFrame:
     )
 
 
+def fill_heads(annotations: DataFrame) -> DataFrame:
+    """Set `head` to the token at `head_idx`, for parser output that gives positions only.
+
+    A self-join within the sentence, of the rows that have a head. Positions outside the sentence
+    find no token and leave the head empty.
+    """
+    tokens = annotations.select(
+        "doc_id", "sentence_idx", F.col("token_idx").alias("head_idx"), F.col("token").alias("_head")
+    )
+    pointing = annotations.where(F.col("head_idx") >= 0).select(*TOKEN_KEY, "head_idx")
+    found = pointing.join(tokens, ["doc_id", "sentence_idx", "head_idx"]).select(*TOKEN_KEY, "_head")
+    joined = annotations.drop("head").join(found, TOKEN_KEY, "left")
+    return joined.withColumn("head", F.coalesce("_head", F.lit(""))).select(*annotations.columns)
+
+
 def token_pos_join(tokens: DataFrame, annotations: DataFrame) -> DataFrame:
     """Attach part-of-speech tags to tokens by position."""
     tags = annotations.select(*TOKEN_KEY, F.col("pos").alias("pos_tag"))

@@ -218,42 +218,28 @@ def _annotation_features(
     strong: Iterable[str] = fv.INTENSIFIERS,
     weak: Iterable[str] = fv.MITIGATORS,
 ) -> DataFrame:
-    """All columns that depend on annotations, without a self-join.
+    """All columns that depend on annotations, from one aggregate per document.
 
-    Per sentence the heads of negations and the places of opinion words are kept (both are few),
-    matched within the row, and added up per document.
+    An annotation names its head word, so whether a negation hits an opinion word is a lookup of
+    that word; `fill_heads` adds the words where only positions are known.
     """
-    words = annotations.withColumn("word", F.lower("token"))
+    is_negation = F.col("dep_label") == "neg"
+    heads = annotations.withColumn("_head", F.when(is_negation, F.lower("head")))
     scored = lookup_join(
-        words, _valences(lexicon, "word", "valence"), ["word"],
+        heads, _valences(lexicon, "_head", "_valence"), ["_head"],
         spread=F.xxhash64("doc_id", "sentence_idx"),
     )
-    is_negation = F.col("dep_label") == "neg"
-    is_opinion = F.col("valence") != 0
     strong_count, weak_count = _degree_counts(strong, weak)
-    by_sentence = scored.groupBy("doc_id", "sentence_idx").agg(
-        _count_if(is_negation).alias("_negations"),
-        F.collect_list(F.when(is_negation, F.col("head_idx"))).alias("_heads"),
-        F.collect_set(F.when(is_opinion, F.col("token_idx"))).alias("_opinions"),
-        strong_count.alias("_strong"),
-        weak_count.alias("_weak"),
-    )
-    matched = F.size(F.filter("_heads", lambda head: F.array_contains("_opinions", head)))
-    by_document = by_sentence.groupBy("doc_id").agg(
-        F.sum("_negations").alias("negation_count"),
-        F.sum(matched).alias("negated_opinion_words"),
-        F.sum("_strong").alias("intensifier_count"),
-        F.sum("_weak").alias("mitigator_count"),
-    )
-    return by_document.select(
-        "doc_id",
-        "negation_count",
-        (F.col("negation_count") > 0).alias("has_negation"),
-        "negated_opinion_words",
-        "intensifier_count",
-        "mitigator_count",
-        (F.col("intensifier_count") > 0).alias("has_intensifier"),
-        (F.col("mitigator_count") > 0).alias("has_mitigator"),
+    counts = {
+        "negation_count": _count_if(is_negation),
+        "negated_opinion_words": _count_if(F.col("_valence") != 0),
+        "intensifier_count": strong_count,
+        "mitigator_count": weak_count,
+    }
+    flags = {"negation": "negation_count", "intensifier": "intensifier_count", "mitigator": "mitigator_count"}
+    return scored.groupBy("doc_id").agg(
+        *[count.alias(name) for name, count in counts.items()],
+        *[(counts[name] > 0).alias(f"has_{flag}") for flag, name in flags.items()],
     )
 
 

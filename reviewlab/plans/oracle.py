@@ -352,6 +352,7 @@ ORACLE["ngrams_by_lead"] = f"""SELECT term, count(*) AS n FROM (SELECT unnest({g
   FROM (SELECT {words('text')} AS w FROM documents)) GROUP BY term"""
 ORACLE["token_pos_join"] = f"""WITH {annotations('documents')}
   SELECT doc_id, sentence_idx, token_idx, token, pos AS pos_tag FROM annotations"""
+ORACLE["fill_heads"] = ORACLE["dependency_table"]
 ORACLE["annotate_by_rules"] = ORACLE["dependency_table"]
 
 

@@ -493,6 +493,13 @@ def annotate_by_rules(spark, sf):
     return rounded(fx.annotations(spark, sf))
 
 
+@query
+def fill_heads(spark, sf):
+    """Head words found again from the positions alone."""
+    positions = fx.annotations(spark, sf).withColumn("head", F.lit(None).cast("string"))
+    return rounded(notes.fill_heads(positions))
+
+
 @query
 def noun_phrases(spark, sf):
     return rounded(notes.noun_phrases(fx.annotations(spark, sf)))
