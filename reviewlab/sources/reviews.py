@@ -103,39 +103,40 @@ def standardize_columns(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(renames.get(c, c)) for c in df.columns])
 
 
-def _json_records(
-    spark: SparkSession, path: str, fields: T.StructType, lone_object: bool
+def read_json(
+    spark: SparkSession, path: str, fields: T.StructType = REVIEW_FIELDS
 ) -> DataFrame:
-    """Records of files that hold a list, `{"reviews": [...]}` or, if allowed, one object."""
+    """`<game_id>.json` files with a list, `{"reviews": [...]}` or one object.
+
+    The file name is the game id; metadata files are left out.
+    """
     schema = T.StructType([*fields.fields, T.StructField("reviews", T.ArrayType(fields))])
-    raw = spark.read.option("multiLine", True).schema(schema).json(path)
-    own = F.array(F.struct(*fields.names))
-    if not lone_object:
-        # a lone object is a record next to no other row of its file; a list has any number of them
-        own = F.when(F.coalesce(*[F.col(c).cast("string") for c in fields.names]).isNotNull(), own)
-    return raw.select(
-        F.inline(F.coalesce("reviews", own)),
+    raw = spark.read.option("multiLine", True).schema(schema).json(f"{path.rstrip('/')}/*.json")
+    rows = raw.select(
+        F.inline(F.coalesce("reviews", F.array(F.struct(*fields.names)))),
         F.col("_metadata.file_path").alias("_path"),
     )
-
-
-def read_json(
-    spark: SparkSession, path: str, fields: T.StructType = REVIEW_FIELDS
-) -> DataFrame:
-    """`<game_id>.json` files; the file name is the game id, metadata files are left out."""
-    rows = _json_records(spark, f"{path.rstrip('/')}/*.json", fields, lone_object=True)
-    rows = rows.where(~F.col("_path").endswith(_METADATA_SUFFIX))
-    return _with_game(rows, r"([^/]*)\.json$")
+    return _with_game(rows.where(~F.col("_path").endswith(_METADATA_SUFFIX)), r"([^/]*)\.json$")
 
 
 def read_nested_json(
     spark: SparkSession, path: str, fields: T.StructType = REVIEW_FIELDS, file_glob: str = "reviews.json"
 ) -> DataFrame:
-    """`<game_id>/reviews.json` files; the folder name is the game id.
+    """`<game_id>/reviews.json` files with a list or `{"reviews": [...]}`; a lone object is no list.
 
-    Folders written by a partitioned Spark job (`game_id=<id>`) are understood too.
+    The JSON reader turns a lone object and a list of one into the same row, so files are read as
+    text and parsed by their first character. The folder name is the game id; folders written by a
+    partitioned Spark job (`game_id=<id>`) are understood too.
     """
-    rows = _json_records(spark, f"{path.rstrip('/')}/*/{file_glob}", fields, lone_object=False)
+    whole = spark.read.option("wholetext", True).text(f"{path.rstrip('/')}/*/{file_glob}")
+    content = F.col("value")
+    records = T.ArrayType(fields)
+    listed = F.from_json(content, records)
+    wrapped = F.from_json(content, T.StructType([T.StructField("reviews", records)]))["reviews"]
+    is_list = F.startswith(F.ltrim(content), F.lit("["))
+    rows = whole.select(
+        F.inline(F.when(is_list, listed).otherwise(wrapped)), F.col("_metadata.file_path").alias("_path")
+    )
     return _with_game(rows, r"(?:/game_id=|/)([^/=]*)/[^/]*$")
 
 
