@@ -544,7 +544,8 @@ def opinion_words(spark, sf):
 @query
 def opinion_words_large_lexicon(spark, sf):
     """A lexicon as large as the vocabulary: broadcast or salted join, as its size decides."""
-    return rounded(feats.opinion_words(fx.texts(spark, sf), fx.derived_lexicon(spark, sf)))
+    lexicon = materialize(fx.derived_lexicon(spark, sf))
+    return rounded(feats.opinion_words(fx.texts(spark, sf), lexicon))
 
 
 @query
@@ -580,7 +581,8 @@ def valence_scores(spark, sf):
 @query
 def lexicon_semi_join(spark, sf):
     """Documents that hold at least one word of the (derived) positive lexicon part."""
-    positive = fx.derived_lexicon(spark, sf).where("valence > 0 AND length(term) > 12").select("term")
+    derived = fx.derived_lexicon(spark, sf).where("valence > 0 AND length(term) > 12")
+    positive = materialize(derived.select("term"))
     words = fx.texts(spark, sf).select("doc_id", F.explode(words_of.tokens(F.lower("text"))).alias("term"))
     hits = lookup_join(words, positive, ["term"], spread=F.col("doc_id"), how="left_semi")
     return hits.select("doc_id").distinct()

@@ -174,10 +174,9 @@ def read_game_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 def with_game_metadata(reviews: DataFrame, metadata: DataFrame) -> DataFrame:
     """Left join with defaults: no name and empty lists where a game has no metadata."""
+    # one record per game, the same one on every run
     one_each = metadata.groupBy("game_id").agg(
-        F.first("name", ignorenulls=True).alias("name"),
-        F.first("categories", ignorenulls=True).alias("categories"),
-        F.first("mechanics", ignorenulls=True).alias("mechanics"),
+        *[F.min(c).alias(c) for c in ("name", "categories", "mechanics")]
     )
     joined = lookup_join(reviews, one_each, ["game_id"], spread=F.xxhash64(*reviews.columns))
     empty = F.array().cast("array<string>")
