@@ -129,7 +129,8 @@ def hash_rank(df: DataFrame, group: str, key: str, seed: int | str, column: str
     """0-based exact rank of every row within its group, in seeded hash order of a unique `key`.
 
     Two levels: counters per (group, bucket) give the offset, a window per bucket the rest, so no
-    task sees a whole group. Every row is shuffled once; pass narrow rows.
+    task sees a whole group. Every row is shuffled once, by (group, bucket), and stays there for the
+    join with the counters. Pass narrow rows.
     """
     keyed = (
         df.where(F.col(group).isNotNull())
@@ -140,7 +141,7 @@ def hash_rank(df: DataFrame, group: str, key: str, seed: int | str, column: str
     one_bucket = Window.partitionBy(group, "_b").orderBy("_h", F.col(key).cast("string"))
     return (
         keyed.withColumn("_in_bucket", F.row_number().over(one_bucket) - 1)
-        .join(F.broadcast(spans), [group, "_b"])
+        .join(spans, [group, "_b"])
         .withColumn(column, (F.col("_start") + F.col("_in_bucket")).cast("bigint"))
         .withColumnRenamed("_size", "group_size")
         .drop("_h", "_b", "_start", "_in_bucket")

@@ -44,9 +44,9 @@ def draws(sizes: DataFrame, label: str, seed: int | str) -> DataFrame:
     Draw numbers are unfolded in two steps with an exchange between them, so that no task
     produces a whole class. A class that is already largest draws each of its rows once.
     """
-    target = sizes.agg(F.max("_size").alias("_target"))
+    target = sizes.agg(F.max("_size")).scalar()
     chunks = (
-        sizes.join(F.broadcast(target), F.col("_size") <= F.col("_target"))
+        sizes.withColumn("_target", target)
         .withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_target - 1) div {_CHUNK})")))
         .repartition(label, "_chunk")
     )

@@ -196,7 +196,7 @@ def roundtrip_features(spark, sf):
 @query
 def roundtrip_splits(spark, sf):
     saved = _workspace(spark)
-    saved.save_splits(sampling.stratified_split(fx.corpus(spark, sf), 0.2, 0.1))
+    saved.save_splits(sampling.stratified_split(_labelled(spark, sf), 0.2, 0.1))
     return saved.load_splits()
 
 
@@ -246,7 +246,7 @@ def dependency_table(spark, sf):
 
 @query
 def split_table(spark, sf):
-    return sampling.two_step_split(fx.corpus(spark, sf)).select("doc_id", "set", "label")
+    return sampling.two_step_split(_labelled(spark, sf)).select("doc_id", "set", "label")
 
 
 @query
@@ -653,46 +653,51 @@ def feature_ratios(spark, sf):
 
 @query
 def split_distribution(spark, sf):
-    return rounded(statistics.split_distribution(sampling.two_step_split(fx.corpus(spark, sf))))
+    return rounded(statistics.split_distribution(sampling.two_step_split(_labelled(spark, sf))))
 
 
 # --- balancing and splitting --------------------------------------------------------------------------
 
 
+def _labelled(spark, sf) -> DataFrame:
+    """Ids and labels alone, kept: sampling reads them several times, the texts only once."""
+    return materialize(fx.corpus(spark, sf).select("doc_id", "label", "rating"))
+
+
 @query
 def balance_subsample(spark, sf):
-    return sampling.balance_subsample(fx.corpus(spark, sf)).select("doc_id", "label", "rating")
+    return sampling.balance_subsample(_labelled(spark, sf)).select("doc_id", "label", "rating")
 
 
 @query
 def balance_oversample(spark, sf):
-    return sampling.balance_oversample(fx.corpus(spark, sf)).select("doc_id", "label", "draw")
+    return sampling.balance_oversample(_labelled(spark, sf)).select("doc_id", "label", "draw")
 
 
 @query
 def stratified_split(spark, sf):
-    return sampling.stratified_split(fx.corpus(spark, sf)).select("doc_id", "label", "set")
+    return sampling.stratified_split(_labelled(spark, sf)).select("doc_id", "label", "set")
 
 
 @query
 def stratified_split_3way(spark, sf):
-    return sampling.stratified_split(fx.corpus(spark, sf), 0.2, 0.1).select("doc_id", "label", "set")
+    return sampling.stratified_split(_labelled(spark, sf), 0.2, 0.1).select("doc_id", "label", "set")
 
 
 @query
 def split_two_step(spark, sf):
-    return sampling.two_step_split(fx.corpus(spark, sf)).select("doc_id", "label", "set")
+    return sampling.two_step_split(_labelled(spark, sf)).select("doc_id", "label", "set")
 
 
 @query
 def stratified_folds(spark, sf):
-    return rounded(sampling.stratified_folds(fx.corpus(spark, sf)).select("doc_id", "label", "fold"))
+    return rounded(sampling.stratified_folds(_labelled(spark, sf)).select("doc_id", "label", "fold"))
 
 
 @query
 def union_splits(spark, sf):
     """Train and test parts of a split, selected apart and put together again."""
-    split = sampling.stratified_split(fx.corpus(spark, sf)).select("doc_id", "label", "set")
+    split = sampling.stratified_split(_labelled(spark, sf)).select("doc_id", "label", "set")
     return split.where("set = 'train'").unionByName(split.where("set = 'test'"))
 
 
@@ -700,7 +705,7 @@ def union_splits(spark, sf):
 def split_disjoint(spark, sf):
     """Ids that appear in two parts of a split; there must be none."""
     split = materialize(
-        sampling.stratified_split(fx.corpus(spark, sf), 0.2, 0.1).select("doc_id", "set")
+        sampling.stratified_split(_labelled(spark, sf), 0.2, 0.1).select("doc_id", "set")
     )
     parts = {s: split.where(F.col("set") == s).select("doc_id") for s in ("train", "validation", "test")}
     return (
@@ -906,7 +911,9 @@ def cross_validate_naive_bayes(spark, sf):
     """Hits of every setting of the grid in every fold."""
     representation, folds = _quality_folds(spark, sf)
     features = spark.range(_QUALITY_TERMS).select(F.col("id").alias("idx"))
-    judged = naive_bayes.cross_validate(representation.vectors, folds, features, ["0", "1"])
+    judged = naive_bayes.cross_validate(
+        representation.vectors, folds, features, ["0", "1"], known_features=_QUALITY_TERMS
+    )
     return rounded(
         judged.groupBy("alpha", "fit_prior", "fold").agg(
             F.count("*").alias("n"), F.count_if(F.col("label") == F.col("prediction")).alias("hits")
