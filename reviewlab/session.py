@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,33 +23,50 @@ def get_spark(app_name: str = "reviewlab", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`.
+    """The folder named by `spark.checkpoint.dir`, else one below the session's warehouse.
 
-    Only a local session may fall back to a folder of its own: on a cluster a machine-local
-    path would be lost together with the machine.
+    Both lie on the file system that all executors share; no machine-local folder is ever made up.
     """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(root)
-        return root
-    root = context.getCheckpointDir()
-    if root is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-        root = context.getCheckpointDir()
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, not yet existing path below the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, not yet existing path below the shared folder; `release` deletes it."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Compute `df` once into a Parquet table below the shared folder and read that.
+
+    Readers survive the loss of executors, prune columns and push filters down.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release() -> None:
+    """Delete the intermediate tables; results that still read them must have been written."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        if spark.sparkContext._jsc is None:
+            continue
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _release_at_exit() -> None:
+    try:
+        release()
+    except Exception:  # the JVM may be gone already
+        pass
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute `df` once into the shared folder; readers survive the loss of executors."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+atexit.register(_release_at_exit)
