@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import decontamination, line_dedup, url_filters
+from reviewlab.llm import decontamination, line_dedup, simhash, url_filters
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op4_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     marked = decontamination.mark_contamination(
         _table(spark, sf, "documents").select("doc_id", "text"), _table(spark, sf, "benchmark")
@@ -41,5 +46,6 @@ def op9_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_url_filters": op4_url_filters,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
