@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import decontamination, line_dedup, simhash, url_filters
+from reviewlab.llm import decontamination, line_dedup, packing, simhash, token_output, url_filters
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", _sha256(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf, "documents"))
+
+
 def op4_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     pages = _table(spark, sf, "pages").select("page_id", "url")
     return url_filters.filter_urls(pages, url_filters.default_rules(spark)).select(
@@ -43,9 +47,17 @@ def op9_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_training_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Shards written in training order and checked piece by piece against what is read back."""
+    path, index = token_output.write_shards(_table(spark, sf, "documents"))
+    return token_output.read_back(spark, path, index)
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_packing": op3_packing,
     "op4_url_filters": op4_url_filters,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_training_order": op10_training_order,
 }
