@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import decontamination, line_dedup, packing, simhash, token_output, url_filters
+from reviewlab.llm import (
+    decontamination, language_id, line_dedup, packing, quality, sharding, simhash, token_output, url_filters,
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -32,11 +34,33 @@ def op4_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    found = language_id.identify(docs, language_id.fit(docs), carry=["doc_id"])
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    placed = sharding.shard_documents(_table(spark, sf, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    trees = quality.fit_quality(docs, _table(spark, sf, "labels"))
+    return quality.judge_quality(docs, trees, carry=["doc_id"]).select(
+        "doc_id", *quality.COUNTS, "base_failed", "kept", "score"
+    )
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     marked = decontamination.mark_contamination(
         _table(spark, sf, "documents").select("doc_id", "text"), _table(spark, sf, "benchmark")
@@ -57,7 +81,10 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_url_filters": op4_url_filters,
+    "op5_language_id": op5_language_id,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_sharding": op7_sharding,
+    "op8_quality_rules": op8_quality_rules,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_training_order": op10_training_order,
 }
