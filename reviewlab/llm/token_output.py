@@ -76,42 +76,54 @@ def token_sequences(
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        squeeze = zstandard.ZstdCompressor(level=3).compress
+        squeeze = zstandard.ZstdCompressor(level=1).compress
         part, number = TaskContext.get().partitionId(), 0
-        ids, pieces, filled = [], [], 0
-        target = pa.schema([
-            ("part", pa.int32()), ("number", pa.int64()), ("ids", pa.binary()),
-            ("pieces", pa.list_(pa.struct([
-                ("doc", key_arrow), ("start", pa.int64()), ("offset", pa.int32()), ("length", pa.int32()),
-                ("ids_crc32", pa.int64()),
-            ]))),
-        ])
-
-        def row() -> dict:
-            nonlocal ids, pieces, filled, number
-            whole = squeeze(np.concatenate(ids).astype(ID_TYPE).tobytes())
-            made = {"part": part, "number": number, "ids": whole, "pieces": pieces}
-            ids, pieces, filled, number = [], [], 0, number + 1
-            return made
+        ids, filled = [], 0
+        rows, ends, columns = [], [0], ([], [], [], [], [])  # pieces by column, and their end in each row
+
+        def close() -> None:
+            nonlocal ids, filled
+            rows.append(squeeze(np.concatenate(ids).astype(ID_TYPE).tobytes()))
+            ends.append(len(columns[0]))
+            ids, filled = [], 0
+
+        def made() -> pa.RecordBatch:
+            """The closed rows; the pieces of an open one stay behind."""
+            nonlocal number
+            types = [key_arrow, pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            values = [pa.array(c[:ends[-1]], t) for c, t in zip(columns, types)]
+            pieces = pa.StructArray.from_arrays(values, names=["doc", "start", "offset", "length", "ids_crc32"])
+            batch = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([part] * len(rows), pa.int32()), pa.array(range(number, number + len(rows)), pa.int64()),
+                    pa.array(rows, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces),
+                ],
+                names=["part", "number", "ids", "pieces"],
+            )
+            number += len(rows)
+            for c in columns:
+                del c[:ends[-1]]
+            rows.clear()
+            ends[:] = [0]
+            return batch
 
         for batch in batches:
-            done = []
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = document_ids(path, value.as_py(), end)
                 start = 0
                 while start < len(own):
                     take = own[start:start + length - filled]
                     ids.append(take)
-                    pieces.append({
-                        "doc": doc, "start": start, "offset": filled, "length": len(take), "ids_crc32": zlib.crc32(take),
-                    })
+                    for c, v in zip(columns, (doc, start, filled, len(take), zlib.crc32(take))):
+                        c.append(v)
                     start, filled = start + len(take), filled + len(take)
                     if filled == length:
-                        done.append(row())
-            if done:
-                yield pa.RecordBatch.from_pylist(done, target)
+                        close()
+            if rows:
+                yield made()
         if filled:
-            yield pa.RecordBatch.from_pylist([row()], target)
+            close()
+            yield made()
 
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -129,7 +141,8 @@ def with_slots(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
     offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
     total = sequences.count()
     ordinal = F.col("_before") + F.col("number")
-    placed = sequences.join(offsets, "part").withColumn("slot", slot_of(ordinal, max(1, total), key))
+    # one row per task that wrote sequences, whatever the size of the corpus
+    placed = sequences.join(F.broadcast(offsets), "part").withColumn("slot", slot_of(ordinal, max(1, total), key))
     return placed.drop("_before"), total
 
 
@@ -142,7 +155,8 @@ def write_shards(
     Every sequence of `length` ids has a global `slot`; shard s is one file with the slots from
     s * `shard` on, each `length` ids wide, so slot n starts at byte (n mod `shard`) * stride. The last
     sequence of a writing task is filled up with id 0. The index has a row per piece of a document:
-    `doc_id` (the key), `start`, `length`, `ids_crc32`, `slot`, `shard`, `byte_offset`, `offset`.
+    `doc_id` (the key), `start`, `length`, `ids_crc32`, `slot`, `shard`, `byte_offset`, `offset` and
+    `record_crc32` (of the whole record).
 
     Null and empty text is the single end id; repeated rows, ties and null keys are written as often as
     they occur; an empty table gives an empty index and no shard. Other columns are not carried. `path`
@@ -171,26 +185,29 @@ def write_shards(
                 store.move(name, f"{base}/shard-{current:08d}.bin")
 
         for batch in batches:
+            crcs = []
             for at, packed in zip(batch.column("shard").to_pylist(), batch.column("ids")):
                 if at != current:
                     finish()
                     store.create_dir(own, recursive=True)
                     current, name = at, f"{own}/shard-{at:08d}.bin"
                     out = store.open_output_stream(name)
-                out.write(_record(packed.as_py(), length))
-            yield batch.drop_columns(["ids"])
+                record = _record(packed.as_py(), length)
+                out.write(record)
+                crcs.append(zlib.crc32(record))
+            yield batch.drop_columns(["ids"]).append_column("record_crc32", pa.array(crcs, pa.int64()))
         finish()
         if current is not None:
             store.delete_dir(own)
 
-    written = materialize(ordered.mapInArrow(of_batches, f"slot long, shard int, pieces {pieces_type}"), "index")
+    written = materialize(ordered.mapInArrow(of_batches, f"slot long, shard int, pieces {pieces_type}, record_crc32 long"), "index")
     stride = length * np.dtype(ID_TYPE).itemsize
     index = written.select(
-        "slot", "shard", (F.pmod("slot", F.lit(shard)) * stride).alias("byte_offset"), F.explode("pieces").alias("p")
+        "slot", "shard", "record_crc32", (F.pmod("slot", F.lit(shard)) * stride).alias("byte_offset"), F.explode("pieces").alias("p")
     )
     return path, index.select(
         F.col("p.doc").alias(key), "p.start", F.col("p.length").cast("long").alias("length"), "p.ids_crc32",
-        "slot", "shard", "byte_offset", F.col("p.offset").cast("long").alias("offset"),
+        "slot", "shard", "byte_offset", F.col("p.offset").cast("long").alias("offset"), "record_crc32",
     )
 
 
@@ -233,22 +250,6 @@ def read_shards(
 
 
 def read_back(spark: SparkSession, path: str, index: DataFrame, **layout: int) -> DataFrame:
-    """`index` with `record_crc32`, the checksum of each piece's ids as they lie in the shards."""
-    held = read_shards(spark, path, **layout)
-    joined = index.join(held, "slot")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in index.schema)
-
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crcs = []
-            for ids, at, size in zip(
-                batch.column("ids"), batch.column("offset").to_pylist(), batch.column("length").to_pylist()
-            ):
-                whole = np.frombuffer(ids.as_buffer(), ID_TYPE)
-                crcs.append(zlib.crc32(whole[at:at + size].astype("<u4").tobytes()))
-            rows = batch.drop_columns(["ids"])
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns, pa.array(crcs, pa.int64())], names=[*rows.schema.names, "record_crc32"]
-            )
-
-    return joined.select(*index.columns, "ids").mapInArrow(of_batches, f"{schema}, record_crc32 long")
+    """`index` with `held_crc32`, the checksum of each record as it lies in the shards."""
+    records = read_shards(spark, path, **layout).select("slot", F.crc32("ids").alias("held_crc32"))
+    return index.join(records, "slot", "left")
