@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab.llm import (
-    decontamination, language_id, line_dedup, packing, quality, sharding, simhash, token_output, url_filters,
+    decontamination, language_id, line_dedup, packing, pii, quality, sharding, simhash, token_output, url_filters,
 )
 
 
@@ -18,6 +18,20 @@ def _sha256(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts and digest are those of the base spans; `spans` also has the identifiers found by context."""
+    found = pii.find_pii(_table(spark, sf, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size("base") - F.size(F.array_remove(kinds, n))).cast("long").alias(f"n_{kind}")
+        for n, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id", *counts, _sha256(pii.span_list(F.col("base"))).alias("base_sha256"),
+        pii.span_list(F.concat("base", "found")).alias("spans"), F.size("found").cast("long").alias("n_found"),
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = line_dedup.dedup_lines(_table(spark, sf, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", _sha256(F.col("kept_text")).alias("kept_sha256"))
@@ -78,6 +92,7 @@ def op10_training_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_url_filters": op4_url_filters,
