@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.rows import ascii_lower, join_by_row, split_words, with_row_hash
+from reviewlab.llm.rows import ascii_lower, join_by_row, narrowed, split_words, widened, with_row_hash
 from reviewlab.operators.lookup import lookup_join
 from reviewlab.session import materialize
 
@@ -61,7 +61,7 @@ def mark_contamination(
     fixed-width rows; the rarest shingle of a window fetches it, length and position bounds discard
     candidates that cannot fit, and the words themselves are compared in the document.
     """
-    docs = with_row_hash(docs.drop("n_words", "n_hit", "n_items", "item_ids", "contaminated"), text)
+    whole, docs = docs, with_row_hash(narrowed(docs, key, text), text)
     windows = materialize(item_windows(items, item_id, item_text, window), "windows")
     words, width = F.split("window", " "), F.least("size", F.lit(shingle))
     by_width = F.coalesce(*[F.when(width == k, _shingles(words, k)) for k in range(1, shingle + 1)])
@@ -87,7 +87,8 @@ def mark_contamination(
         .groupBy("_id", "_row")
         .agg(F.collect_list(F.struct(start.alias("start"), "size", "window", "items")).alias("_cand"))
     )
-    return _verified(join_by_row(docs, candidates, key, ["_cand"]), text)
+    marked = _verified(join_by_row(docs, candidates, key, ["_cand"]), text)
+    return widened(marked, whole, [key, text], ["n_words", "n_hit", "n_items", "item_ids", "contaminated"])
 
 
 def _hits(docs: DataFrame, parts: DataFrame, key: str, text: str, widths: list[int]) -> DataFrame:
@@ -123,5 +124,4 @@ def _verified(docs: DataFrame, text: str) -> DataFrame:
         .withColumn("item_ids", ids)
         .withColumn("n_items", F.size("item_ids").cast("long"))
         .withColumn("contaminated", F.col("n_hit") > 0)
-        .drop("_w", "_cand", "_true", "_row")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.rows import BLANKS, ascii_lower, hash128, join_by_row, same, with_row_hash
+from reviewlab.llm.rows import BLANKS, ascii_lower, hash128, join_by_row, narrowed, same, widened, with_row_hash
 
 MIN_LENGTH = 40
 MIN_DOCUMENTS = 5
@@ -51,7 +51,7 @@ def dedup_lines(
     frequent join key: its many rows meet a single row on the other side, which adaptive execution
     splits (or broadcasts when the repeated lines turn out small).
     """
-    docs = with_row_hash(docs.drop("n_lines", "n_dropped", "kept_text"), text)
+    whole, docs = docs, with_row_hash(narrowed(docs, key, text), text)
     keys = F.transform(_lines(F.col(text)), line_key)
     numbered = F.transform(keys, lambda k, i: F.struct(i.alias("at"), k.alias("k")))
     long_ones = F.filter(numbered, lambda x: F.length(x["k"]) >= min_length)
@@ -69,7 +69,7 @@ def dedup_lines(
     all_lines = _lines(F.col(text))
     places = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), gone)
     kept = F.transform(places, lambda at: F.get(F.col("_lines"), at))
-    return (
+    kept_rows = (
         join_by_row(docs, dropped, key, ["_gone"])
         .withColumn("_lines", all_lines)
         .withColumn("n_lines", F.size("_lines").cast("long"))
@@ -78,5 +78,5 @@ def dedup_lines(
             "kept_text",
             F.when(F.size(gone) == 0, F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(kept, "\n")),
         )
-        .drop("_gone", "_lines", "_row")
     )
+    return widened(kept_rows, whole, [key, text], ["n_lines", "n_dropped", "kept_text"])

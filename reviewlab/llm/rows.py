@@ -44,6 +44,13 @@ def join_by_row(docs: DataFrame, facts: DataFrame, key: str, columns: list[str])
     return matched.select(*[F.col(c) for c in docs.columns], *columns)
 
 
-def free_name(df: DataFrame, *names: str) -> DataFrame:
-    """Refuse nothing: columns of `df` that clash with an operator's output give way to it."""
-    return df.drop(*[n for n in names if n in df.columns])
+def narrowed(rows: DataFrame, *used: str) -> DataFrame:
+    """`used` and all other columns as the single column `_rest`, so that no internal name clashes."""
+    rest = [F.col(f"`{c}`") for c in rows.columns if c not in used]
+    return rows.select(*used, F.struct(*(rest or [F.lit(0).alias("_")])).alias("_rest"))
+
+
+def widened(rows: DataFrame, like: DataFrame, used: list[str], added: list[str]) -> DataFrame:
+    """The columns of `like` again, without those of the same name as `added`, and `added`."""
+    kept = [c for c in like.columns if c not in added]
+    return rows.select(*[F.col(c) if c in used else F.col(f"_rest.`{c}`") for c in kept], *added)

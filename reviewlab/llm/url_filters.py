@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm.rows import ascii_lower
+from reviewlab.llm.rows import ascii_lower, narrowed, widened
 from reviewlab.operators.lookup import lookup_join
 from reviewlab.session import materialize
 
@@ -100,7 +100,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     salted when the index is too large to broadcast; a very frequent url is a join key with one row on
     the other side, which adaptive execution splits.
     """
-    pages = pages.drop("host", "path", "rule", "verdict")
+    whole, pages = pages, narrowed(pages, url)
     urls = pages.where(F.col(url).isNotNull()).select(F.col(url).alias("_url")).distinct()
     urls = urls.withColumn("_address", _address(F.col("_url")))
     tokens = F.array_distinct(F.array_remove(F.split(ascii_lower(F.col("_address")), "[^a-z0-9]+"), ""))
@@ -123,10 +123,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     )
     verdicts = fitting.groupBy("_url").agg(F.max(best).alias("_best"))
     joined = pages.join(verdicts, F.col(url) == F.col("_url"), "left")
-    return (
+    judged = (
         joined.withColumn("host", url_host(F.col(url)))
         .withColumn("path", url_path(F.col(url)))
         .withColumn("rule", F.col("_best.rule"))
         .withColumn("verdict", F.coalesce("_best.verdict", F.lit(default)))
-        .drop("_url", "_best")
     )
+    return widened(judged, whole, [url], ["host", "path", "rule", "verdict"])
