@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlab.llm.rows import text_first
+
 #: Labelled documents per language that the n-gram counts are learnt from, about.
 SAMPLE_DOCUMENTS = 5000
 BUCKETS = 1 << 16
@@ -137,8 +139,7 @@ def identify(
                 names=[*carried, "lang_pred", "score", "languages"],
             )
 
-    # the text goes first, under a name of its own, so that it need not be among the carried columns
-    return docs.select(F.col(text).alias("_text"), *carried).mapInArrow(of_batches, ", ".join([schema, found]).lstrip(", "))
+    return text_first(docs, text, carried).mapInArrow(of_batches, ", ".join([schema, found]).lstrip(", "))
 
 
 def _mixtures(model: LanguageModel, texts: pa.Array) -> Iterator[np.ndarray | None]:

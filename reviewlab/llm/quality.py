@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlab.llm import boosting
+from reviewlab.llm.rows import text_first
 
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 #: Labelled documents that the trees are fitted on, about; the driver receives one row of numbers each.
@@ -112,7 +113,7 @@ def text_statistics(
             columns = [*batch.columns[1:], *[pa.array(counts[:, i]) for i in range(len(numbers))], scores]
             yield pa.RecordBatch.from_arrays(columns, names=[*carry, *numbers, "score"])
 
-    return docs.select(F.col(text).alias("_text"), *carry).mapInArrow(of_batches, schema)
+    return text_first(docs, text, carry).mapInArrow(of_batches, schema)
 
 
 def judge_quality(

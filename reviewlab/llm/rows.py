@@ -54,3 +54,11 @@ def widened(rows: DataFrame, like: DataFrame, used: list[str], added: list[str])
     """The columns of `like` again, without those of the same name as `added`, and `added`."""
     kept = [c for c in like.columns if c not in added]
     return rows.select(*[F.col(c) if c in used else F.col(f"_rest.`{c}`") for c in kept], *added)
+
+
+def text_first(docs: DataFrame, text: str, carried: list[str]) -> DataFrame:
+    """The text under a name of its own, then `carried`: the input of a Python step."""
+    name = "_text"
+    while name in carried:
+        name += "_"
+    return docs.select(F.col(text).alias(name), *carried)
