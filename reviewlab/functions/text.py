@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -32,21 +34,65 @@ def sentence_tokens(text: Column) -> Column:
 
 
 @lru_cache(maxsize=None)
-def _accent_table() -> tuple[str, str]:
-    """All characters that decompose to one base character plus marks, and those bases."""
-    source, target = [], []
-    for point in range(0x80, 0x2000):
-        parts = unicodedata.normalize("NFKD", chr(point))
+def _accent_table() -> tuple[str, str, dict[str, str]]:
+    """Compatibility decompositions without marks: one-to-one as two strings, the others as a map.
+
+    All of Unicode but the Hangul syllables, whose rule is arithmetic (see `_hangul`).
+    """
+    source, target, longer = [], [], {}
+    for point in range(0x80, sys.maxunicode + 1):
+        parts = unicodedata.normalize("NFKD", chr(point)) if not 0xAC00 <= point <= 0xD7A3 else chr(point)
         base = [c for c in parts if not unicodedata.combining(c)]
         if parts != chr(point) and len(base) == 1:
             source.append(chr(point))
             target.append(base[0])
-    return "".join(source), "".join(target)
+        elif parts != chr(point) and base:
+            longer[chr(point)] = "".join(base)
+    return "".join(source), "".join(target), longer
+
+
+def _character_class(characters: Iterable[str]) -> str:
+    """A regular-expression class of code-point ranges."""
+    held = {ord(c) for c in characters}
+    spans = []
+    for start in sorted(p for p in held if p - 1 not in held):
+        end = start
+        while end + 1 in held:
+            end += 1
+        spans.append(f"\\x{{{start:X}}}-\\x{{{end:X}}}")
+    return "[" + "".join(spans) + "]"
 
 
 def strip_accents(text: Column) -> Column:
-    source, target = _accent_table()
-    return F.regexp_replace(F.translate(text, source, target), r"\p{M}+", "")
+    """Characters by their compatibility decomposition, without combining marks.
+
+    Most characters become one other. The few texts with characters that become several (ligatures,
+    fractions, Hangul) are taken apart character by character; all others skip that branch.
+    """
+    source, target, longer = _accent_table()
+    pieces = F.create_map(*[F.lit(x) for pair in sorted(longer.items()) for x in pair])
+
+    def unfolded(c: Column) -> Column:
+        return F.when(c.between("\uac00", "\ud7a3"), _hangul(c)).otherwise(F.coalesce(F.try_element_at(pieces, c), c))
+
+    by_character = F.array_join(F.transform(F.split(text, ""), unfolded), "")
+    special = text.rlike(_character_class([*longer, *map(chr, range(0xAC00, 0xD7A4))]))
+    whole = F.when(special, by_character).otherwise(text)
+    return F.regexp_replace(F.translate(whole, source, target), r"\p{M}+", "")
+
+
+def _hangul(syllable: Column) -> Column:
+    """A Hangul syllable as its two or three letters, by the arithmetic of the Unicode standard."""
+    code = F.conv(F.hex(F.encode(syllable, "UTF-16BE")), 16, 10).cast("int") - 0xAC00
+    letters = [
+        _letter(0x1100, F.floor(code / 588)), _letter(0x1161, F.floor(F.pmod(code, F.lit(588)) / 28)),
+        F.when(F.pmod(code, F.lit(28)) == 0, "").otherwise(_letter(0x11A7, F.pmod(code, F.lit(28)))),
+    ]
+    return F.concat(*letters)
+
+
+def _letter(first: int, offset: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex((offset + first).cast("bigint")), 4, "0")), "UTF-16BE")
 
 
 def words(text: Column) -> Column:

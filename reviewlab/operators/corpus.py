@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewlab.functions import fixed_values as fv
@@ -27,29 +27,48 @@ def load_filter(reviews: DataFrame, min_text_length: int = fv.MIN_TEXT_LENGTH) -
     )
 
 
+def with_row_key(reviews: DataFrame, name: str = "row_key") -> DataFrame:
+    """A stable unique key for raw rows that have none: a hash of all columns and an occurrence number.
+
+    It depends on the rows alone, not on files or partitions. Equal rows are numbered from 0.
+    """
+    shown = [F.concat(F.lit("="), F.col(f"`{c}`").cast("string")) for c in sorted(reviews.columns)]
+    content = F.md5(F.concat_ws("|", *[F.coalesce(c, F.lit("-")) for c in shown]))
+    repeated = Window.partitionBy("_content").orderBy("_content")
+    numbered = reviews.withColumn("_content", content).withColumn("_n", F.row_number().over(repeated) - 1)
+    return numbered.withColumn(name, F.concat_ws("-", "_content", F.col("_n").cast("string"))).drop("_content", "_n")
+
+
 def with_doc_ids(
     reviews: DataFrame, order_key: str, max_documents: int | None = None
 ) -> DataFrame:
-    """Add `doc_id` = game, user and position among the rows in the order of a unique key.
+    """Add `doc_id` = game, user and position among the rows in the order of `order_key`.
 
-    With `max_documents` only the first rows of that order stay.
+    With `max_documents` only the first rows of that order stay. The key should be unique; rows that
+    share one, or have none (first in the order), keep positions of their own in arbitrary order. Missing
+    columns or values of game and user are named as unknown and anonymous.
     """
-    positions = ordinals(reviews.select(order_key), [order_key])
+    copies = reviews.groupBy(F.col(order_key).alias("_key")).agg(F.count("*").alias("_rows"))
+    keys = copies.select("_key", F.explode(F.expr("sequence(1L, _rows)")).alias("_copy"))
+    positions = ordinals(keys, ["_key", "_copy"])
     if max_documents is not None:
         positions = positions.where(F.col("ordinal") < max_documents)
-    user = F.nullif(F.col("user"), F.lit(""))
-    if "username" in reviews.columns:
-        user = F.coalesce(user, F.col("username"))
-    numbered = reviews.join(positions, order_key)
+    same_key = Window.partitionBy(order_key).orderBy(order_key)
+    numbered = reviews.withColumn("_of_key", F.row_number().over(same_key)).join(
+        positions, F.col(order_key).eqNullSafe(F.col("_key")) & (F.col("_of_key") == F.col("_copy"))
+    )
+
+    def named(columns: tuple[str, ...], default: str) -> Column:
+        present = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in columns if c in reviews.columns]
+        return F.coalesce(*present, F.lit(default))
+
     return numbered.withColumn(
         "doc_id",
         F.concat_ws(
-            "_",
-            F.coalesce("game_id", F.lit(fv.UNKNOWN_GAME)),
-            F.coalesce(user, F.lit(fv.ANONYMOUS_USER)),
+            "_", named(("game_id",), fv.UNKNOWN_GAME), named(("user", "username"), fv.ANONYMOUS_USER),
             F.col("ordinal").cast("string"),
         ),
-    ).drop("ordinal")
+    ).drop("ordinal", "_key", "_copy", "_of_key")
 
 
 def metadata_json(reviews: DataFrame, column: str = "metadata") -> DataFrame:
@@ -90,25 +109,38 @@ def with_label(df: DataFrame, bands: Bands = fv.TWO_CLASS_BANDS) -> DataFrame:
     return df.withColumn("label", label_of(F.col("rating"), bands))
 
 
-def label_by_band_table(df: DataFrame, bands: DataFrame, cell_width: float = 1.0) -> DataFrame:
-    """Label through a table `(position, label, low, high)`: a range join made an equi-join.
+def label_by_band_table(df: DataFrame, bands: DataFrame) -> DataFrame:
+    """Label through a table `(position, label, low, high)`: a range join made equi-joins.
 
-    Each band is laid on the cells of a grid; a row meets only the bands of its own cell, as one
-    array, so a row stays one row. Suits long band lists, where a chain of conditions does not.
+    A band lies on the grid whose cells are as wide as the next power of two above its own width, so
+    it covers two cells at most, however wide it is. A row meets only the bands of its cell on each
+    grid in use (a few, one per magnitude of widths), as arrays, so it stays one row. Suits long band
+    lists, where a chain of conditions does not.
     """
-    def cell(value: Column) -> Column:
-        return F.floor(value / F.lit(cell_width)).cast("bigint")
+    def cell(value: Column, level: Column) -> Column:
+        return F.floor(value / F.pow(F.lit(2.0), level)).cast("decimal(38,0)")
 
+    width = F.greatest(F.col("high") - F.col("low"), F.lit(1e-6))
+    levelled = bands.where(F.col("low") <= F.col("high")).withColumn("_level", F.ceil(F.log2(width)).cast("int"))
+    levels = sorted(r["_level"] for r in levelled.select("_level").distinct().collect())
     by_cell = (
-        bands.withColumn("_cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))))
-        .groupBy("_cell")
+        levelled.withColumn("_cell", F.explode(F.array_distinct(F.array(
+            cell(F.col("low"), F.col("_level")), cell(F.col("high"), F.col("_level"))
+        ))))
+        .groupBy("_level", "_cell")
         .agg(F.array_sort(F.collect_list(F.struct("position", "low", "high", "label"))).alias("_bands"))
     )
-    celled = df.withColumn("_cell", cell(F.col("rating")))
-    joined = lookup_join(celled, by_cell, ["_cell"], spread=F.xxhash64(*df.columns))
-    rating = F.col("rating")
-    hits = F.filter("_bands", lambda b: rating.between(b["low"], b["high"]))
-    return joined.withColumn("label", F.get(hits, F.lit(0))["label"]).drop("_cell", "_bands")
+    rating, joined, found = F.col("rating"), df, []
+    for n, level in enumerate(levels):
+        of_level = by_cell.where(F.col("_level") == level).select("_cell", F.col("_bands").alias(f"_bands{n}"))
+        celled = joined.withColumn("_cell", cell(rating, F.lit(level)))
+        joined = lookup_join(celled, of_level, ["_cell"], spread=F.xxhash64(*df.columns)).drop("_cell")
+        found.append(F.filter(f"_bands{n}", lambda b: rating.between(b["low"], b["high"])))
+    if not found:
+        return df.withColumn("label", F.lit(None).cast("string"))
+    none = F.array().cast("array<struct<position:int,low:double,high:double,label:string>>")
+    hits = F.array_sort(F.concat(*[F.coalesce(f, none) for f in found]))
+    return joined.withColumn("label", F.get(hits, F.lit(0))["label"]).drop(*[f"_bands{n}" for n in range(len(levels))])
 
 
 def band_table(spark: SparkSession, bands: Bands) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The linguistic features: one pass over the tokens, one aggregate per document."""
+"""The linguistic features, computed within the row."""
 
 from __future__ import annotations
 
@@ -34,68 +34,82 @@ def _valences(lexicon: DataFrame, term: str, valence: str) -> DataFrame:
     return lexicon.groupBy(F.lower("term").alias(term)).agg(F.max("valence").alias(valence))
 
 
-# --- token rows and the aggregates over them ------------------------------------------------
+# --- words of a document and their valences --------------------------------------------------
 
-
-def _count_if(condition: Column) -> Column:
-    return F.count_if(F.coalesce(condition, F.lit(False)))
-
-
-# A lexicon up to this size is also sent along as a list, to drop other tokens within the row.
+# A lexicon up to this size, with so many different valences, is spelled out within the row.
 INLINE_WORD_LIMIT = 20_000
+INLINE_VALENCES = 64
 
 
-def _inline_words(lexicon: DataFrame, extra: Iterable[str] = ()) -> list[str] | None:
-    """All words that can count, or None when the lexicon is too large to be listed."""
-    terms = lexicon.select(F.lower("term").alias("term")).limit(INLINE_WORD_LIMIT + 1).collect()
-    if len(terms) > INLINE_WORD_LIMIT:
-        return None
-    return sorted({t["term"] for t in terms if t["term"] is not None} | {w.lower() for w in extra})
+class _Scored:
+    """Rows with their words in `_words`, and the valence of a word as an expression on the row.
 
-
-def _scored_rows(
-    df: DataFrame, word_array: str, lexicon: DataFrame, listed: list[str] | None, negated: str | None = None
-) -> DataFrame:
-    """Unfold `word_array` to `word` and look up its `valence`; a document keeps one row at least.
-
-    Words outside `listed` are dropped before they become rows. Words in the array `negated` are
-    added and marked `is_negated`. The other columns of `df` are kept.
+    A listed lexicon is a chain of set memberships: no join and no shuffle. A larger one is joined once
+    per document and distinct word, and each document gets the valences of its own words as a map.
+    Either way every row of the input, copies of a document included, keeps its own result.
     """
-    words = F.col(word_array)
-    if listed is not None:
-        words = F.filter(words, lambda w: w.isin(listed))
-
-    def item(is_negated: bool):
-        return lambda w: F.struct(w.alias("word"), F.lit(is_negated).alias("is_negated"))
-
-    items = F.transform(words, item(False))
-    if negated is not None:
-        items = F.concat(items, F.transform(negated, item(True)))
-    kept = [c for c in df.columns if c not in (word_array, negated)]
-    rows = df.select(*kept, F.inline_outer(items))
-    return lookup_join(
-        rows, _valences(lexicon, "word", "valence"), ["word"], spread=F.col("doc_id"),
-        known_rows=None if listed is None else len(listed),
-    )
-
 
-def _document_rows(
-    df: DataFrame, lexicon: DataFrame, text: str, extra: Iterable[str] = ()
-) -> DataFrame:
-    """`(doc_id, token_count, word, is_negated, valence)`"""
-    lowered = df.select("doc_id", tokens(F.lower(text)).alias("_words")).select(
-        "doc_id", F.size("_words").cast("bigint").alias("token_count"), "_words"
+    def __init__(self, rows: DataFrame, lexicon: DataFrame, others: str | None = None):
+        valences = _valences(lexicon, "word", "valence").where(F.col("word").isNotNull())
+        listed = valences.limit(INLINE_WORD_LIMIT + 1).collect()
+        by_value: dict[float, list[str]] = {}
+        for entry in listed:
+            if entry["valence"] is not None:
+                by_value.setdefault(float(entry["valence"]), []).append(entry["word"])
+        if len(listed) > INLINE_WORD_LIMIT or len(by_value) > INLINE_VALENCES:
+            self.rows, self._by_value = _with_own_valences(rows, valences, others), None
+        else:
+            self.rows, self._by_value = rows, {v: sorted(w) for v, w in sorted(by_value.items())}
+
+    def count(self, words: str, above: float | None = None, below: float | None = None) -> Column:
+        """Words with a valence above or below a limit; other than zero without limits."""
+        def wanted(v):
+            return v > above if above is not None else v < below if below is not None else v != 0
+
+        if self._by_value is None:
+            own = F.filter(words, lambda w: F.coalesce(wanted(F.try_element_at("_own", w)), F.lit(False)))
+        else:
+            listed = [w for v, ws in self._by_value.items() if wanted(v) for w in ws]
+            own = F.filter(words, lambda w: w.isin(listed)) if listed else F.array()
+        return F.size(own).cast("bigint")
+
+    def total(self, words: str) -> Column:
+        """Sum of the valences."""
+        if self._by_value is None:
+            return F.aggregate(
+                words, F.lit(0.0), lambda sum_, w: sum_ + F.coalesce(F.try_element_at("_own", w), F.lit(0.0))
+            )
+        parts = [
+            F.lit(v) * F.size(F.filter(words, _among(ws)))
+            for v, ws in self._by_value.items()
+        ]
+        return sum(parts, F.lit(0.0))
+
+
+def _among(listed: list[str]):
+    return lambda w: w.isin(listed)
+
+
+def _with_own_valences(rows: DataFrame, valences: DataFrame, others: str | None) -> DataFrame:
+    """Add `_own`, a map from each document's words (and those in `others`) to their valences."""
+    words = F.col("_words") if others is None else F.concat("_words", others)
+    held = rows.select("doc_id", F.explode(F.array_distinct(words)).alias("word")).distinct()
+    joined = lookup_join(held, valences, ["word"], spread=F.col("doc_id"), how="inner")
+    maps = joined.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "valence"))).alias("_own"))
+    return rows.join(maps, "doc_id", "left").withColumn(
+        "_own", F.coalesce("_own", F.create_map().cast("map<string,double>"))
     )
-    return _scored_rows(lowered, "_words", lexicon, _inline_words(lexicon, extra))
 
 
-def _plain(condition: Column) -> Column:
-    """The condition for words as they stand, not as targets of a negation."""
-    return _count_if(~F.col("is_negated") & condition)
+def _document_words(df: DataFrame, text: str) -> DataFrame:
+    """The rows of `df` with the lower-cased tokens of the text and their number."""
+    kept = [c for c in ("doc_id", "draw") if c in df.columns]
+    lowered = df.select(*kept, tokens(F.lower(text)).alias("_words"))
+    return lowered.withColumn("token_count", F.size("_words").cast("bigint"))
 
 
-def _opinion_columns() -> list[Column]:
-    positive, negative = _plain(F.col("valence") > 0), _plain(F.col("valence") < 0)
+def _opinion_columns(scored: _Scored) -> list[Column]:
+    positive, negative = scored.count("_words", above=0), scored.count("_words", below=0)
     return [
         positive.alias("positive_word_count"),
         negative.alias("negative_word_count"),
@@ -103,21 +117,23 @@ def _opinion_columns() -> list[Column]:
     ]
 
 
-def _domain_columns(domain: Iterable[str]) -> list[Column]:
-    hits = _plain(F.col("word").isin(_lowered(domain)))
-    opinions = _plain(F.col("valence") != 0)
+def _listed_count(listed: list[str]) -> Column:
+    return F.size(F.filter("_words", lambda w: w.isin(listed))).cast("bigint") if listed else F.lit(0).cast("bigint")
+
+
+def _domain_columns(scored: _Scored, domain: Iterable[str]) -> list[Column]:
+    hits = _listed_count(_lowered(domain))
     return [
         hits.alias("domain_word_count"),
         bounded_ratio(hits, F.col("token_count")).alias("domain_word_ratio"),
         (hits > 0).alias("has_domain_words"),
-        ((opinions > 0) & (hits > 0)).alias("domain_opinion_overlap"),
+        ((scored.count("_words") > 0) & (hits > 0)).alias("domain_opinion_overlap"),
     ]
 
 
-def _valence_columns() -> list[Column]:
-    n = F.col("token_count")
-    total = F.coalesce(F.sum(F.when(~F.col("is_negated"), F.col("valence"))), F.lit(0.0))
-    positive, negative = _plain(F.col("valence") > 0), _plain(F.col("valence") < 0)
+def _valence_columns(scored: _Scored) -> list[Column]:
+    n, total = F.col("token_count"), scored.total("_words")
+    positive, negative = scored.count("_words", above=0), scored.count("_words", below=0)
     neutral = F.when(n > 0, bounded_ratio(n - positive - negative, n)).otherwise(0.0)
     return [
         (total / F.sqrt(total * total + F.lit(fv.VALENCE_ALPHA))).alias("vader_compound"),
@@ -131,9 +147,14 @@ def _lowered(words: Iterable[str]) -> list[str]:
     return sorted({w.lower() for w in words})
 
 
+def _keys(df: DataFrame) -> list[str]:
+    """The id, and the number of the draw where a document was drawn several times."""
+    return [c for c in ("doc_id", "draw") if c in df.columns]
+
+
 def opinion_words(df: DataFrame, lexicon: DataFrame, text: str = "text") -> DataFrame:
-    rows = _document_rows(df, lexicon, text)
-    return rows.groupBy("doc_id", "token_count").agg(*_opinion_columns()).drop("token_count")
+    scored = _Scored(_document_words(df, text), lexicon)
+    return scored.rows.select(*_keys(df), *_opinion_columns(scored))
 
 
 def domain_vocabulary(
@@ -142,8 +163,8 @@ def domain_vocabulary(
     domain: Iterable[str] = fv.DOMAIN_WORDS_SHORT,
     text: str = "text",
 ) -> DataFrame:
-    rows = _document_rows(df, lexicon, text, domain)
-    return rows.groupBy("doc_id", "token_count").agg(*_domain_columns(domain)).drop("token_count")
+    scored = _Scored(_document_words(df, text), lexicon)
+    return scored.rows.select(*_keys(df), *_domain_columns(scored, domain))
 
 
 def domain_word_frequency(
@@ -159,9 +180,9 @@ def valence_scores(df: DataFrame, lexicon: DataFrame | None, text: str = "text")
     """Normalised valence sum and shares of matched words; zeros without a lexicon."""
     if lexicon is None:
         names = ("vader_compound", "vader_positive", "vader_negative", "vader_neutral")
-        return df.select("doc_id", *[F.lit(0.0).alias(c) for c in names])
-    rows = _document_rows(df, lexicon, text)
-    return rows.groupBy("doc_id", "token_count").agg(*_valence_columns()).drop("token_count")
+        return df.select(*_keys(df), *[F.lit(0.0).alias(c) for c in names])
+    scored = _Scored(_document_words(df, text), lexicon)
+    return scored.rows.select(*_keys(df), *_valence_columns(scored))
 
 
 def structural_features(
@@ -179,6 +200,10 @@ def structural_features(
     return measured.withColumn("avg_sentence_length", average)
 
 
+def _count_if(condition: Column) -> Column:
+    return F.count_if(F.coalesce(condition, F.lit(False)))
+
+
 # --- negations and degree words from annotations --------------------------------------------
 
 
@@ -264,41 +289,37 @@ def linguistic_features(
 ) -> DataFrame:
     """`doc_id`, `label` and the 23 features (22 without the rating), in their fixed order.
 
-    With `annotations` the negation and degree columns come from them and are joined in. Without,
-    the cue rules are applied to neighbouring tokens, so all columns come from a single aggregate
-    whose map side already holds one row per document.
+    Everything is computed within the row, copies of a document (`draw`) included; only a lexicon too
+    large to be listed takes a join. With `annotations` the negation and degree columns come from them
+    and are joined in. Without, the cue rules are applied to neighbouring tokens.
     """
     cues, strong_words = _lowered(negation_cues), sorted(set(_lowered(strong)) - set(_lowered(negation_cues)))
     weak_words = sorted(set(_lowered(weak)) - set(strong_words) - set(cues))
     measured = df.select(
-        "doc_id", "label", "rating",
+        *_keys(df), "label", "rating",
         F.length(text).cast("bigint").alias("text_length"),
         sentence_tokens(F.lower(text)).alias("_sentences"),
     )
     following = F.flatten(F.transform("_sentences", lambda s: _after(s, cues)))
     arrays = measured.select(
-        "doc_id", "label", "rating", "text_length",
+        *_keys(df), "label", "rating", "text_length",
         F.size("_sentences").cast("bigint").alias("sentence_count"),
         F.flatten("_sentences").alias("_words"),
         (following if annotations is None else F.array().cast("array<string>")).alias("_negated"),
     ).withColumn("token_count", F.size("_words").cast("bigint"))
-    listed = _inline_words(lexicon, [*domain, *cues, *strong_words, *weak_words])
-    words = _scored_rows(arrays, "_words", lexicon, listed, negated="_negated")
-    columns = [*_opinion_columns(), *_domain_columns(domain), *_valence_columns()]
+    scored = _Scored(arrays, lexicon, others="_negated")
+    columns = [*_opinion_columns(scored), *_domain_columns(scored, domain), *_valence_columns(scored)]
     if annotations is None:
         counts = {
-            "negation": _plain(F.col("word").isin(cues)),
-            "intensifier": _plain(F.col("word").isin(strong_words)),
-            "mitigator": _plain(F.col("word").isin(weak_words)),
+            "negation": _listed_count(cues),
+            "intensifier": _listed_count(strong_words),
+            "mitigator": _listed_count(weak_words),
         }
         columns += [count.alias(f"{name}_count") for name, count in counts.items()]
         columns += [(count > 0).alias(f"has_{name}") for name, count in counts.items()]
-        columns.append(
-            _count_if(F.col("is_negated") & (F.col("valence") != 0)).alias("negated_opinion_words")
-        )
-    # columns of the document ride along as grouping keys: text in an aggregate would force a sort
-    keys = ["doc_id", "label", "rating", "text_length", "sentence_count", "token_count"]
-    features = words.groupBy(*keys).agg(*columns).withColumn(
+        columns.append(scored.count("_negated").alias("negated_opinion_words"))
+    kept = [*_keys(df), "label", "rating", "text_length", "sentence_count", "token_count"]
+    features = scored.rows.select(*kept, *columns).withColumn(
         "avg_sentence_length", bounded_ratio(F.col("token_count"), F.col("sentence_count"))
     )
     if annotations is not None:
@@ -308,7 +329,7 @@ def linguistic_features(
             missing = F.lit(False) if name.startswith("has_") else F.lit(0).cast("bigint")
             features = features.withColumn(name, F.coalesce(name, missing))
     wanted = [c for c in fv.FEATURE_COLUMNS if include_rating or c != "rating"]
-    return features.select("doc_id", "label", *wanted)
+    return features.select(*_keys(df), "label", *wanted)
 
 
 def _after(sentence: Column, cues: list[str]) -> Column:

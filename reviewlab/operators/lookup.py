@@ -5,14 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# About 50 bytes per entry: a table under the limit takes some ten megabytes on an executor.
+# A broadcast table may take so many rows and, by the width of its columns, so many bytes.
 BROADCAST_ROW_LIMIT = 200_000
-SALTS = 32
+BROADCAST_BYTE_LIMIT = 64 << 20
+#: Salted joins: rows of one key that a task may get, and the bounds of the salt count.
+ROWS_PER_SALT, LEAST_SALTS, MOST_SALTS = 5_000_000, 32, 4096
 
 
-def is_small(table: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Count at most `limit + 1` rows, so the check stays cheap on a large table."""
-    return table.limit(limit + 1).count() <= limit
+def is_small(table: DataFrame, limit: int = BROADCAST_ROW_LIMIT, byte_limit: int = BROADCAST_BYTE_LIMIT) -> bool:
+    """Whether `table` has at most `limit` rows of at most `byte_limit` bytes together.
+
+    At most `limit + 1` rows are looked at, so the check stays cheap on a large table. Fixed-width
+    columns count 16 bytes; strings and nested values count the length of their text.
+    """
+    fixed = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp"}
+    open_ended = [F.coalesce(F.length(F.to_json(F.struct(f"`{c}`"))), F.lit(0)) for c, kind in table.dtypes if kind not in fixed]
+    width = sum(open_ended, F.lit(16 * (len(table.columns) - len(open_ended) + 1)))
+    seen = table.limit(limit + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return seen["n"] <= limit and seen["bytes"] <= byte_limit
+
+
+def salts_for(rows: DataFrame) -> int:
+    """As many salts as keep even a key that holds all rows at `ROWS_PER_SALT` rows a task."""
+    return min(MOST_SALTS, max(LEAST_SALTS, -(-rows.count() // ROWS_PER_SALT)))
 
 
 def lookup_join(
@@ -27,11 +42,13 @@ def lookup_join(
     """Join `rows` with `table` on `on`: broadcast below the checked limit, salted above it.
 
     `known_rows` is an upper bound the caller can prove (then nothing is counted). Above the
-    limit one hot key, such as a very frequent word, is spread over `SALTS` tasks by `spread`.
+    limit one hot key, such as a very frequent word, is spread over many tasks by `spread`; the
+    number of salts follows the number of rows.
     """
     small = known_rows <= limit if known_rows is not None else is_small(table, limit)
     if small:
         return rows.join(F.broadcast(table), on, how)
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    salted_table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = salts_for(rows)
+    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    salted_table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_rows.join(salted_table, [*on, "_salt"], how).drop("_salt")

@@ -227,7 +227,11 @@ def cross_validate(
             representation.width,
         )
         by_fold = evaluation.weighted_metrics(judged, classes, ["alpha", "fit_prior", "fold"])
-        means = by_fold.groupBy("alpha", "fit_prior").agg(F.avg("f1_score").alias("f1_cv"))
+        # one pass fits the whole grid; only the settings asked for may be chosen
+        offered = [F.struct(F.lit(float(s["alpha"])), F.lit(bool(s["fit_prior"]))) for s in settings]
+        means = by_fold.groupBy("alpha", "fit_prior").agg(F.avg("f1_score").alias("f1_cv")).where(
+            F.struct("alpha", "fit_prior").isin(offered)
+        )
         return means.select(
             F.lit(name).alias("model"), F.to_json(F.struct("alpha", "fit_prior")).alias("params"), "f1_cv"
         )

@@ -9,15 +9,20 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from reviewlab.functions.keys import leading_bits, seeded_hash
+from reviewlab.operators.lookup import lookup_join
 from reviewlab.session import materialize
 
 # 65,536 hash buckets per class: about 500,000 of 33 billion rows in each.
 BUCKET_HEX_DIGITS = 4
 
+#: Up to so many first rows, a top-n over all tasks costs less than sorting the keys.
+FEW_ROWS = 1000
+
 Cuts = Callable[[Column, Column, Column], list[Column]]
 
 
-MAX_GROUPS = 1000
+#: Segment ends are spelled out in the projection for so many groups; beyond it they are joined as a table.
+LISTED_GROUPS = 1000
 
 
 def hash_segments(
@@ -30,21 +35,29 @@ def hash_segments(
     lie before it. Rows without a group are dropped.
 
     Two small jobs over (group, key) find the hash at which each segment ends: the first counts rows
-    per group and hash bucket, the second ranks the few buckets that hold an end. The driver gets one
-    row per end. The result then is a plain projection that compares hashes, so the rows are never
-    shuffled, and groups may be of any size and skew. Rows with equal key always share a segment.
+    per group and hash bucket, the second ranks the few buckets that hold an end. For up to a thousand
+    groups the driver gets one row per end and the result is a plain projection that compares hashes;
+    for more, the ends are a table of one row per group that is joined. Either way the rows are not
+    ranked as a whole, so groups may be of any size and skew. Rows with equal key always share a
+    segment.
     """
     keyed = df.where(F.col(group).isNotNull()).select(
         F.col(group), F.col(key).cast("string").alias("_k"), seeded_hash(seed, F.col(key)).alias("_h")
     )
     keyed = keyed.withColumn("_b", leading_bits(F.col("_h"), BUCKET_HEX_DIGITS))
-    ends = _segment_ends(_bucket_spans(keyed, group), group, cuts)
+    table, n_ends = _segment_ends(keyed, group, cuts)
+    ends = table.limit(LISTED_GROUPS * n_ends + 1).collect()
+    if not ends:
+        return df.where(F.lit(False)).withColumn(column, F.lit(0))
+    hashed, name = seeded_hash(seed, F.col(key)), F.col(key).cast("string")
+    if len(ends) > LISTED_GROUPS * n_ends:
+        limits = _limit_table(keyed, group, materialize(table, "ends"))
+        rows = lookup_join(df.where(F.col(group).isNotNull()), limits, [group], spread=hashed, how="inner")
+        passed_ends = F.filter("_limits", lambda e: (hashed > e["_h"]) | ((hashed == e["_h"]) & (name > e["_k"])))
+        return rows.withColumn(column, F.size(passed_ends)).select(*df.columns, column)
     limits = {(e[group], e["_i"]): ("", "") for e in ends if e["_end"] <= 0}
     limits.update(_last_rows(keyed, group, [e for e in ends if e["_end"] > 0]))
     groups = sorted({g for g, _ in limits}, key=str)
-    if not groups:
-        return df.where(F.lit(False)).withColumn(column, F.lit(0))
-    hashed, name = seeded_hash(seed, F.col(key)), F.col(key).cast("string")
 
     def passed(g) -> Column:
         after = [
@@ -72,13 +85,16 @@ def _bucket_spans(keyed: DataFrame, group: str) -> DataFrame:
     )
 
 
-def _segment_ends(spans: DataFrame, group: str, cuts: Cuts) -> list[Row]:
-    """`(group, _b, _start, _i, _end)` for each end, with the bucket that holds its last row."""
-    over_all = Window.partitionBy(F.lit(1))
+def _segment_ends(keyed: DataFrame, group: str, cuts: Cuts) -> tuple[DataFrame, int]:
+    """`(group, _b, _start, _i, _end)` for each end, with the bucket that holds its last row; ends per group."""
+    # sizes of the smallest and largest group come from one small aggregate, not from a window over all
+    sizes = keyed.groupBy(group).agg(F.count("*").alias("_rows"))
+    extremes = sizes.agg(F.struct(F.min("_rows").alias("low"), F.max("_rows").alias("high"))).scalar()
     size = F.col("_size")
-    wanted = cuts(size, F.min(size).over(over_all), F.max(size).over(over_all))
+    spans = _bucket_spans(keyed, group).withColumn("_extremes", extremes)
+    wanted = cuts(size, F.col("_extremes.low"), F.col("_extremes.high"))
     ends = F.array(*[F.least(c.cast("bigint"), size) for c in wanted])
-    rows = (
+    table = (
         spans.withColumn("_ends", ends)
         .select(group, "_b", "_start", "_stop", F.posexplode("_ends").alias("_i", "_end"))
         .where(
@@ -86,12 +102,28 @@ def _segment_ends(spans: DataFrame, group: str, cuts: Cuts) -> list[Row]:
             | ((F.col("_end") <= 0) & (F.col("_start") == 0))
         )
         .drop("_stop")
-        .limit(MAX_GROUPS * len(wanted) + 1)
-        .collect()
     )
-    if len(rows) > MAX_GROUPS * len(wanted):
-        raise ValueError(f"more than {MAX_GROUPS} groups in {group}")
-    return rows
+    return table, len(wanted)
+
+
+def _limit_table(keyed: DataFrame, group: str, ends: DataFrame) -> DataFrame:
+    """`(group, _limits)`: hash and key of the last row before each end, for any number of groups."""
+    real = ends.where(F.col("_end") > 0)
+    buckets = real.select(group, "_b", "_start").distinct()
+    one_bucket = Window.partitionBy(group, "_b").orderBy("_h", "_k")
+    ranked = (
+        lookup_join(keyed, buckets, [group, "_b"], spread=F.col("_k"), how="inner")
+        .groupBy(group, "_b", "_start", "_h", "_k").agg(F.count("*").alias("_rows"))
+        .withColumn("_upto", F.col("_start") + F.sum("_rows").over(one_bucket))
+    )
+    first = F.min(F.when(F.col("_upto") >= F.col("_end"), F.struct("_h", "_k"))).alias("_limit")
+    placed = real.drop("_start").join(ranked, [group, "_b"]).groupBy(group, "_i").agg(first)
+    before_all = ends.where(F.col("_end") <= 0).select(
+        group, "_i", F.struct(F.lit("").alias("_h"), F.lit("").alias("_k")).alias("_limit")
+    )
+    return materialize(
+        placed.unionByName(before_all).groupBy(group).agg(F.collect_list("_limit").alias("_limits")), "limits"
+    )
 
 
 def _last_rows(keyed: DataFrame, group: str, ends: list[Row]) -> dict:
@@ -178,8 +210,14 @@ def ordinals(keys: DataFrame, order: list[str], column: str = "ordinal") -> Data
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The `n` rows with the smallest `key` (unique), found through the sorted keys alone."""
-    last = ordinals(df.select(key), [key]).where(F.col("ordinal") == n - 1).select(key).first()
+    """The `n` rows with the smallest `key` (unique, nulls first).
+
+    A few rows come from every task's own smallest ones; for many, range counts of the sorted keys find
+    the last key that stays.
+    """
     if n <= 0:
         return df.limit(0)
+    if n <= FEW_ROWS:
+        return df.orderBy(F.col(key).asc_nulls_first()).limit(n)
+    last = ordinals(df.select(key), [key]).where(F.col("ordinal") == n - 1).select(key).first()
     return df if last is None else df.where(F.col(key) <= F.lit(last[key]))

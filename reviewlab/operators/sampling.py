@@ -11,7 +11,8 @@ from reviewlab.operators.corpus import whole_share
 from reviewlab.operators.ranking import hash_rank, hash_segments
 
 _CHUNK = 65_536
-_DRAW_HEX_DIGITS = 8
+# 60 bits: a class would need 10^15 rows before any of them became noticeably rarer
+_DRAW_HEX_DIGITS = 15
 
 
 def balance_subsample(

@@ -45,7 +45,8 @@ def _weighted_summary() -> list:
         F.expr("percentile(value, 0.5D, n)").alias("median"),
         F.min("value").cast("double").alias("min"),
         F.max("value").cast("double").alias("max"),
-        F.sqrt(F.sum(value * value * n) / F.sum(n) - mean * mean).alias("std"),
+        # rounding may leave a difference just below zero
+        F.sqrt(F.greatest(F.sum(value * value * n) / F.sum(n) - mean * mean, F.lit(0.0))).alias("std"),
     ]
 
 

@@ -145,39 +145,44 @@ def _with_game(rows: DataFrame, pattern: str) -> DataFrame:
     return rows.withColumn("game_id", game).drop("_path")
 
 
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def read_game_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """`(game_id, name, categories, mechanics)` from `<id>_metadata.json` and `<id>/metadata.json`."""
+    """`(game_id, name, categories, mechanics)` from `<id>_metadata.json` and `<id>/metadata.json`.
+
+    A game with both files has the first one. Any game may lack either.
+    """
     root = path.rstrip("/")
-    children = _children(spark, path)
-    parts = []
-    if any(name.endswith(_METADATA_SUFFIX) for name, _ in children):
-        parts.append((f"{root}/*{_METADATA_SUFFIX}", r"([^/]*)_metadata\.json$"))
-    folders = [name for name, folder in children if folder]
-    if any(name == "metadata.json" for f in folders[:1] for name, _ in _children(spark, f"{root}/{f}")):
-        parts.append((f"{root}/*/metadata.json", r"([^/]*)/metadata\.json$"))
+    layouts = [
+        (f"{root}/*{_METADATA_SUFFIX}", r"([^/]*)_metadata\.json$"),
+        (f"{root}/*/metadata.json", r"([^/]*)/metadata\.json$"),
+    ]
     tables = [
         _with_game(
             spark.read.option("multiLine", True).schema(METADATA_FIELDS).json(files)
             .withColumn("_path", F.col("_metadata.file_path")),
             pattern,
         )
-        for files, pattern in parts
+        for files, pattern in layouts if _exists(spark, files)
     ]
     if not tables:
         empty = T.StructType([*METADATA_FIELDS.fields, T.StructField("game_id", T.StringType())])
         return spark.createDataFrame([], empty)
     out = tables[0]
     for table in tables[1:]:
-        out = out.unionByName(table)
+        out = out.unionByName(table.join(out.select("game_id").distinct(), "game_id", "left_anti"))
     return out
 
 
 def with_game_metadata(reviews: DataFrame, metadata: DataFrame) -> DataFrame:
     """Left join with defaults: no name and empty lists where a game has no metadata."""
-    # one record per game, the same one on every run
-    one_each = metadata.groupBy("game_id").agg(
-        *[F.min(c).alias(c) for c in ("name", "categories", "mechanics")]
-    )
+    # one whole record per game, the same one on every run
+    record = F.min(F.struct("name", "categories", "mechanics")).alias("r")
+    one_each = metadata.groupBy("game_id").agg(record).select("game_id", "r.*")
     joined = lookup_join(reviews, one_each, ["game_id"], spread=F.xxhash64(*reviews.columns))
     empty = F.array().cast("array<string>")
     return joined.withColumn("categories", F.coalesce("categories", empty)).withColumn(
@@ -185,6 +190,15 @@ def with_game_metadata(reviews: DataFrame, metadata: DataFrame) -> DataFrame:
     )
 
 
+def list_game_ids(spark: SparkSession, path: str) -> list[str]:
+    """Game ids of a JSON layout from file and folder names alone, games without reviews included."""
+    children = _children(spark, path)
+    files = [name for name, folder in children if not folder and name.endswith(".json")]
+    if files:
+        return sorted(name.removesuffix(".json") for name in files if not name.endswith(_METADATA_SUFFIX))
+    return sorted(name.removeprefix("game_id=") for name, folder in children if folder)
+
+
 def all_game_ids(reviews: DataFrame) -> DataFrame:
     return reviews.select("game_id").distinct()
 
