@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlab.llm.rows import BLANKS, ascii_lower, hash128, join_by_row, narrowed, same, widened, with_row_hash
+from reviewlab.session import materialize
 
 MIN_LENGTH = 40
 MIN_DOCUMENTS = 5
@@ -59,8 +60,10 @@ def dedup_lines(
     lines = docs.select(F.col(key).alias("_id"), "_row", F.explode(hashed).alias("line")).select(
         "_id", "_row", "line.at", "line.hash"
     )
+    # a table of its own, so that both sides of the join are plain exchanges, which can be split
+    repeated = materialize(repeated_lines(lines, min_documents), "repeated-lines")
     dropped = (
-        lines.join(repeated_lines(lines, min_documents), "hash")
+        lines.join(repeated, "hash")
         .where(~same(F.col("_id"), F.col("keeper")))
         .groupBy("_id", "_row")
         .agg(F.collect_set("at").alias("_gone"))
