@@ -22,7 +22,7 @@ Cuts = Callable[[Column, Column, Column], list[Column]]
 
 
 #: Segment ends are spelled out in the projection for so many groups; beyond it they are joined as a table.
-LISTED_GROUPS = 1000
+LISTED_GROUPS = 50
 
 
 def hash_segments(
@@ -35,7 +35,7 @@ def hash_segments(
     lie before it. Rows without a group are dropped.
 
     Two small jobs over (group, key) find the hash at which each segment ends: the first counts rows
-    per group and hash bucket, the second ranks the few buckets that hold an end. For up to a thousand
+    per group and hash bucket, the second ranks the few buckets that hold an end. For up to fifty
     groups the driver gets one row per end and the result is a plain projection that compares hashes;
     for more, the ends are a table of one row per group that is joined. Either way the rows are not
     ranked as a whole, so groups may be of any size and skew. Rows with equal key always share a

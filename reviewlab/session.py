@@ -42,13 +42,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", compression: str | None = None) -> DataFrame:
     """Compute `df` once into a Parquet table below the shared folder and read that.
 
     Readers survive the loss of executors, prune columns and push filters down.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -187,3 +187,56 @@ def test_empty_statistics(spark):
     assert rows["reviews_per_game", "unique_games"] == 0
 
 
+
+
+def test_ids_of_raw_rows(spark):
+    """No user or game column, shared keys, missing keys: every row keeps one id of its own."""
+    rows = [(1, "a"), (1, "b"), (None, "c"), (2, "d"), (None, "e")]
+    bare = spark.createDataFrame(rows, "k int, text string")
+    found = {r["text"]: r["doc_id"] for r in corpus.with_doc_ids(bare, "k").collect()}
+    assert set(found) == set("abcde") and set(found.values()) == {f"unknown_anonymous_{i}" for i in range(5)}
+    assert {found["c"], found["e"]} == {"unknown_anonymous_0", "unknown_anonymous_1"} and found["d"].endswith("_4")
+    assert corpus.with_doc_ids(bare, "k", 2).count() == 2
+    named = bare.withColumn("game_id", F.lit("g")).withColumn("username", F.lit("n"))
+    assert {r["doc_id"][:4] for r in corpus.with_doc_ids(named, "k").collect()} == {"g_n_"}
+
+
+def test_row_keys(spark):
+    rows = [("x", 1), ("x", 1), ("x", None), (None, 1), ("y", 1)]
+    frame = spark.createDataFrame(rows, "text string, n int")
+    keys = [r["row_key"] for r in corpus.with_row_key(frame).collect()]
+    again = [r["row_key"] for r in corpus.with_row_key(frame.repartition(3)).collect()]
+    assert len(set(keys)) == 5 and sorted(keys) == sorted(again)
+
+
+def test_open_ended_bands(spark):
+    bands = [("low", -1e12, 3.0), ("mid", 3.0, 3.0000001), ("wide", 2.5, 1e12), ("high", 7, 10)]
+    values = [-5e11, 2.4, 2.5, 3.0, 3.00000005, 8.0, 9e11, None, 2e12]
+    frame = spark.createDataFrame([(v,) for v in values], "rating double")
+    by_table = corpus.label_by_band_table(frame, corpus.band_table(spark, bands)).collect()
+    assert {r["rating"]: r["label"] for r in by_table} == {
+        r["rating"]: r["label"] for r in corpus.with_label(frame, bands).collect()
+    }
+
+
+def test_limits_as_table_equal_listed_limits(spark, monkeypatch):
+    frame = labelled(spark, {"a": 101, "b": 40, "c": 1})
+    ways = {"split": sampling.two_step_split, "folds": lambda f: sampling.stratified_folds(f, 3), "cut": sampling.balance_subsample}
+    listed = {name: way(frame) for name, way in ways.items()}
+    monkeypatch.setattr(ranking, "LISTED_GROUPS", 1)
+    for name, way in ways.items():
+        assert way(frame).exceptAll(listed[name]).isEmpty() and listed[name].exceptAll(way(frame)).isEmpty()
+
+
+def test_more_than_a_thousand_groups(spark):
+    frame = spark.range(8000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("g"), F.col("id") % 1600).alias("label")
+    )
+    counts = sampling.stratified_split(frame, 0.2, 0.2).groupBy("label").pivot("set").count()
+    assert counts.where("test = 1 AND validation = 1 AND train = 3").count() == 1600
+
+
+def test_wide_tables_are_not_broadcast(spark):
+    wide = spark.range(100).select("id", F.expr("repeat('x', 1000)").alias("text"))
+    assert lookup.is_small(wide) and not lookup.is_small(wide, byte_limit=50_000)
+    assert not lookup.is_small(wide, limit=99)

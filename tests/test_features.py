@@ -67,12 +67,26 @@ def test_no_lexicon_gives_zero_scores(reviews):
     assert features.valence_scores(reviews, None).where("vader_compound <> 0 OR vader_neutral <> 0").isEmpty()
 
 
-def test_single_aggregate_without_python(spark, reviews):
-    table = features.linguistic_features(reviews, features.basic_lexicon(spark))
-    plan = table._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "SortAggregate" not in plan and "Window" not in plan
-    # one exchange of partial counts, one for the tiny lexicon
-    assert plan.count("Exchange hashpartitioning") == 2
+def test_listed_lexicon_needs_no_shuffle(spark, reviews):
+    lexicon = features.basic_lexicon(spark)
+    tables = [
+        features.opinion_words(reviews, lexicon), features.domain_vocabulary(reviews, lexicon),
+        features.valence_scores(reviews, lexicon), features.linguistic_features(reviews, lexicon),
+    ]
+    for table in tables:
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert not any(node in plan for node in ("Exchange", "Python", "Aggregate", "Join")), plan
+
+
+@pytest.mark.parametrize("limit", [20_000, 3])
+def test_drawn_copies_keep_their_own_rows(spark, reviews, monkeypatch, limit):
+    monkeypatch.setattr(features, "INLINE_WORD_LIMIT", limit)
+    lexicon = features.basic_lexicon(spark)
+    drawn = reviews.crossJoin(spark.range(3).withColumnRenamed("id", "draw"))
+    once = features.linguistic_features(reviews, lexicon)
+    copies = features.linguistic_features(drawn, lexicon)
+    assert copies.count() == 3 * once.count()
+    assert copies.drop("draw").distinct().exceptAll(once).isEmpty()
 
 
 def test_degree_phrases_never_match_one_token(spark):

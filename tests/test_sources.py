@@ -159,4 +159,36 @@ def test_checkpoint_root(spark):
     root = session.checkpoint_root(spark)
     assert session.scratch_path(spark, "x").startswith(root.rstrip("/") + "/x-")
     kept = session.materialize(spark.range(5))
-    assert kept.count() == 5 and "ExistingRDD" in kept._jdf.queryExecution().executedPlan().toString()
+    assert kept.count() == 5 and "FileScan parquet" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_metadata_of_some_games_only(spark, tmp_path):
+    """The first folder has none; one game has both files; one has only the flat one."""
+    import json
+
+    for game in ("a1", "b2", "c3", "d4"):
+        (tmp_path / game).mkdir()
+        (tmp_path / game / "reviews.json").write_text("[]")
+    for game in ("b2", "c3"):
+        (tmp_path / game / "metadata.json").write_text(json.dumps({"name": f"nested {game}", "categories": ["x"]}))
+    (tmp_path / "c3_metadata.json").write_text(json.dumps({"name": "flat c3"}))
+    found = {r["game_id"]: r["name"] for r in reviews.read_game_metadata(spark, str(tmp_path)).collect()}
+    assert found == {"b2": "nested b2", "c3": "flat c3"}
+    assert reviews.list_game_ids(spark, str(tmp_path)) == []
+
+
+def test_game_ids_from_names(spark, tmp_path):
+    for game in ("a1", "b2"):
+        (tmp_path / game).mkdir()
+    assert reviews.list_game_ids(spark, str(tmp_path)) == ["a1", "b2"]
+    (tmp_path / "x.json").write_text("[]")
+    (tmp_path / "x_metadata.json").write_text("{}")
+    assert reviews.list_game_ids(spark, str(tmp_path)) == ["x"]
+
+
+def test_one_whole_metadata_record_per_game(spark):
+    records = [("g", "B", ["x"], None), ("g", "A", ["y"], ["m"])]
+    metadata = spark.createDataFrame(records, "game_id string, name string, categories array<string>, mechanics array<string>")
+    joined = reviews.with_game_metadata(spark.createDataFrame([("g",), ("h",)], "game_id string"), metadata)
+    found = {r["game_id"]: (r["name"], r["categories"], r["mechanics"]) for r in joined.collect()}
+    assert found == {"g": ("A", ["y"], ["m"]), "h": (None, [], [])}

@@ -232,3 +232,15 @@ def test_whole_route(spark, sf):
     tuned = experiment.tune(runs, few, keys, top=4, settings=settings)
     assert len(tuned) == 4 and all(0 <= f1 <= 1 for _, f1 in tuned)
     assert all(run.params for run, _ in tuned)
+
+
+def test_metrics_without_rows_and_with_other_labels(spark):
+    schema = "label string, prediction string, set string"
+    empty = spark.createDataFrame([], schema)
+    assert tuple(evaluation.weighted_metrics(empty, ["a", "b"]).first()) == (0.0, 0.0, 0.0, 0.0)
+    assert evaluation.metrics_by_set(empty, ["a", "b"]).isEmpty()
+    assert evaluation.classification_report(empty, ["a", "b"]).where("f1 > 0").isEmpty()
+    odd = spark.createDataFrame([("a", "a", "x"), ("z", "z", "x"), ("z", "a", "x"), (None, "a", "x"), ("z", "z", "y")], schema)
+    found = {r["set"]: r for r in evaluation.metrics_by_set(odd, ["a", "b"]).collect()}
+    assert found["x"]["accuracy"] == 2 / 3 and found["x"]["recall"] == 1.0
+    assert found["y"]["accuracy"] == 1.0 and found["y"]["f1_score"] == 0.0
