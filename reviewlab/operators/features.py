@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab.functions import fixed_values as fv
+from reviewlab.functions.keys import row_keys
 from reviewlab.functions.text import sentence_tokens, sentences, tokens
 from reviewlab.operators.corpus import bounded_ratio
 from reviewlab.operators.lookup import lookup_join
@@ -103,8 +104,7 @@ def _with_own_valences(rows: DataFrame, valences: DataFrame, others: str | None)
 
 def _document_words(df: DataFrame, text: str) -> DataFrame:
     """The rows of `df` with the lower-cased tokens of the text and their number."""
-    kept = [c for c in ("doc_id", "draw") if c in df.columns]
-    lowered = df.select(*kept, tokens(F.lower(text)).alias("_words"))
+    lowered = df.select(*row_keys(df), tokens(F.lower(text)).alias("_words"))
     return lowered.withColumn("token_count", F.size("_words").cast("bigint"))
 
 
@@ -147,14 +147,9 @@ def _lowered(words: Iterable[str]) -> list[str]:
     return sorted({w.lower() for w in words})
 
 
-def _keys(df: DataFrame) -> list[str]:
-    """The id, and the number of the draw where a document was drawn several times."""
-    return [c for c in ("doc_id", "draw") if c in df.columns]
-
-
 def opinion_words(df: DataFrame, lexicon: DataFrame, text: str = "text") -> DataFrame:
     scored = _Scored(_document_words(df, text), lexicon)
-    return scored.rows.select(*_keys(df), *_opinion_columns(scored))
+    return scored.rows.select(*row_keys(df), *_opinion_columns(scored))
 
 
 def domain_vocabulary(
@@ -164,7 +159,7 @@ def domain_vocabulary(
     text: str = "text",
 ) -> DataFrame:
     scored = _Scored(_document_words(df, text), lexicon)
-    return scored.rows.select(*_keys(df), *_domain_columns(scored, domain))
+    return scored.rows.select(*row_keys(df), *_domain_columns(scored, domain))
 
 
 def domain_word_frequency(
@@ -180,9 +175,9 @@ def valence_scores(df: DataFrame, lexicon: DataFrame | None, text: str = "text")
     """Normalised valence sum and shares of matched words; zeros without a lexicon."""
     if lexicon is None:
         names = ("vader_compound", "vader_positive", "vader_negative", "vader_neutral")
-        return df.select(*_keys(df), *[F.lit(0.0).alias(c) for c in names])
+        return df.select(*row_keys(df), *[F.lit(0.0).alias(c) for c in names])
     scored = _Scored(_document_words(df, text), lexicon)
-    return scored.rows.select(*_keys(df), *_valence_columns(scored))
+    return scored.rows.select(*row_keys(df), *_valence_columns(scored))
 
 
 def structural_features(
@@ -296,13 +291,13 @@ def linguistic_features(
     cues, strong_words = _lowered(negation_cues), sorted(set(_lowered(strong)) - set(_lowered(negation_cues)))
     weak_words = sorted(set(_lowered(weak)) - set(strong_words) - set(cues))
     measured = df.select(
-        *_keys(df), "label", "rating",
+        *row_keys(df), "label", "rating",
         F.length(text).cast("bigint").alias("text_length"),
         sentence_tokens(F.lower(text)).alias("_sentences"),
     )
     following = F.flatten(F.transform("_sentences", lambda s: _after(s, cues)))
     arrays = measured.select(
-        *_keys(df), "label", "rating", "text_length",
+        *row_keys(df), "label", "rating", "text_length",
         F.size("_sentences").cast("bigint").alias("sentence_count"),
         F.flatten("_sentences").alias("_words"),
         (following if annotations is None else F.array().cast("array<string>")).alias("_negated"),
@@ -318,7 +313,7 @@ def linguistic_features(
         columns += [count.alias(f"{name}_count") for name, count in counts.items()]
         columns += [(count > 0).alias(f"has_{name}") for name, count in counts.items()]
         columns.append(scored.count("_negated").alias("negated_opinion_words"))
-    kept = [*_keys(df), "label", "rating", "text_length", "sentence_count", "token_count"]
+    kept = [*row_keys(df), "label", "rating", "text_length", "sentence_count", "token_count"]
     features = scored.rows.select(*kept, *columns).withColumn(
         "avg_sentence_length", bounded_ratio(F.col("token_count"), F.col("sentence_count"))
     )
@@ -329,7 +324,7 @@ def linguistic_features(
             missing = F.lit(False) if name.startswith("has_") else F.lit(0).cast("bigint")
             features = features.withColumn(name, F.coalesce(name, missing))
     wanted = [c for c in fv.FEATURE_COLUMNS if include_rating or c != "rating"]
-    return features.select(*_keys(df), "label", *wanted)
+    return features.select(*row_keys(df), "label", *wanted)
 
 
 def _after(sentence: Column, cues: list[str]) -> Column:

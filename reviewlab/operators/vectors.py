@@ -10,36 +10,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlab.functions import fixed_values as fv
+from reviewlab.functions.keys import row_keys
 from reviewlab.functions.text import ngram_range, words
 from reviewlab.operators.lookup import BROADCAST_ROW_LIMIT, is_small, lookup_join
 from reviewlab.operators.ranking import ordinals
+from reviewlab.session import materialize
 
 
 def document_words(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """`(doc_id, words)`: the input of everything below."""
-    return df.select(F.col(key).alias("doc_id"), words(F.col(text)).alias("words"))
+    """`(doc_id, words)`: the input of everything below; drawn copies keep their `draw`."""
+    draw = ["draw"] if "draw" in df.columns else []
+    return df.select(F.col(key).alias("doc_id"), *draw, words(F.col(text)).alias("words"))
 
 
 def term_counts(documents: DataFrame, ngram_sizes: tuple[int, int] = (1, 1)) -> DataFrame:
     """`(doc_id, term, tf)` from `(doc_id, words)`; a document without words has no rows."""
-    return _exploded(documents, ngram_sizes).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+    keys = row_keys(documents)
+    return _exploded(documents, ngram_sizes).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
 def _exploded(documents: DataFrame, ngram_sizes: tuple[int, int]) -> DataFrame:
-    """One row per n-gram occurrence, already placed by document.
-
-    The words are moved before they are unfolded: their n-grams would be many times larger, and
-    every later step per document then needs no exchange of its own.
-    """
-    placed = documents.select("doc_id", "words").repartition("doc_id")
+    """One row per n-gram occurrence, where the document's row lies."""
+    keys = row_keys(documents)
     low, high = ngram_sizes
     shifted = [F.slice("words", i + 1, F.greatest(F.size("words"), F.lit(1))) for i in range(high)]
     names = [f"_w{i}" for i in range(high)]
     zipped = F.arrays_zip(*[part.alias(name) for part, name in zip(shifted, names)])
     # one row per position with the words from there on; null past the end, which makes a gram null
-    rows = placed.select("doc_id", F.inline_outer(zipped)).toDF("doc_id", *names)
+    rows = documents.select(*keys, F.inline_outer(zipped)).toDF(*keys, *names)
     grams = [_spaced(names[:n]) for n in range(low, high + 1)]
-    unfolded = rows.select("doc_id", F.explode(F.array(*grams)).alias("term"))
+    unfolded = rows.select(*keys, F.explode(F.array(*grams)).alias("term"))
     return unfolded.where(F.col("term").isNotNull())
 
 
@@ -91,7 +91,8 @@ def fit_terms(
     )
     idf = F.log((1.0 + n_documents) / (1.0 + F.col("df"))) + 1.0
     if max_features is not None and max_features <= BROADCAST_ROW_LIMIT:
-        top = stats.orderBy(F.desc("tf"), "term").limit(max_features)
+        stats = materialize(stats, "term-statistics")
+        top = _most_frequent(stats, max_features)
         # one task, but never more than max_features rows
         alphabetical = Window.partitionBy(F.lit(1)).orderBy("term")
         placed = top.withColumn("idx", (F.row_number().over(alphabetical) - 1).cast("bigint"))
@@ -105,6 +106,23 @@ def fit_terms(
     return placed.select("term", "idx", "df", "tf", idf.alias("idf"))
 
 
+def _most_frequent(stats: DataFrame, n: int) -> DataFrame:
+    """The `n` rows with the largest `tf`, ties by term.
+
+    A histogram of `tf` (few distinct values) finds the frequency of the last row that stays. Rows
+    above it stay as they are; only the rows at exactly that frequency compete for the places left.
+    """
+    histogram = stats.groupBy("tf").agg(F.count("*").alias("_rows"))
+    # distinct frequencies: at most the square root of twice the number of occurrences
+    running = Window.partitionBy(F.lit(1)).orderBy(F.desc("tf"))
+    reached = histogram.withColumn("_upto", F.sum("_rows").over(running)).where(F.col("_upto") >= n)
+    last = reached.orderBy(F.desc("tf")).select("tf", (F.col("_upto") - F.col("_rows")).alias("above")).first()
+    if last is None:
+        return stats
+    tied = stats.where(F.col("tf") == last["tf"]).orderBy("term").limit(n - last["above"])
+    return stats.where(F.col("tf") > last["tf"]).unionByName(tied)
+
+
 def fit_counts(documents: DataFrame, **options) -> DataFrame:
     """Vocabulary without weights, same selection rules."""
     return fit_terms(documents, **options).drop("idf")
@@ -118,10 +136,10 @@ def _known_terms(
     `max_features` bounds the vocabulary; without it the size is counted. A small vocabulary filters
     the n-grams before they are counted; a large one is joined after counting, salted by document.
     """
-    columns = [c for c in terms.columns if c != "term"]
+    columns, keys = [c for c in terms.columns if c != "term"], row_keys(documents)
     if max_features <= BROADCAST_ROW_LIMIT if max_features is not None else is_small(terms):
         hits = _exploded(documents, ngram_sizes).join(F.broadcast(terms), "term")
-        return hits.groupBy("doc_id", *columns).agg(F.count("*").alias("count"))
+        return hits.groupBy(*keys, *columns).agg(F.count("*").alias("count"))
     counts = term_counts(documents, ngram_sizes).withColumnRenamed("tf", "count")
     return lookup_join(
         counts, terms, ["term"], spread=F.col("doc_id"), how="inner", known_rows=BROADCAST_ROW_LIMIT + 1
@@ -135,7 +153,7 @@ def count_vectors(
     max_features: int | None = None,
 ) -> DataFrame:
     known = _known_terms(documents, terms.select("term", "idx"), ngram_sizes, max_features)
-    return known.select("doc_id", "idx", F.col("count").cast("double").alias("value"))
+    return known.select(*row_keys(documents), "idx", F.col("count").cast("double").alias("value"))
 
 
 def tfidf_vectors(
@@ -146,11 +164,12 @@ def tfidf_vectors(
 ) -> DataFrame:
     """(1 + ln tf) * idf, scaled to length 1 per document; terms outside the vocabulary drop out."""
     known = _known_terms(documents, terms.select("term", "idx", "idf"), ngram_sizes, max_features)
+    keys = row_keys(documents)
     weighted = known.select(
-        "doc_id", "idx", ((1.0 + F.log("count")) * F.col("idf")).alias("weight")
+        *keys, "idx", ((1.0 + F.log("count")) * F.col("idf")).alias("weight")
     )
-    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("doc_id")))
-    return weighted.select("doc_id", "idx", (F.col("weight") / length).alias("value"))
+    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(*keys)))
+    return weighted.select(*keys, "idx", (F.col("weight") / length).alias("value"))
 
 
 def linguistic_names(features: DataFrame, include_rating: bool = True) -> list[str]:
@@ -168,7 +187,7 @@ def linguistic_vectors(features: DataFrame, include_rating: bool = True) -> Data
         )
         for i, c in enumerate(linguistic_names(features, include_rating))
     ]
-    return features.select("doc_id", F.inline(F.array(*cells)))
+    return features.select(*row_keys(features), F.inline(F.array(*cells)))
 
 
 def combine(*parts: tuple[DataFrame, int | Column]) -> DataFrame:
@@ -176,7 +195,7 @@ def combine(*parts: tuple[DataFrame, int | Column]) -> DataFrame:
     offset: Column = F.lit(0).cast("bigint")
     stacked = None
     for vectors, width in parts:
-        moved = vectors.select("doc_id", (F.col("idx") + offset).alias("idx"), "value")
+        moved = vectors.select(*row_keys(vectors), (F.col("idx") + offset).alias("idx"), "value")
         stacked = moved if stacked is None else stacked.unionByName(moved)
         offset = offset + (width if isinstance(width, Column) else F.lit(width))
     return stacked
@@ -197,11 +216,12 @@ def top_terms(vectors: DataFrame, terms: DataFrame, top_n: int = 10, known_terms
         vectors, terms.select("idx", "term"), ["idx"], spread=F.col("doc_id"), how="inner",
         known_rows=known_terms,
     )
-    order = Window.partitionBy("doc_id").orderBy(F.desc("value"), "term")
+    keys = row_keys(vectors)
+    order = Window.partitionBy(*keys).orderBy(F.desc("value"), "term")
     return (
         named.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= top_n)
-        .select("doc_id", "rank", "term", "value")
+        .select(*keys, "rank", "term", "value")
     )
 
 
@@ -236,4 +256,4 @@ def minmax_scale(vectors: DataFrame, limits: DataFrame, known_width: int | None
     scaled = F.when(span == 0, F.col("value") - F.col("low")).otherwise(
         (F.col("value") - F.col("low")) / span
     )
-    return joined.select("doc_id", "idx", scaled.alias("value"))
+    return joined.select(*row_keys(vectors), "idx", scaled.alias("value"))

@@ -19,7 +19,6 @@ LEXICON = [("the", 1.5), ("best", 3.0), ("and", 0.5), ("no", -1.25), ("of", -0.5
 DOMAIN = ["is", "to", "est"]
 CUES, STRONG, WEAK = ["no"], ["and"], ["or"]
 DETERMINERS = ["the", "le", "la", "der", "el"]
-SMALL_VOCABULARY = 1000
 
 RATING_SQL = (
     "CASE WHEN doc_id % 97 = 3 THEN NULL WHEN doc_id % 50 = 7 THEN CAST(4.995 AS DOUBLE) "

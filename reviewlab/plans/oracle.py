@@ -162,10 +162,14 @@ def split(source: str, test: str, validation: str, of_rest: bool = False) -> str
       THEN 'validation' ELSE 'train' END AS "set" FROM ranked)"""
 
 
-def vocabulary(n: int, limit: int | None = fx.SMALL_VOCABULARY, source: str = "documents",
+_BY_ORDER = "by n-gram order"
+
+
+def vocabulary(n: int, limit: int | str | None = _BY_ORDER, source: str = "documents",
                min_df: str = str(fv.MIN_DF), max_df: str = f"{fv.MAX_DF}::DOUBLE * (SELECT count(*) FROM documents)") -> str:
     """Views w (words), gram, dt (counts per document), terms."""
     lists = " UNION ALL ".join(f"SELECT doc_id, unnest({grams('w', k)}) AS term FROM w" for k in range(1, n + 1))
+    limit = fv.NGRAM_FEATURES[n] if limit == _BY_ORDER else limit
     cut = f"ORDER BY tf DESC, term LIMIT {limit}" if limit else ""
     total = f"(SELECT count(*) FROM {source})"
     return f"""w AS (SELECT doc_id, {words('text')} AS w FROM {source}), gram AS ({lists}),
@@ -192,7 +196,7 @@ ORACLE["standardize_columns"] = (
     'SELECT event_id, user_id AS "user", event_type AS game_id, value AS rating, props AS text FROM events'
 )
 ORACLE["read_reviews_json"] = (
-    f'WITH {REVIEWS} SELECT row_id, text, rating, "user", true AS named_after_file FROM reviews'
+    f"""WITH {REVIEWS} SELECT row_id, 'g' || CAST(floor(row_id / 50) AS BIGINT) AS game_id, text, rating, "user" FROM reviews"""
 )
 ORACLE["read_reviews_nested"] = (
     f"WITH {REVIEWS} SELECT row_id, 'g' || CAST(row_id // 50 AS VARCHAR) AS game_id, text, rating, \"user\" FROM reviews"
@@ -449,11 +453,12 @@ ORACLE["split_distribution"] = f"""{_TWO_STEP}, c AS (SELECT "set", label, count
 # --- balancing and splitting -------------------------------------------------------------------------------------
 
 ORACLE["balance_subsample"] = f"WITH {CORPUS}, {_SUBSAMPLE} SELECT doc_id, label, rating FROM balanced"
-ORACLE["balance_oversample"] = f"""WITH {CORPUS}, {ranked('corpus')}, sizes AS (SELECT DISTINCT label, n FROM ranked),
+_OVERSAMPLED = f"""{ranked('corpus')}, sizes AS (SELECT DISTINCT label, n FROM ranked),
   draws AS (SELECT label, n, unnest(range((SELECT max(n) FROM sizes))) AS draw FROM sizes),
   drawn AS (SELECT label, draw, CASE WHEN n = (SELECT max(n) FROM sizes) THEN draw
-    ELSE CAST('0x' || substr(md5('42:' || label || ':' || draw), 1, 8) AS BIGINT) % n END AS r FROM draws)
-  SELECT doc_id, ranked.label, draw FROM drawn JOIN ranked ON drawn.label = ranked.label AND drawn.r = ranked.r"""
+    ELSE CAST('0x' || substr(md5('42:' || label || ':' || draw), 1, 15) AS BIGINT) % n END AS r FROM draws),
+  oversampled AS (SELECT doc_id, ranked.label AS label, draw FROM drawn JOIN ranked ON drawn.label = ranked.label AND drawn.r = ranked.r)"""
+ORACLE["balance_oversample"] = f"WITH {CORPUS}, {_OVERSAMPLED} SELECT doc_id, label, draw FROM oversampled"
 _SPLIT2 = f"WITH {CORPUS}, {split('corpus', '0.2', '0.0')}"
 ORACLE["stratified_split"] = f'{_SPLIT2} SELECT doc_id, label, "set" FROM split'
 ORACLE["stratified_split_3way"] = f'{_SPLIT3} SELECT doc_id, label, "set" FROM split'
@@ -467,7 +472,9 @@ def folded(source: str) -> str:
 
 ORACLE["stratified_folds"] = f"WITH {CORPUS}, {folded('corpus')} SELECT doc_id, label, fold FROM folded"
 ORACLE["union_splits"] = ORACLE["stratified_split"]
-ORACLE["split_disjoint"] = "SELECT doc_id FROM documents WHERE false"
+ORACLE["split_disjoint"] = f"""{_SPLIT3}, p AS (SELECT * FROM (VALUES ('test', 'validation'), ('test', 'train'), ('train', 'validation')) v(a, b))
+  SELECT a || '/' || b AS parts, (SELECT count(*) FROM split x JOIN split y USING (doc_id) WHERE x."set" = a AND y."set" = b) AS shared,
+    (SELECT count(*) FROM split WHERE "set" IN (a, b)) AS both_parts FROM p"""
 
 # --- vectors -----------------------------------------------------------------------------------------------------
 
@@ -501,13 +508,13 @@ ORACLE["top_terms_per_doc"] = f"""WITH {vocabulary(1)}, {TFIDF}, named AS (
 ORACLE["vocabulary_by_order"] = f"""WITH {vocabulary(3)}, placed AS (SELECT idx, term, row_number() OVER (
     PARTITION BY len(string_split(term, ' ')) ORDER BY idx) AS p FROM terms) SELECT idx, term FROM placed WHERE p <= 10"""
 ORACLE["matrix_sparsity"] = f"""WITH {vocabulary(1)}, {TFIDF} SELECT count(*) AS nnz,
-  round((1.0::DOUBLE - count(*) / ((SELECT count(*) FROM documents) * {fx.SMALL_VOCABULARY}.0::DOUBLE)) * 100.0::DOUBLE, 6) AS sparsity FROM tfidf"""
+  round((1.0::DOUBLE - count(*) / ((SELECT count(*) FROM documents) * {fv.NGRAM_FEATURES[1]}.0::DOUBLE)) * 100.0::DOUBLE, 6) AS sparsity FROM tfidf"""
 
 # --- naive Bayes, scaling, cross-validation -------------------------------------------------------------------------
 
 _QUALITY = """quality AS (SELECT doc_id, text, CAST(quality AS VARCHAR) AS label,
     CASE WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END AS "set" FROM documents JOIN labels USING (doc_id))"""
-_QUALITY_TERMS = f"{_QUALITY}, {vocabulary(1, 200, 'quality', '1', '(SELECT count(*) FROM quality)')}"
+_QUALITY_TERMS = f"{_QUALITY}, {vocabulary(1, fv.NGRAM_FEATURES[1], 'quality', '1', '(SELECT count(*) FROM quality)')}"
 _BAYES = f"""{_QUALITY_TERMS}, vec AS (SELECT doc_id, idx, CAST(dt.tf AS DOUBLE) AS value FROM dt JOIN terms USING (term)),
   counts AS (SELECT idx, 0.5::DOUBLE + coalesce(sum(value) FILTER (WHERE label = '0'), 0) AS c0,
       0.5::DOUBLE + coalesce(sum(value) FILTER (WHERE label = '1'), 0) AS c1
@@ -584,6 +591,47 @@ ORACLE["model_ranking"] = f"""WITH {PREDICTIONS}, judged AS (
   results AS (SELECT model, representation, {_WEIGHTED} FROM m GROUP BY ALL)
   SELECT model, representation, {_W6}, row_number() OVER (ORDER BY round(f1_score, 9) DESC, model, representation) AS rank FROM results"""
 
+# --- checkable facts about models -----------------------------------------------------------------------------
+
+_FACTS = f"""WITH {_QUALITY} SELECT "set", label, count(*) AS n, count(DISTINCT doc_id) AS n_ids, true AS known_classes,
+  true AS beats_majority FROM quality GROUP BY ALL"""
+ORACLE["svm_fit_predict"] = ORACLE["rf_fit_predict"] = _FACTS
+ORACLE["model_roundtrip"] = f"""WITH {_QUALITY} SELECT "set", count(*) AS n, true AS same_predictions FROM quality GROUP BY "set" """
+ORACLE["train_and_evaluate"] = """SELECT unnest(['Naive Bayes', 'Random Forest', 'SVM']) AS model, 'counts' AS representation,
+  true AS recomputed_f1, true AS timed, true AS ranked"""
+ORACLE["cross_validate"] = """SELECT unnest(['Naive Bayes', 'Random Forest', 'SVM']) AS model, unnest([10, 2, 2])::BIGINT AS settings,
+  true AS valid_scores"""
+ORACLE["tune_top5"] = """SELECT unnest(range(1, 6)) AS rank, true AS in_grid, true AS three_sets, true AS recomputed_f1"""
+_NAMES = [f"tfidf_{n}gram" for n in (1, 2, 3)] + ["linguistic"] + [f"combined_{n}gram" for n in (1, 2, 3)]
+_NAME_ROWS = ", ".join(f"({text(n)})" for n in _NAMES)
+ORACLE["model_matrix"] = f"""SELECT model, representation, true AS recomputed_f1, true AS timed
+  FROM (VALUES {_NAME_ROWS}) r(representation), (VALUES ('Naive Bayes'), ('SVM'), ('Random Forest')) m(model)"""
+ORACLE["representations"] = f"""{_TWO_STEP} SELECT representation, "set", count(*) AS n_documents, true AS complete
+  FROM split, (VALUES {_NAME_ROWS}) r(representation) GROUP BY ALL"""
+ORACLE["custom_step"] = f"SELECT doc_id, {collapsed('text')} || ' [' || length({collapsed('text')}) || ']' AS text FROM documents"
+ORACLE["oversample_tfidf"] = f"""WITH {CORPUS}, {_OVERSAMPLED}, {vocabulary(1)}, {TFIDF}
+  SELECT doc_id, draw, idx, round(value, 6) AS value FROM oversampled JOIN tfidf USING (doc_id)"""
+ORACLE["documents_from_raw"] = f"""WITH {REVIEWS}, raw AS (SELECT text, rating, game_id FROM reviews),
+  keyed AS (SELECT *, md5(coalesce('=' || game_id, '-') || '|' || coalesce('=' || rating_text, '-') || '|' || coalesce('=' || text, '-'))
+      AS content FROM (SELECT *, CAST(rating AS VARCHAR) AS rating_text FROM raw)),
+  numbered AS (SELECT *, content || '-' || (row_number() OVER (PARTITION BY content) - 1) AS row_key FROM keyed),
+  fit AS (SELECT row_key, game_id, trim(text, {WS}) AS raw_text, rating FROM numbered
+    WHERE rating IS NOT NULL AND length(trim(text, {WS})) >= 10)
+  SELECT game_id || '_anonymous_' || (row_number() OVER (ORDER BY row_key) - 1) AS doc_id, raw_text, round(rating, 6) AS rating FROM fit"""
+ORACLE["read_game_metadata"] = f"""WITH {REVIEWS}, g AS (SELECT DISTINCT 'g' || CAST(floor(row_id / 50) AS BIGINT) AS game_id FROM reviews)
+  SELECT game_id, upper(game_id) AS name, 2::BIGINT AS n_categories FROM g WHERE length(game_id) % 2 = 1 OR game_id LIKE '%3'"""
+ORACLE["oversample_features"] = f"""{_FEATURES}, {_OVERSAMPLED} SELECT doc_id, draw, positive_word_count, token_count,
+  round(vader_compound, 6) AS vader_compound FROM oversampled JOIN exact USING (doc_id)"""
+_CLASSES = "('negative', 'neutral', 'positive')"
+ORACLE["metrics_edge_cases"] = f"""WITH {PREDICTIONS}, judged AS (
+    SELECT 'absent class' AS c, label, prediction FROM predictions WHERE label <> 'positive' AND prediction <> 'positive'
+    UNION ALL SELECT 'other labels', CASE WHEN doc_id % 4 = 0 THEN 'unknown' ELSE label END, prediction FROM predictions),
+  {per_class('c', 'judged')}, w AS (SELECT c, {_WEIGHTED} FROM m WHERE label IN {_CLASSES} GROUP BY c),
+  a AS (SELECT c, avg(CAST(label = prediction AS DOUBLE)) AS right_share FROM judged GROUP BY c)
+  SELECT c AS "case", round(coalesce(right_share, 0), 6) AS accuracy, round(coalesce(precision, 0), 6) AS precision,
+    round(coalesce(recall, 0), 6) AS recall, round(coalesce(f1_score, 0), 6) AS f1_score
+  FROM (VALUES ('absent class'), ('no rows'), ('other labels')) k(c) LEFT JOIN w USING (c) LEFT JOIN a USING (c)"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {**ORACLE, **_oracle_with_stopwords()}

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from reviewlab.session import get_spark  # noqa: E402
+from reviewlab.session import get_spark, release  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -21,6 +21,13 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def no_leftovers(spark):
+    """Intermediate tables go when a module's tests are done."""
+    yield
+    release()
+
+
 @pytest.fixture(scope="session")
 def sf():
     return SF_DIR

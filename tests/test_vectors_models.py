@@ -222,7 +222,7 @@ def test_whole_route(spark, sf):
     assert list(named) == [
         "tfidf_1gram", "tfidf_2gram", "tfidf_3gram", "linguistic", "combined_1gram", "combined_2gram", "combined_3gram",
     ]
-    assert named["combined_2gram"].width == queries._SIZES[2] + 22
+    assert named["combined_2gram"].width == fv.NGRAM_FEATURES[2] + 22
     few = {k: named[k] for k in ("tfidf_1gram", "combined_1gram")}
     keys = documents.select("doc_id", "label", "set")
     runs = experiment.model_matrix(few, keys, {models.NAIVE_BAYES: {}, models.FOREST: {"n_estimators": 3, "max_depth": 3}})
