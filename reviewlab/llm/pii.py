@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.rows import LOWER, UPPER, ascii_lower, join_by_row, split_words, with_row_hash
+from reviewlab.llm.rows import (
+    LOWER, UPPER, ascii_lower, join_by_row, schema_with, split_words, text_first, with_row_hash,
+)
 from reviewlab.operators.lookup import lookup_join
 from reviewlab.session import materialize
 
@@ -110,7 +112,6 @@ def _normal(kind: int, surface: str) -> str:
 
 def scan(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     """`carry`, `base` spans, and every base or loose span with its `contexts`, one row per text."""
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     types = [("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]
     spans_type = pa.list_(pa.struct(types))
     contexts_type = pa.list_(pa.struct([
@@ -138,9 +139,8 @@ def scan(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
                 names=[*carry, "base", "contexts"],
             )
 
-    return docs.select(F.col(text).alias("_text"), *carry).mapInArrow(
-        of_batches, f"{schema}, base array<struct<{_FOUND}>>, contexts array<{_CONTEXT}>"
-    )
+    schema = schema_with(docs, carry, f"base array<struct<{_FOUND}>>, contexts array<{_CONTEXT}>")
+    return text_first(docs, text, carry).mapInArrow(of_batches, schema)
 
 
 def context_counts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -174,9 +174,12 @@ def discover(docs: DataFrame, text: str, occurrences: DataFrame) -> DataFrame:
         pattern.alias("pattern"), F.xxhash64(F.get(words, 0), F.get(words, 1)).alias("pair"), "instance", "base"
     ).groupBy("pattern", "pair", "instance").agg(F.count("*").alias("n"), F.max("base").alias("base"))
     edges = materialize(edges, "pii-edges")
-    seeded = edges.groupBy("pattern", "pair").agg(F.count_if("base").alias("seeds")).where(F.col("seeds") >= LEAST_SEEDS)
+    # a pattern that holds seeds alone cannot discover anything and needs no score
+    seeded = edges.groupBy("pattern", "pair").agg(
+        F.count_if("base").alias("seeds"), F.count_if(~F.col("base")).alias("unseen")
+    ).where((F.col("seeds") >= LEAST_SEEDS) & (F.col("unseen") > 0))
     seeded = materialize(seeded.select("pattern", "pair"), "pii-patterns")
-    totals = materialize(context_counts(docs, text, seeded), "pii-contexts")
+    totals = context_counts(docs, text, seeded)
     graph = materialize(edges.join(seeded.join(totals, "pair").drop("pair"), "pattern").drop("pair"), "pii-graph")
     scores = edges.groupBy("instance").agg(F.max(F.col("base").cast("double")).alias("score"))
     for _ in range(ROUNDS):
@@ -216,7 +219,7 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         "_id", "_row", "c.*"
     )
     loose = occurrences.where(~F.col("base"))
-    found = materialize(discover(rows, text, occurrences), "pii-found")
+    found = discover(rows, text, occurrences)
     spans = loose.join(found.select("kind", "surface"), ["kind", "surface"]).groupBy("_id", "_row").agg(
         F.collect_set(F.struct("kind", "start", "end")).alias("_more")
     )

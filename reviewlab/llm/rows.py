@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\f\r"
@@ -62,3 +63,8 @@ def text_first(docs: DataFrame, text: str, carried: list[str]) -> DataFrame:
     while name in carried:
         name += "_"
     return docs.select(F.col(text).alias(name), *carried)
+
+
+def schema_with(rows: DataFrame, columns: list[str], more: str) -> T.StructType:
+    """The fields of `columns`, whatever their names, and those spelled in `more`."""
+    return T.StructType([*[rows.schema[c] for c in columns], *T.StructType.fromDDL(more).fields])
