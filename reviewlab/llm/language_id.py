@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.rows import text_first
+from reviewlab.llm.rows import schema_with, text_first
 
 #: Labelled documents per language that the n-gram counts are learnt from, about.
 SAMPLE_DOCUMENTS = 5000
@@ -87,7 +87,7 @@ def fit(
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = counts.setdefault(name, np.zeros(BUCKETS, np.int64))
-                for piece in _pieces(value.as_py(), _CHUNK_CELLS):
+                for piece in _pieces(value.as_py(), _CHUNK_CELLS // 8):
                     own += np.bincount(word_trigrams(piece)[0], minlength=BUCKETS)
         for name, own in counts.items():
             held = np.flatnonzero(own)
@@ -120,7 +120,6 @@ def identify(
     shared = docs.sparkSession.sparkContext.broadcast(model)
     found = "lang_pred string, score double, languages array<struct<lang:string,share:double>>"
     carried = [c for c in (docs.columns if carry is None else carry) if c in docs.columns]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
     languages_type = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +138,7 @@ def identify(
                 names=[*carried, "lang_pred", "score", "languages"],
             )
 
-    return text_first(docs, text, carried).mapInArrow(of_batches, ", ".join([schema, found]).lstrip(", "))
+    return text_first(docs, text, carried).mapInArrow(of_batches, schema_with(docs, carried, found))
 
 
 def _mixtures(model: LanguageModel, texts: pa.Array) -> Iterator[np.ndarray | None]:

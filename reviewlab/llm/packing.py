@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlab.llm.rows import schema_with
 from reviewlab.llm.tokens import END_OF_DOCUMENT, default_tokenizer, document_ids
 from reviewlab.session import materialize
 
@@ -28,8 +29,7 @@ def token_pieces(
 ) -> DataFrame:
     """`(key, start, length, ids_crc32, doc_tokens[, ids])`: every document cut at multiples of `capacity`."""
     path = tokenizer or default_tokenizer()
-    key_type = docs.schema[key].dataType.simpleString()
-    schema = f"`{key}` {key_type}, {_PIECE}" + ", ids binary" * with_ids
+    schema = schema_with(docs, [key], _PIECE + ", ids binary" * with_ids)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,7 +90,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, tasks:
     columns = [c for c in pieces.columns if c != "ids"]
     mixed = F.xxhash64(*columns)
     dealt = pieces.withColumn("_mix", mixed).repartition(tasks, "_mix").sortWithinPartitions("_mix", *columns)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
+    schema = schema_with(pieces, pieces.columns, "sequence_id long, offset long")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         next_id = TaskContext.get().partitionId() << _TASK_BITS
@@ -116,7 +116,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, tasks:
         if rows is not None and rows.num_rows:
             yield packed(rows)
 
-    return dealt.mapInArrow(of_batches, f"{schema}, sequence_id long, offset long")
+    return dealt.mapInArrow(of_batches, schema)
 
 
 def pack_documents(

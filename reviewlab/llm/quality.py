@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlab.llm import boosting
-from reviewlab.llm.rows import text_first
+from reviewlab.llm.rows import schema_with, text_first
 
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 #: Labelled documents that the trees are fitted on, about; the driver receives one row of numbers each.
@@ -101,9 +101,7 @@ def text_statistics(
     """`carry`, the counts, and `score` (null without trees), one row per input row; nothing moves."""
     shared = docs.sparkSession.sparkContext.broadcast(forest)
     numbers = COUNTS + EXTRA
-    schema = ", ".join(
-        [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry] + [f"{c} long" for c in numbers] + ["score double"]
-    )
+    schema = schema_with(docs, carry, ", ".join([f"{c} long" for c in numbers] + ["score double"]))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value

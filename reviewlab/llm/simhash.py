@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlab.llm.components import connected_components
-from reviewlab.llm.rows import ascii_lower, split_words
+from reviewlab.llm.rows import ascii_lower, schema_with, split_words
 from reviewlab.session import materialize
 
 BITS = 64
@@ -48,7 +48,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             )
 
     hashed = docs.select(key, shingle_hashes(F.col(text)).alias("_h"))
-    return hashed.mapInArrow(of_batches, f"`{key}` {docs.schema[key].dataType.simpleString()}, fp long")
+    return hashed.mapInArrow(of_batches, schema_with(docs, [key], "fp long"))
 
 
 def _majority(hashes: pa.ListArray) -> np.ndarray:
