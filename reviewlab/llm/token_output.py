@@ -7,10 +7,9 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewlab.llm.tokens import END_OF_DOCUMENT, default_tokenizer, document_ids
@@ -52,38 +51,27 @@ def feistel(values: np.ndarray, size: int, key: int, rounds: int = ROUNDS) -> np
     return out.astype(np.int64)
 
 
-def slot_of(ordinal: Column, size: int, key: int) -> Column:
-    @F.pandas_udf("long")
-    def permuted(values: pd.Series) -> pd.Series:
-        return pd.Series(feistel(values.to_numpy(), size, key))
-
-    return permuted(ordinal)
-
-
 def token_sequences(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = SEQUENCE_IDS,
     tokenizer: str | None = None, end: int = END_OF_DOCUMENT,
 ) -> DataFrame:
     """`(part, number, ids, pieces)`: documents joined end to end within a task and cut every `length` ids.
 
-    `ids` is compressed; only the last sequence of a task may be shorter. `pieces` says which ids of
-    which documents a sequence holds.
+    Only the last sequence of a task may be shorter. `pieces` says which ids of which documents a
+    sequence holds.
     """
     path = tokenizer or default_tokenizer()
     key_type = docs.schema[key].dataType.simpleString()
     schema = f"part int, number long, ids binary, pieces {_PIECES.format(key=key_type)}"
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        squeeze = zstandard.ZstdCompressor(level=1).compress
         part, number = TaskContext.get().partitionId(), 0
         ids, filled = [], 0
         rows, ends, columns = [], [0], ([], [], [], [], [])  # pieces by column, and their end in each row
 
         def close() -> None:
             nonlocal ids, filled
-            rows.append(squeeze(np.concatenate(ids).astype(ID_TYPE).tobytes()))
+            rows.append(np.concatenate(ids).astype(ID_TYPE).tobytes())
             ends.append(len(columns[0]))
             ids, filled = [], 0
 
@@ -119,10 +107,11 @@ def token_sequences(
                     start, filled = start + len(take), filled + len(take)
                     if filled == length:
                         close()
-            if rows:
-                yield made()
+                    if len(rows) >= 512:
+                        yield made()
         if filled:
             close()
+        if rows:
             yield made()
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -132,18 +121,32 @@ def token_sequences(
 
 
 def with_slots(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
-    """Add `slot`, a permutation of the row numbers 0..n-1; also returns n.
+    """`(slot, ids, pieces)` with compressed ids; `slot` permutes the row numbers 0..n-1. Also returns n.
 
     Row numbers follow from one count per writing task; the rows themselves are not ordered for it.
     """
     counts = sequences.groupBy("part").agg(F.count("*").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
-    total = sequences.count()
-    ordinal = F.col("_before") + F.col("number")
+    size = sequences.count()
+    pieces_type = sequences.schema["pieces"].dataType.simpleString()
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            slots = feistel(batch.column("ordinal").to_numpy(), size, key)
+            packed = pa.array([squeeze(v.as_buffer()) for v in batch.column("ids")], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slots), packed, batch.column("pieces")], names=["slot", "ids", "pieces"]
+            )
+
     # one row per task that wrote sequences, whatever the size of the corpus
-    placed = sequences.join(F.broadcast(offsets), "part").withColumn("slot", slot_of(ordinal, max(1, total), key))
-    return placed.drop("_before"), total
+    numbered = sequences.join(F.broadcast(offsets), "part").select(
+        (F.col("_before") + F.col("number")).alias("ordinal"), "ids", "pieces"
+    )
+    return numbered.mapInArrow(of_batches, f"slot long, ids binary, pieces {pieces_type}"), size
 
 
 def write_shards(
@@ -165,7 +168,7 @@ def write_shards(
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "shards")
-    sequences = materialize(token_sequences(docs, key, text, length, tokenizer), "sequences")
+    sequences = materialize(token_sequences(docs, key, text, length, tokenizer), "sequences", compression="zstd")
     placed, total = with_slots(sequences, seed)
     placed = placed.withColumn("shard", F.expr(f"cast(slot div {shard} as int)"))
     tasks = max(1, math.ceil(total / shard))

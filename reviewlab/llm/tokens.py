@@ -7,12 +7,17 @@ import struct
 
 import numpy as np
 
-#: Distinct words whose ids a Python worker remembers (about 200 MB); then the memory starts anew.
-REMEMBERED_WORDS = 1_000_000
+#: Words per generation of a Python worker's memory. It holds two generations (about 150 MB): words that
+#: were used since the last change stay.
+GENERATION_WORDS = 400_000
 TOKENIZER_FILE = "word_bpe_49k.json"
 END_OF_DOCUMENT = 2
 
-_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(f"[{_LETTERS}]+")
+#: Latin letters, ASCII digits and all ASCII punctuation but the apostrophe, and their units.
+_LATIN = re.compile(f"[{_LETTERS}0-9!-&(-/:-@\\[-`{{-~]+")
+_UNIT = re.compile(f"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
 _WORKERS: dict[str, WordEncoder] = {}
 
 
@@ -34,8 +39,9 @@ class WordEncoder(dict):
 
     Holds for byte-level tokenizers that drop white space, lower-case, and never join letters with
     other characters: the ids of a text then are those of its words, in order. A word of Latin letters
-    is one unit, so the merges alone decide, and a full stop or comma behind it is a unit of its own;
-    any other word goes through the whole tokenizer. Texts that may hold a special token keep their
+    is one unit, so the merges alone decide. With ASCII digits and punctuation it falls into such
+    units: runs of letters, single digits, runs of the rest. Any other word, and any that may hold a
+    special token or a contraction, goes through the whole tokenizer. Texts that may hold a special token keep their
     case. Only ASCII blanks separate words; other spaces stay inside them.
     """
 
@@ -46,23 +52,27 @@ class WordEncoder(dict):
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
+        self._older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if text[-1] in ".," and _PLAIN.fullmatch(text, 0, len(text) - 1):
-            packed = self[word[:-1]] + self[word[-1:]]
-        elif _PLAIN.fullmatch(text):
-            unit = text.lower()
-            unit = unit if unit.isascii() else "".join([self._letters[b] for b in unit.encode()])
-            packed = _packed([t.id for t in self._model.tokenize(unit)])
-        else:
-            packed = _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
+        packed = self._older.get(word) or self._encoded(word)
         if len(word) < 64:
-            if len(self) >= REMEMBERED_WORDS:
+            if len(self) >= GENERATION_WORDS:
+                self._older = dict(self)
                 self.clear()
             self[word] = packed
         return packed
 
+    def _encoded(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if _PLAIN.fullmatch(text):
+            unit = text.lower()
+            unit = unit if unit.isascii() else "".join([self._letters[b] for b in unit.encode()])
+            return _packed([t.id for t in self._model.tokenize(unit)])
+        if "<|" not in text and _LATIN.fullmatch(text) and len(units := _UNIT.findall(text)) > 1:
+            return b"".join([self[u.encode()] for u in units])
+        return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
+
     def encode(self, text: str | None) -> bytes:
         raw = (text or "").encode("utf-8", "replace")
         return b"".join(map(self.__getitem__, (raw if b"<|" in raw else raw.lower()).split()))

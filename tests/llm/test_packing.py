@@ -121,9 +121,17 @@ def test_shards_hold_every_id(spark, sf, tokenizer):
     assert sorted(r.slot for r in some) == list(range(30, 120))
 
 
-def test_order_query_reads_back_what_was_written(spark, sf):
-    rows = queries.op10_training_order(spark, sf).collect()
+def test_records_are_read_back_as_written(spark, sf):
+    path, index = token_output.write_shards(spark.read.parquet(f"{sf}/documents.parquet"))
+    rows = token_output.read_back(spark, path, index).collect()
     assert rows and all(r.record_crc32 == r.held_crc32 for r in rows)
+    assert queries.op10_training_order(spark, sf).drop("byte_offset").count() == len(rows)
+
+
+def test_words_survive_the_change_of_generations(monkeypatch):
+    monkeypatch.setattr(tokens, "GENERATION_WORDS", 3)
+    small, text = tokens.WordEncoder(tokens.default_tokenizer()), "one two, three. four five six two seven, one"
+    assert small.encode(text) == tokens.encoder(tokens.default_tokenizer()).encode(text) and len(small) <= 3
 
 
 def test_shards_of_odd_rows(spark):
