@@ -76,9 +76,13 @@ def strip_accents(text: Column) -> Column:
         return F.when(c.between("\uac00", "\ud7a3"), _hangul(c)).otherwise(F.coalesce(F.try_element_at(pieces, c), c))
 
     by_character = F.array_join(F.transform(F.split(text, ""), unfolded), "")
-    special = text.rlike(_character_class([*longer, *map(chr, range(0xAC00, 0xD7A4))]))
+    # nearly all texts stop at the first, cheap question; of the characters up to U+00FF only fractions unfold
+    special = text.rlike(r"[\xBC-\xBE]|[^\x00-\xFF]") & text.rlike(
+        _character_class([*longer, *map(chr, range(0xAC00, 0xD7A4))])
+    )
     whole = F.when(special, by_character).otherwise(text)
-    return F.regexp_replace(F.translate(whole, source, target), r"\p{M}+", "")
+    stripped = F.regexp_replace(F.translate(whole, source, target), r"\p{M}+", "")
+    return F.when(text.rlike(r"[^\x00-\x7F]"), stripped).otherwise(text)
 
 
 def _hangul(syllable: Column) -> Column:
