@@ -16,7 +16,7 @@ from reviewlab.operators.lookup import lookup_join
 from reviewlab.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
-#: A context counts from three different seeds on; an identifier from this probability on.
+#: A context counts from three different seeds on; an identifier from this probability on; rescorings per generation.
 LEAST_SEEDS, ACCEPTED, ROUNDS = 3, 0.8, 3
 #: A table of so many 64-bit hashes takes about 50 MB; beyond it the join is salted instead.
 BROADCAST_HASHES = 2_000_000
@@ -154,13 +154,47 @@ def context_counts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return kept.groupBy("pair").agg(F.count("*").alias("total"))
 
 
+def _supported_patterns(edges: DataFrame, scores: DataFrame, admitted: DataFrame | None) -> DataFrame:
+    """`(pattern, pair)` not yet admitted, with enough base or accepted instances.
+
+    A pattern that holds base seeds alone cannot discover anything and needs no score.
+    """
+    seed = F.col("base")
+    if admitted is not None:
+        known = materialize(scores.where(F.col("score") >= ACCEPTED).select("instance", F.lit(True).alias("known")), "pii-known")
+        edges = lookup_join(edges, known, ["instance"], F.col("pattern")).join(admitted, "pattern", "left_anti")
+        seed = seed | F.coalesce("known", F.lit(False))
+    supported = edges.groupBy("pattern", "pair").agg(
+        F.count_if(seed).alias("seeds"), F.count_if(~F.col("base")).alias("unseen")
+    ).where((F.col("seeds") >= LEAST_SEEDS) & (F.col("unseen") > 0))
+    return materialize(supported.select("pattern", "pair"), "pii-patterns")
+
+
+def _rescored(graph: DataFrame, scores: DataFrame) -> DataFrame:
+    """`(instance, score)` after both sides of the graph are scored once."""
+    trusted = graph.join(scores, "instance").groupBy("pattern", "total").agg(
+        F.sum(F.col("n") * F.col("score")).alias("good")
+    )
+    confidence = F.least(F.col("good") / F.greatest(F.col("total"), F.lit(1)), F.lit(0.99))
+    trusted = trusted.select("pattern", confidence.alias("confidence"))
+    doubt = F.sum(F.log1p(-F.col("confidence")))
+    supported = graph.join(trusted, "pattern").groupBy("instance").agg(
+        F.when(F.max("base"), 1.0).otherwise(1.0 - F.exp(doubt)).alias("score")
+    )
+    kept = scores.select("instance", F.col("score").alias("old"))
+    return kept.join(supported, "instance", "left").select(
+        "instance", F.coalesce("score", "old").alias("score")
+    )
+
+
 def discover(docs: DataFrame, text: str, occurrences: DataFrame) -> DataFrame:
     """`(kind, surface, score)` of the loose identifiers that reliable contexts support.
 
     Patterns are the two words before or after a span. A pattern's confidence is the summed score of
     the spans it holds, over all occurrences of the two words in all texts; an identifier's score is
     the chance that at least one of its patterns is right. Base identifiers are the seeds (score 1) and
-    both sides are scored in turn, as joins of the graph's edges with the other side's scores.
+    both sides are scored in turn, as joins of the graph's edges with the other side's scores. Accepted
+    identifiers are seeds of further patterns, until a generation adds no pattern and no identifier.
     """
     name = F.concat_ws(":", F.col("kind").cast("string"), "surface")
     side = F.explode(F.array(
@@ -174,32 +208,24 @@ def discover(docs: DataFrame, text: str, occurrences: DataFrame) -> DataFrame:
         pattern.alias("pattern"), F.xxhash64(F.get(words, 0), F.get(words, 1)).alias("pair"), "instance", "base"
     ).groupBy("pattern", "pair", "instance").agg(F.count("*").alias("n"), F.max("base").alias("base"))
     edges = materialize(edges, "pii-edges")
-    # a pattern that holds seeds alone cannot discover anything and needs no score
-    seeded = edges.groupBy("pattern", "pair").agg(
-        F.count_if("base").alias("seeds"), F.count_if(~F.col("base")).alias("unseen")
-    ).where((F.col("seeds") >= LEAST_SEEDS) & (F.col("unseen") > 0))
-    seeded = materialize(seeded.select("pattern", "pair"), "pii-patterns")
-    totals = context_counts(docs, text, seeded)
-    graph = materialize(edges.join(seeded.join(totals, "pair").drop("pair"), "pattern").drop("pair"), "pii-graph")
-    scores = edges.groupBy("instance").agg(F.max(F.col("base").cast("double")).alias("score"))
-    for _ in range(ROUNDS):
-        scores = materialize(scores, "pii-scores")
-        trusted = graph.join(scores, "instance").groupBy("pattern", "total").agg(
-            F.sum(F.col("n") * F.col("score")).alias("good")
-        )
-        confidence = F.least(F.col("good") / F.greatest(F.col("total"), F.lit(1)), F.lit(0.99))
-        trusted = trusted.select("pattern", confidence.alias("confidence"))
-        doubt = F.sum(F.log1p(-F.col("confidence")))
-        supported = graph.join(trusted, "pattern").groupBy("instance").agg(
-            F.when(F.max("base"), 1.0).otherwise(1.0 - F.exp(doubt)).alias("score")
-        )
-        kept = scores.select("instance", F.col("score").alias("old"))
-        scores = kept.join(supported, "instance", "left").select(
-            "instance", F.coalesce("score", "old").alias("score")
-        )
-    accepted = scores.where(F.col("score") >= ACCEPTED)
+    scores = materialize(edges.groupBy("instance").agg(F.max(F.col("base").cast("double")).alias("score")), "pii-scores")
+    accepted, admitted, grown = scores.where(F.col("score") >= ACCEPTED).count(), None, False
+    while True:
+        new = _supported_patterns(edges, scores, admitted)
+        if new.isEmpty():
+            if not grown:
+                break
+        else:
+            counted = materialize(new.join(context_counts(docs, text, new), "pair").select("pattern", "total"), "pii-patterns")
+            admitted = counted if admitted is None else materialize(admitted.unionByName(counted), "pii-patterns")
+            graph = materialize(edges.join(admitted, "pattern").drop("pair"), "pii-graph")
+        for _ in range(ROUNDS):
+            scores = materialize(_rescored(graph, scores), "pii-scores")
+        before, accepted = accepted, scores.where(F.col("score") >= ACCEPTED).count()
+        grown = accepted > before
+    found = scores.where(F.col("score") >= ACCEPTED)
     parts = F.split(F.col("instance"), ":", 2)
-    return accepted.select(F.get(parts, 0).cast("int").alias("kind"), F.get(parts, 1).alias("surface"), "score")
+    return found.select(F.get(parts, 0).cast("int").alias("kind"), F.get(parts, 1).alias("surface"), "score")
 
 
 def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -210,8 +236,8 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     rows and equal texts get equal spans, null keys are rows like others, an empty table gives an empty
     table. Other columns are not carried, so clashing names do not matter.
 
-    Texts are read whole, in place, twice: for spans, and to count the words around the seeds. What
-    is shuffled are spans and their contexts.
+    Texts are read whole, in place, for spans, and once per generation to count the words around its new
+    seeds. What is shuffled are spans and their contexts.
     """
     rows = with_row_hash(docs.select(key, text), text)
     scanned = materialize(scan(rows, text, [key, "_row"]), "pii-scan")

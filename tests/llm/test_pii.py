@@ -90,6 +90,23 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert not found[1001] and not any(found[i] for i in range(200))
 
 
+def test_discovered_identifiers_induce_contexts(spark):
+    """A field without any base form: its loose forms are known from another field, but for one."""
+    rng = random.Random(2)
+    words = [f"w{i}x" for i in range(300)]
+
+    def row(i, before, value, after):
+        around = [" ".join(rng.choices(words, k=12)) for _ in range(2)]
+        return (i, f"{around[0]} {before} {value} {after} {around[1]}", None, None)
+
+    rows = [row(i, "mail me", f"base{i}@host.org", "for details") for i in range(30)]
+    rows += [row(100 + i, "mail me", f"loose{i}[at]host.org", "for details") for i in range(10)]
+    rows += [row(200 + i, "contact field", f"loose{i}[at]host.org", "end field") for i in range(10)]
+    rows += [row(300, "contact field", "unseen[at]host.org", "end field")]
+    found = {r.doc_id: len(r.found) for r in pii.find_pii(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {i: int(i >= 100) for i, *_ in rows}
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "x", 1), (2, "", None, None), (3, "a@b.cd", "x", 1), (3, "a@b.cd", "x", 1), (None, "a@b.cd", "x", 1),
             (3, "other text 10.0.0.1", "x", 1), (4, "9" * 300_000 + "@" * 1000, "x", 1), (5, "a" * 300_000 + " 1.1.1.1", "x", 1)]
