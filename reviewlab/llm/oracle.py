@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from reviewlab.llm.url_filters import BLOCKED_PATTERNS, HOST_RULES
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -85,8 +87,51 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+_BLANKS = r"[\x20\x09-\x0D]+"
+_ORDERS = ", ".join("('" + "".join(order) + "')" for order in permutations("ABCDE"))
+
+FILTER_AUDIT = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         [x FOR x IN regexp_split_to_array(coalesce(text, ''), '{_BLANKS}') IF x <> ''] AS w FROM documents
+), failing AS (
+  SELECT doc_id, part, CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN min(doc_id) OVER (PARTITION BY t) < doc_id THEN 'E' ELSE '' END AS failed
+  FROM texts
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), masks AS (
+  SELECT part, failed, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM failing LEFT JOIN marks USING (doc_id) GROUP BY part, failed
+), orders (filter_order) AS (VALUES {_ORDERS}), steps AS (
+  SELECT filter_order, step, filter_order[step] AS letter, filter_order[1:step - 1] AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), cells AS (
+  SELECT part, filter_order, step, letter, n, good, toxic,
+         translate(failed, before, '') = failed AS still, contains(failed, letter) AS fails, failed = letter AS alone
+  FROM masks, steps
+), sums AS (
+  SELECT part, filter_order, step, any_value(letter) AS letter,
+         sum(CASE WHEN still AND NOT fails THEN n ELSE 0 END) AS kept, sum(CASE WHEN still AND fails THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN NOT still AND fails THEN n ELSE 0 END) AS redundant, sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN still AND fails THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN still AND fails THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM sums
+"""
+
 ORACLE = {
     "op2_line_dedup": LINE_DEDUP,
     "op4_url_filters": _url_filters(),
     "op9_benchmark_decontamination": DECONTAMINATION,
+    "op11_filter_audit": FILTER_AUDIT,
 }

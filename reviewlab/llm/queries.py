@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab.llm import (
-    decontamination, language_id, line_dedup, packing, pii, quality, sharding, simhash, token_output, url_filters,
+    decontamination, filter_audit, language_id, line_dedup, packing, pii, quality, sharding, simhash,
+    token_alignment, token_output, url_filters,
 )
 
 
@@ -90,6 +91,14 @@ def op10_training_order(spark: SparkSession, sf: str) -> DataFrame:
     return token_output.write_shards(_table(spark, sf, "documents"))[1]
 
 
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit_filters(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return token_alignment.align_tokenizers(_table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_line_dedup": op2_line_dedup,
@@ -101,4 +110,6 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_training_order": op10_training_order,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_token_alignment": op12_token_alignment,
 }

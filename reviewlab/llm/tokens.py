@@ -27,7 +27,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER_FILE)
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The letter of each byte in a byte-level vocabulary: itself if printable, else one above U+00FF."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = iter(range(256, 512))
@@ -51,7 +51,7 @@ class WordEncoder(dict):
         super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
-        self._letters = _byte_letters()
+        self._letters = byte_letters()
         self._older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:

@@ -6,7 +6,7 @@ import pytest
 from reviewlab.llm.oracle import ORACLE
 from reviewlab.llm.queries import QUERIES
 
-TABLES = ["documents", "benchmark", "pages"]
+TABLES = ["documents", "benchmark", "pages", "labels"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
