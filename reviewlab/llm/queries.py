@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab.llm import (
-    decontamination, filter_audit, language_id, line_dedup, packing, pii, quality, sharding, simhash,
+    decontamination, filter_audit, html_extraction, language_id, line_dedup, packing, pii, quality, sharding, simhash,
     token_alignment, token_output, url_filters,
 )
 
@@ -99,6 +99,11 @@ def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return token_alignment.align_tokenizers(_table(spark, sf, "documents"))
 
 
+def op13_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    pages = _table(spark, sf, "pages")
+    return html_extraction.extract_main_text(pages, carry=["page_id", "url"])
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_line_dedup": op2_line_dedup,
@@ -112,4 +117,5 @@ QUERIES = {
     "op10_training_order": op10_training_order,
     "op11_filter_audit": op11_filter_audit,
     "op12_token_alignment": op12_token_alignment,
+    "op13_html_extraction": op13_html_extraction,
 }
