@@ -16,8 +16,9 @@ from reviewlab.operators.lookup import lookup_join
 from reviewlab.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
-#: A context counts from three different seeds on; an identifier from this probability on; rescorings per generation.
-LEAST_SEEDS, ACCEPTED, ROUNDS = 3, 0.8, 3
+#: A context counts from three different seeds on; an identifier from this probability on; scores are settled
+#: when none grows by more than the last number.
+LEAST_SEEDS, ACCEPTED, SETTLED = 3, 0.8, 1e-3
 #: A table of so many 64-bit hashes takes about 50 MB; beyond it the join is salted instead.
 BROADCAST_HASHES = 2_000_000
 
@@ -27,11 +28,13 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_LOOSE_EMAIL = re.compile(r"(?<![^\s<(\"'])[\w.%+-]{1,64}(?:@| ?[\[(]at[\])] ?)[\w-]{1,64}(?:(?:\.| ?[\[(]dot[\])] ?)[\w-]{1,64}){0,8}")
-_LOOSE_NUMBER = re.compile(r"(?<![\w.+-])[0-9(][0-9 ().-]{5,40}[0-9](?![\w-])")
+# every run is taken whole and never given back, so a form of any length costs one pass
+_LOOSE_EMAIL = re.compile(r"(?<![^\s<(\"'])[\w.%+-]++(?:@| ?[\[(]at[\])] ?)[\w-]++(?:(?:\.| ?[\[(]dot[\])] ?)[\w-]++)*+")
+_LOOSE_NUMBER = re.compile(r"(?<![\w.+-])[0-9(](?:[ ().-]*+[0-9])++")
+_GOES_ON = re.compile(r"[\w-]")
 _BLANK = re.compile(r"[ \t-\r]+")
 _TO_LOWER = str.maketrans(UPPER, LOWER)
-_SEEN = 400  # characters on each side in which the context words are looked for
+_SEEN = 400  # characters on each side in which context words are looked for first; more where words are longer
 _FOUND = "kind:int, start:int, end:int"
 _CONTEXT = f"struct<{_FOUND}, surface:string, base:boolean, left:string, right:string>"
 
@@ -80,6 +83,8 @@ def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         found += [(0, *m.span()) for m in _LOOSE_EMAIL.finditer(text)]
     if _DIGIT.search(text) is not None:
         for m in _LOOSE_NUMBER.finditer(text):
+            if _GOES_ON.match(text, m.end()):
+                continue
             digits = len(_DIGIT.findall(m.group()))
             if _IP.fullmatch(m.group()):
                 found.append((1, *m.span()))
@@ -91,17 +96,32 @@ def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     for kind, start, end in sorted(found, key=lambda f: f[1:]):
         while at < len(taken) and taken[at][1] <= start:
             at += 1
-        if all(e <= start or s >= end for s, e in taken[at:at + 8]) and (not free or free[-1][2] <= start):
+        near = at
+        while near < len(taken) and taken[near][0] < end and taken[near][1] <= start:
+            near += 1
+        apart = near == len(taken) or taken[near][0] >= end
+        if apart and (not free or free[-1][2] <= start):
             free.append((kind, start, end))
     return free
 
 
 def _context(text: str, start: int, end: int) -> tuple[str | None, str | None]:
     """Two whole words before and after the blank-separated word that holds the span."""
-    before = _BLANK.split(text[max(0, start - _SEEN):start].translate(_TO_LOWER))[:-1]
-    after = _BLANK.split(text[end:end + _SEEN].translate(_TO_LOWER))[1:]
-    left = " ".join(before[-2:]) if len(before) >= 2 and before[-2] else None
-    right = " ".join(after[:2]) if len(after) >= 2 and after[1] else None
+    size, before, after = _SEEN, [], []
+    # the outermost part of a window may be cut off, so one more is looked for until the window is whole
+    while len(before) < 4:
+        before = _BLANK.split(text[max(0, start - size):start].translate(_TO_LOWER))
+        if size >= start:
+            break
+        size *= 4
+    size = _SEEN
+    while len(after) < 4:
+        after = _BLANK.split(text[end:end + size].translate(_TO_LOWER))
+        if size >= len(text) - end:
+            break
+        size *= 4
+    left = " ".join(before[-3:-1]) if len(before) >= 3 and before[-3] else None
+    right = " ".join(after[1:3]) if len(after) >= 3 and after[2] else None
     return left, right
 
 
@@ -154,20 +174,25 @@ def context_counts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return kept.groupBy("pair").agg(F.count("*").alias("total"))
 
 
-def _supported_patterns(edges: DataFrame, scores: DataFrame, admitted: DataFrame | None) -> DataFrame:
-    """`(pattern, pair)` not yet admitted, with enough base or accepted instances.
+def _candidates(edges: DataFrame) -> DataFrame:
+    """`(pattern, pair)` of the contexts that could ever be admitted.
 
-    A pattern that holds base seeds alone cannot discover anything and needs no score.
+    A pattern that holds base seeds alone cannot discover anything and needs no score; one with too few
+    instances never has enough seeds.
     """
+    held = edges.groupBy("pattern", "pair").agg(F.count("*").alias("n"), F.count_if(~F.col("base")).alias("unseen"))
+    return materialize(held.where((F.col("n") >= LEAST_SEEDS) & (F.col("unseen") > 0)).select("pattern", "pair"), "pii-candidates")
+
+
+def _supported_patterns(edges: DataFrame, scores: DataFrame, admitted: DataFrame | None) -> DataFrame:
+    """`(pattern, total)` not yet admitted, with enough base or accepted instances."""
     seed = F.col("base")
     if admitted is not None:
         known = materialize(scores.where(F.col("score") >= ACCEPTED).select("instance", F.lit(True).alias("known")), "pii-known")
-        edges = lookup_join(edges, known, ["instance"], F.col("pattern")).join(admitted, "pattern", "left_anti")
+        edges = lookup_join(edges, known, ["instance"], F.col("pattern")).join(admitted.select("pattern"), "pattern", "left_anti")
         seed = seed | F.coalesce("known", F.lit(False))
-    supported = edges.groupBy("pattern", "pair").agg(
-        F.count_if(seed).alias("seeds"), F.count_if(~F.col("base")).alias("unseen")
-    ).where((F.col("seeds") >= LEAST_SEEDS) & (F.col("unseen") > 0))
-    return materialize(supported.select("pattern", "pair"), "pii-patterns")
+    supported = edges.groupBy("pattern", "total").agg(F.count_if(seed).alias("seeds")).where(F.col("seeds") >= LEAST_SEEDS)
+    return materialize(supported.select("pattern", "total"), "pii-patterns")
 
 
 def _rescored(graph: DataFrame, scores: DataFrame) -> DataFrame:
@@ -183,7 +208,7 @@ def _rescored(graph: DataFrame, scores: DataFrame) -> DataFrame:
     )
     kept = scores.select("instance", F.col("score").alias("old"))
     return kept.join(supported, "instance", "left").select(
-        "instance", F.coalesce("score", "old").alias("score")
+        "instance", F.coalesce("score", "old").alias("score"), "old"
     )
 
 
@@ -208,6 +233,12 @@ def discover(docs: DataFrame, text: str, occurrences: DataFrame) -> DataFrame:
         pattern.alias("pattern"), F.xxhash64(F.get(words, 0), F.get(words, 1)).alias("pair"), "instance", "base"
     ).groupBy("pattern", "pair", "instance").agg(F.count("*").alias("n"), F.max("base").alias("base"))
     edges = materialize(edges, "pii-edges")
+    candidates = _candidates(edges)
+    if candidates.isEmpty():
+        none = edges.where(F.lit(False))
+        return none.select(F.lit(0).alias("kind"), F.col("instance").alias("surface"), F.lit(1.0).alias("score"))
+    totals = candidates.join(context_counts(docs, text, candidates), "pair").select("pattern", "total")
+    edges = materialize(edges.drop("pair").join(totals, "pattern"), "pii-edges")
     scores = materialize(edges.groupBy("instance").agg(F.max(F.col("base").cast("double")).alias("score")), "pii-scores")
     accepted, admitted, grown = scores.where(F.col("score") >= ACCEPTED).count(), None, False
     while True:
@@ -216,11 +247,13 @@ def discover(docs: DataFrame, text: str, occurrences: DataFrame) -> DataFrame:
             if not grown:
                 break
         else:
-            counted = materialize(new.join(context_counts(docs, text, new), "pair").select("pattern", "total"), "pii-patterns")
-            admitted = counted if admitted is None else materialize(admitted.unionByName(counted), "pii-patterns")
-            graph = materialize(edges.join(admitted, "pattern").drop("pair"), "pii-graph")
-        for _ in range(ROUNDS):
+            admitted = new if admitted is None else materialize(admitted.unionByName(new), "pii-patterns")
+            graph = materialize(edges.join(admitted.select("pattern"), "pattern"), "pii-graph")
+        # scores only grow, up to 1, so they settle
+        moved = 1.0
+        while moved > SETTLED:
             scores = materialize(_rescored(graph, scores), "pii-scores")
+            moved = scores.agg(F.max(F.col("score") - F.col("old"))).first()[0] or 0.0
         before, accepted = accepted, scores.where(F.col("score") >= ACCEPTED).count()
         grown = accepted > before
     found = scores.where(F.col("score") >= ACCEPTED)
@@ -236,8 +269,8 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     rows and equal texts get equal spans, null keys are rows like others, an empty table gives an empty
     table. Other columns are not carried, so clashing names do not matter.
 
-    Texts are read whole, in place, for spans, and once per generation to count the words around its new
-    seeds. What is shuffled are spans and their contexts.
+    Very long texts, words and forms are read whole, in place: once for spans, and once to count the words
+    around those contexts that hold a loose form. What is shuffled are spans and their contexts.
     """
     rows = with_row_hash(docs.select(key, text), text)
     scanned = materialize(scan(rows, text, [key, "_row"]), "pii-scan")

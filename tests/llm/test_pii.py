@@ -114,3 +114,97 @@ def test_odd_rows(spark):
     found = sorted((r.doc_id or 0, [(s.kind, s.start, s.end) for s in r.base]) for r in pii.find_pii(docs).collect())
     assert found == [(0, [(0, 0, 6)]), (1, []), (2, []), (3, [(0, 0, 6)]), (3, [(0, 0, 6)]), (3, [(1, 11, 19)]), (4, []), (5, [(1, 300_001, 300_008)])]
     assert pii.find_pii(docs.limit(0)).count() == 0
+
+
+def test_loose_forms_of_any_length():
+    domain = "".join(f".label{i}" for i in range(40))
+    for form in (f"{'n' * 500} [at] host{domain}", f"name(at){'h' * 300} (dot) org", f"a@{'b' * 200}"):
+        text = f"write to {form}, please"
+        assert [text[s:e] for _, s, e in pii.loose_spans(text, [])] == [form]
+    spaced = "0170" + " " * 60 + "1234567"
+    assert [spaced[s:e] for _, s, e in pii.loose_spans(spaced, [])] == [spaced]
+    assert pii.loose_spans("1 " * 200_000 + "x", []) == [] == pii.loose_spans("12345678x", [])
+
+
+def test_loose_forms_beside_many_base_forms():
+    base = [(0, i, i + 1) for i in range(20)]
+    text = "." * 20 + " 0170 1234567 "
+    assert pii.loose_spans(text, base) == [(3, 21, 33)]
+    assert pii.loose_spans(text, [*base, (2, 0, 25)]) == []
+
+
+def test_contexts_of_long_words():
+    left, right = f"{'a' * 900} {'b' * 3000}", f"{'c' * 2000} {'d' * 5000}"
+    for text in (f"x {left} 0170 {right} y", f"{left} 0170 {right}"):
+        at = text.index("0170")
+        assert pii._context(text, at, at + 4) == (left, right)
+    assert pii._context("a 0170 b", 2, 6) == (None, None)
+
+
+def bootstrap(occurrences, texts):
+    """Accepted loose forms by the same rules, over plain dictionaries, until nothing changes."""
+    edges, base = {}, {}
+    for kind, surface, known, left, right in occurrences:
+        instance = (kind, surface)
+        base[instance] = base.get(instance, False) or known
+        for side, words in (("L", left), ("R", right)):
+            if words is not None:
+                own = edges.setdefault((kind, side, words), {})
+                n, was = own.get(instance, (0, False))
+                own[instance] = (n + 1, was or known)
+    pairs = {}
+    for text in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(pii._TO_LOWER))
+        for pair in zip(words, words[1:]):
+            pairs[" ".join(pair)] = pairs.get(" ".join(pair), 0) + 1
+    held = {i for own in edges.values() for i in own}
+    score = {i: float(b) for i, b in base.items() if i in held}
+    admitted = set()
+    while True:
+        new = {
+            p for p, own in edges.items() if p not in admitted and not all(b for _, b in own.values())
+            and sum(b or (bool(admitted) and score[i] >= pii.ACCEPTED) for i, (_, b) in own.items()) >= pii.LEAST_SEEDS
+        }
+        if not new:
+            break
+        admitted |= new
+        moved = 1.0
+        while moved > pii.SETTLED:
+            trust = {p: min(0.99, sum(n * score[i] for i, (n, _) in edges[p].items()) / pairs[p[2]]) for p in admitted}
+            after = dict(score)
+            for i in score:
+                own = [p for p in admitted if i in edges[p]]
+                if own:
+                    doubt = 1.0
+                    for p in own:
+                        doubt *= 1 - trust[p]
+                    after[i] = 1.0 if any(edges[p][i][1] for p in own) else 1 - doubt
+            moved = max(after[i] - score[i] for i in score)
+            score = after
+    return {i for i, s in score.items() if s >= pii.ACCEPTED}
+
+
+def test_discovery_equals_plain_bootstrap(spark):
+    """Planted contexts of growing purity, some words of which also stand elsewhere."""
+    rng = random.Random(3)
+    words = [f"w{i}x" for i in range(40)]
+    contexts = [(f"ctx{c} lead{c}", f"tail{c} end{c}") for c in range(12)]
+    texts = []
+    for i in range(400):
+        c = rng.randrange(12)
+        form = rng.choice([f"a{i % 60}@h{c}.org", f"l{i % 45}[at]h{c}.org", f"l{i % 45}[at]h.org", "nothing"])
+        before, after = contexts[c]
+        noise = " ".join(rng.choices([*words, *contexts[c]], k=12))
+        texts.append(f"{noise} {before} {form} {after if rng.random() < 0.7 else ' '.join(rng.choices(words, k=2))} {noise}")
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    occurrences = []
+    for text in texts:
+        base = pii.base_spans(text)
+        for (kind, s, e), known in [(b, True) for b in base] + [(f, False) for f in pii.loose_spans(text, base)]:
+            occurrences.append((kind, pii._normal(kind, text[s:e]), known, *pii._context(text, s, e)))
+    accepted = bootstrap(occurrences, texts)
+    loose = {(k, f) for k, f, known, *_ in occurrences if not known}
+    found = set()
+    for r in pii.find_pii(spark.createDataFrame(rows, SCHEMA)).collect():
+        found |= {(s.kind, pii._normal(s.kind, texts[r.doc_id][s.start:s.end])) for s in r.found}
+    assert found == accepted & loose and 0 < len(found) < len(loose)
