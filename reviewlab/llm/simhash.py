@@ -17,6 +17,8 @@ from reviewlab.session import materialize
 BITS = 64
 SHINGLE_WORDS = 4
 RADIUS = 4
+#: Above it the choices of agreeing parts become too many.
+MOST_RADIUS = 16
 #: Fingerprints per comparison block; larger buckets are compared block against block.
 BLOCK = 4096
 #: Bits that are counted at once, and (fingerprint, word of lanes) pairs compared at once.
@@ -73,6 +75,8 @@ def similar_fingerprints(fps: DataFrame, radius: int = RADIUS, block: int = BLOC
     small. A bucket above `block` is cut into blocks, and each pair of blocks is a task of its own.
     Within a task all fingerprints are compared, but only a spanning set of the links leaves it.
     """
+    if not 0 <= radius <= MOST_RADIUS:
+        raise ValueError(f"a radius from 0 to {MOST_RADIUS}, not {radius}")
     total = fps.count()
     keep = 2
     while keep < 8 and total > 16 * 2 ** (BITS * keep / (radius + keep)):
@@ -128,7 +132,7 @@ def _linked(task: np.ndarray, fp: np.ndarray, radius: int) -> Iterator[pa.Record
 
 
 def bit_sliced_links(task: np.ndarray, fp: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs `(i, j)` of rows of one task whose `fp` differ in at most `radius` bits (up to 7).
+    """Index pairs `(i, j)` of rows of one task whose `fp` differ in at most `radius` bits.
 
     `task` is sorted. 64 rows of a task share a machine word per bit plane; carry-save adders count
     the differing planes of all 64 at once, and words whose rows all exceed the radius are left.
@@ -166,7 +170,8 @@ def bit_sliced_links(task: np.ndarray, fp: np.ndarray, radius: int) -> Iterator[
 
 def _near_lanes(planes, fp, row, at, valid, radius):
     over = ~valid
-    ones, twos, fours = (np.zeros(len(row), np.uint64) for _ in range(3))
+    # as many counter bits as the radius needs; a lane that counts beyond them is over for good
+    counter = np.zeros((max(3, radius.bit_length()), len(row)), np.uint64)
     value = fp[row]
 
     def differing(bit: int) -> np.ndarray:
@@ -174,17 +179,19 @@ def _near_lanes(planes, fp, row, at, valid, radius):
         return planes[bit][at] ^ wanted
 
     for bit in range(0, BITS, 4):
-        ones, carry = _carry_save(ones, differing(bit), differing(bit + 1))
-        ones, carry2 = _carry_save(ones, differing(bit + 2), differing(bit + 3))
-        twos, carry4 = _carry_save(twos, carry, carry2)
-        over = over | (fours & carry4)
-        fours = fours | carry4
-        beyond = over | _exceeds(ones, twos, fours, radius)
+        counter[0], carry = _carry_save(counter[0], differing(bit), differing(bit + 1))
+        counter[0], carry2 = _carry_save(counter[0], differing(bit + 2), differing(bit + 3))
+        counter[1], carry = _carry_save(counter[1], carry, carry2)
+        for plane in counter[2:]:
+            plane ^= carry
+            carry &= ~plane
+        over = over | carry
+        beyond = over | _exceeds(counter, radius)
         alive = beyond != _ALL
         if np.count_nonzero(alive) < 0.7 * len(alive):
             row, at, value = row[alive], at[alive], value[alive]
-            over, ones, twos, fours = over[alive], ones[alive], twos[alive], fours[alive]
-    near = ~(over | _exceeds(ones, twos, fours, radius))
+            over, counter = over[alive], counter[:, alive]
+    near = ~(over | _exceeds(counter, radius))
     found = near != 0
     return row[found], at[found], near[found]
 
@@ -194,14 +201,14 @@ def _carry_save(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray
     return half ^ c, (a & b) | (half & c)
 
 
-def _exceeds(ones: np.ndarray, twos: np.ndarray, fours: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes whose three-bit count is above `radius`."""
-    above, equal = np.zeros_like(ones), np.full_like(ones, _ALL)
-    for bit, counter in ((4, fours), (2, twos), (1, ones)):
-        if radius & bit:
-            equal = equal & counter
+def _exceeds(counter: np.ndarray, radius: int) -> np.ndarray:
+    """Lanes whose count, lowest bit first, is above `radius`."""
+    above, equal = np.zeros_like(counter[0]), np.full_like(counter[0], _ALL)
+    for bit in reversed(range(len(counter))):
+        if radius >> bit & 1:
+            equal = equal & counter[bit]
         else:
-            above, equal = above | (equal & counter), equal & ~counter
+            above, equal = above | (equal & counter[bit]), equal & ~counter[bit]
     return above
 
 

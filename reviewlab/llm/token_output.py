@@ -19,11 +19,17 @@ SEQUENCE_IDS = 2048
 SHARD_SEQUENCES = 4096
 PAD = 0
 ROUNDS = 6
-#: Ids are stored in the smallest unsigned width that holds the vocabulary of 49,408.
-ID_TYPE = "<u2"
 _PIECES = "array<struct<doc:{key}, start:long, offset:int, length:int, ids_crc32:long>>"
 
 
+def id_type(tokenizer: str | None = None) -> str:
+    """The smallest unsigned width that holds every id of the tokenizer: 16 bits for 49,408 entries."""
+    from tokenizers import Tokenizer
+
+    largest = max(Tokenizer.from_file(tokenizer or default_tokenizer()).get_vocab(with_added_tokens=True).values())
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
 def feistel(values: np.ndarray, size: int, key: int, rounds: int = ROUNDS) -> np.ndarray:
     """A keyed permutation of 0..size-1, applied to `values`.
 
@@ -60,7 +66,7 @@ def token_sequences(
     Only the last sequence of a task may be shorter. `pieces` says which ids of which documents a
     sequence holds.
     """
-    path = tokenizer or default_tokenizer()
+    path, kind = tokenizer or default_tokenizer(), id_type(tokenizer)
     key_type = docs.schema[key].dataType.simpleString()
     schema = f"part int, number long, ids binary, pieces {_PIECES.format(key=key_type)}"
 
@@ -71,7 +77,7 @@ def token_sequences(
 
         def close() -> None:
             nonlocal ids, filled
-            rows.append(np.concatenate(ids).astype(ID_TYPE).tobytes())
+            rows.append(np.concatenate(ids).astype(kind).tobytes())
             ends.append(len(columns[0]))
             ids, filled = [], 0
 
@@ -158,13 +164,15 @@ def write_shards(
     Every sequence of `length` ids has a global `slot`; shard s is one file with the slots from
     s * `shard` on, each `length` ids wide, so slot n starts at byte (n mod `shard`) * stride. The last
     sequence of a writing task is filled up with id 0. The index has a row per piece of a document:
-    `doc_id` (the key), `start`, `length`, `ids_crc32`, `slot`, `shard`, `byte_offset`, `offset` and
-    `record_crc32` (of the whole record).
+    `doc_id` (the key), `start`, `length`, `ids_crc32`, `slot`, `shard`, `byte_offset`, `offset`,
+    `record_crc32` (of the whole record) and `held_crc32` (of the same bytes, read from the finished file).
+    Ids are as wide as the tokenizer's largest one needs (`id_type`).
 
     Null and empty text is the single end id; repeated rows, ties and null keys are written as often as
     they occur; an empty table gives an empty index and no shard. Other columns are not carried. `path`
-    lies on a file system that all executors share (default: below the shared folder). A task writes a
-    shard under a name of its own and then renames it, so repeated attempts leave whole files.
+    lies on a file system that all executors share (default: below the shared folder). A task writes one
+    shard under a name of its own and then renames it, so repeated attempts leave whole files. Very long
+    texts span as many sequences as they need.
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "shards")
@@ -172,64 +180,67 @@ def write_shards(
     placed, total = with_slots(sequences, seed)
     placed = placed.withColumn("shard", F.expr(f"cast(slot div {shard} as int)"))
     tasks = max(1, math.ceil(total / shard))
-    ordered = placed.repartitionByRange(tasks, "shard").sortWithinPartitions("slot").select("slot", "shard", "ids", "pieces")
-    pieces_type = ordered.schema["pieces"].dataType.simpleString()
+    ordered = placed.repartitionById(tasks, F.col("shard")).sortWithinPartitions("slot").select("slot", "shard", "ids", "pieces")
+    pieces_type, kind = ordered.schema["pieces"].dataType.simpleString(), id_type(tokenizer)
+    stride = length * np.dtype(kind).itemsize
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(path)
         own = f"{base}/_attempt-{TaskContext.get().taskAttemptId()}"
-        out, current, name = None, None, ""
-
-        def finish() -> None:
-            if out is not None:
-                out.close()
-                store.move(name, f"{base}/shard-{current:08d}.bin")
-
+        rows: list[pa.RecordBatch] = []
+        number, out, crcs = None, None, []
         for batch in batches:
-            crcs = []
-            for at, packed in zip(batch.column("shard").to_pylist(), batch.column("ids")):
-                if at != current:
-                    finish()
-                    store.create_dir(own, recursive=True)
-                    current, name = at, f"{own}/shard-{at:08d}.bin"
-                    out = store.open_output_stream(name)
-                record = _record(packed.as_py(), length)
+            if batch.num_rows and out is None:
+                number = batch.column("shard")[0].as_py()
+                store.create_dir(own, recursive=True)
+                out = store.open_output_stream(f"{own}/shard.bin")
+            for packed in batch.column("ids"):
+                record = _record(packed.as_py(), length, kind)
                 out.write(record)
                 crcs.append(zlib.crc32(record))
-            yield batch.drop_columns(["ids"]).append_column("record_crc32", pa.array(crcs, pa.int64()))
-        finish()
-        if current is not None:
-            store.delete_dir(own)
-
-    written = materialize(ordered.mapInArrow(of_batches, f"slot long, shard int, pieces {pieces_type}, record_crc32 long"), "index")
-    stride = length * np.dtype(ID_TYPE).itemsize
+            rows.append(batch.drop_columns(["ids"]))
+        if out is None:
+            return
+        out.close()
+        name = f"{base}/shard-{number:08d}.bin"
+        store.move(f"{own}/shard.bin", name)
+        store.delete_dir(own)
+        with store.open_input_stream(name) as held:
+            for batch in rows:
+                again = [zlib.crc32(held.read(stride)) for _ in range(batch.num_rows)]
+                written, crcs = crcs[:batch.num_rows], crcs[batch.num_rows:]
+                batch = batch.append_column("record_crc32", pa.array(written, pa.int64()))
+                yield batch.append_column("held_crc32", pa.array(again, pa.int64()))
+
+    schema = f"slot long, shard int, pieces {pieces_type}, record_crc32 long, held_crc32 long"
+    written = materialize(ordered.mapInArrow(of_batches, schema), "index")
     index = written.select(
-        "slot", "shard", "record_crc32", (F.pmod("slot", F.lit(shard)) * stride).alias("byte_offset"), F.explode("pieces").alias("p")
+        "slot", "shard", "record_crc32", "held_crc32", (F.pmod("slot", F.lit(shard)) * stride).alias("byte_offset"), F.explode("pieces").alias("p")
     )
     return path, index.select(
         F.col("p.doc").alias(key), "p.start", F.col("p.length").cast("long").alias("length"), "p.ids_crc32",
-        "slot", "shard", "byte_offset", F.col("p.offset").cast("long").alias("offset"), "record_crc32",
+        "slot", "shard", "byte_offset", F.col("p.offset").cast("long").alias("offset"), "record_crc32", "held_crc32",
     )
 
 
-def _record(packed: bytes, length: int) -> bytes:
+def _record(packed: bytes, length: int, kind: str) -> bytes:
     import zstandard
 
-    ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), ID_TYPE)
+    ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
     return np.pad(ids, (0, length - len(ids)), constant_values=PAD).tobytes()
 
 
 def read_shards(
     spark: SparkSession, path: str, first: int = 0, last: int | None = None,
-    length: int = SEQUENCE_IDS, shard: int = SHARD_SEQUENCES,
+    length: int = SEQUENCE_IDS, shard: int = SHARD_SEQUENCES, tokenizer: str | None = None,
 ) -> DataFrame:
     """`(slot, ids)` of the slots from `first` up to (not including) `last`, from the files alone.
 
     Reading can be taken up at any slot: whole shards outside the range are not opened.
     """
-    stride = length * np.dtype(ID_TYPE).itemsize
+    stride = length * np.dtype(id_type(tokenizer)).itemsize
     number = F.regexp_extract("path", r"shard-(\d+)\.bin$", 1).cast("long")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(path)
     files = files.withColumn("_shard", number).where(F.col("_shard") >= first // shard)
@@ -250,9 +261,3 @@ def read_shards(
                     )
 
     return files.select("_shard", "content").mapInArrow(of_batches, "slot long, ids binary")
-
-
-def read_back(spark: SparkSession, path: str, index: DataFrame, **layout: int) -> DataFrame:
-    """`index` with `held_crc32`, the checksum of each record as it lies in the shards."""
-    records = read_shards(spark, path, **layout).select("slot", F.crc32("ids").alias("held_crc32"))
-    return index.join(records, "slot", "left")

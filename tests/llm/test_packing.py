@@ -107,7 +107,7 @@ def test_shards_hold_every_id(spark, sf, tokenizer):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     path, index = token_output.write_shards(docs, seed=4, length=64, shard=50)
     ids = {
-        r.slot: np.frombuffer(r.ids, token_output.ID_TYPE)
+        r.slot: np.frombuffer(r.ids, token_output.id_type())
         for r in token_output.read_shards(spark, path, length=64, shard=50).collect()
     }
     assert sorted(ids) == list(range(len(ids)))
@@ -122,10 +122,34 @@ def test_shards_hold_every_id(spark, sf, tokenizer):
 
 
 def test_records_are_read_back_as_written(spark, sf):
-    path, index = token_output.write_shards(spark.read.parquet(f"{sf}/documents.parquet"))
-    rows = token_output.read_back(spark, path, index).collect()
+    rows = queries.op10_training_order(spark, sf).collect()
     assert rows and all(r.record_crc32 == r.held_crc32 for r in rows)
-    assert queries.op10_training_order(spark, sf).drop("byte_offset").count() == len(rows)
+    assert len({r.slot for r in rows}) == 1 + max(r.slot for r in rows)
+
+
+def test_each_shard_is_one_file_and_one_task(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    path, index = token_output.write_shards(docs, length=64, shard=50)
+    shards = {r.shard for r in index.select("shard").distinct().collect()}
+    files = spark.read.format("binaryFile").load(path).select("path").collect()
+    assert shards == set(range(len(files))) and len(files) > 8
+    assert all("/shard-" in f.path for f in files)
+
+
+def test_ids_above_sixteen_bits(spark, tmp_path):
+    """A tokenizer of 70,000 words: ids keep their value."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    wide = Tokenizer(models.WordLevel({f"ж{i}": i for i in range(70_000)}, unk_token="ж0"))
+    wide.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    file = str(tmp_path / "wide.json")
+    wide.save(file)
+    assert token_output.id_type(file) == "<u4" and token_output.id_type() == "<u2"
+    docs = spark.createDataFrame([(1, "ж69999 ж3")], "doc_id long, text string")
+    path, index = token_output.write_shards(docs, length=8, shard=4, tokenizer=file)
+    record = token_output.read_shards(spark, path, length=8, shard=4, tokenizer=file).first()
+    assert np.frombuffer(record.ids, "<u4").tolist() == [69_999, 3, 2, 0, 0, 0, 0, 0]
+    assert [(r.length, r.record_crc32) for r in index.collect()] == [(3, zlib.crc32(record.ids))]
 
 
 def test_words_survive_the_change_of_generations(monkeypatch):

@@ -68,11 +68,11 @@ def test_links_keep_all_components(spark, block):
     assert len(set.union(*groups.values())) == len(groups)
 
 
-@pytest.mark.parametrize("radius", [1, 3, 4, 7])
+@pytest.mark.parametrize("radius", [0, 1, 3, 4, 7, 8, 11, 16])
 def test_bit_sliced_links(radius):
     rng = np.random.default_rng(radius)
     task = np.sort(rng.integers(0, 6, 500))
-    fp = rng.integers(0, 2**12, 500).astype(np.uint64)
+    fp = rng.integers(0, 2**(12 if radius < 8 else 40), 500).astype(np.uint64)
     found = {(i, j) for a, b in simhash.bit_sliced_links(task, fp, radius) for i, j in zip(a.tolist(), b.tolist())}
     expected = {
         (i, j) for i in range(500) for j in range(i + 1, 500)
@@ -96,3 +96,26 @@ def test_odd_rows(spark):
     assert {by[i].component_id for i in (3, 4, 5)} == {3} and by[5].fp == 0
     assert {by[i].component_id for i in (7, 8, None)} == {7}
     assert simhash.near_duplicates(spark.createDataFrame([], schema)).count() == 0
+
+
+@pytest.mark.parametrize("radius", [4, 8, 9])
+def test_wide_radius_keeps_all_links(spark, radius):
+    rng = np.random.default_rng(radius)
+    values = [int(v) for v in rng.integers(0, 2**64, 40, dtype=np.uint64)]
+    values += [v ^ sum(1 << int(b) for b in rng.choice(64, n, replace=False)) for v, n in zip(values, [radius, radius + 1] * 20)]
+    signed = [(v - 2**64 if v >= 2**63 else v,) for v in values]
+    links = simhash.similar_fingerprints(spark.createDataFrame(signed, "fp long"), radius)
+    found = {r.node: r.root for r in components.connected_components(links).collect()}
+    label = roots(values, radius)
+    joined = {tuple(sorted(s for (s,), root in zip(signed, label) if root == r)) for r in set(label)}
+    parts = {}
+    for (s,) in signed:
+        parts.setdefault(found.get(s, s), []).append(s)
+    assert {tuple(sorted(p)) for p in parts.values()} == joined and len(joined) < len(values)
+
+
+def test_radius_is_checked(spark):
+    fps = spark.createDataFrame([(1,)], "fp long")
+    for radius in (-1, 17):
+        with pytest.raises(ValueError):
+            simhash.similar_fingerprints(fps, radius)
