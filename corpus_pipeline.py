@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import decontamination, language_id, line_dedup, near_copies, packing
+from reviewlab.llm import decontamination, language_id, line_dedup, packing, simhash
 from reviewlab.llm.rows import narrowed, widened
 from reviewlab.operators.lookup import lookup_join
 from reviewlab.session import materialize
@@ -50,10 +50,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one row stays: smallest id (null last), then smallest text hash.
 
-    Near copies share at least 0.8 of their five-word shingles, compared exactly (`near_copies`).
+    Near copies are those of the SimHash operator: fingerprints of four-word shingles within four bits,
+    directly or by chains.
     """
     own = F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", F.xxhash64("text").alias("_hash"))
-    groups = near_copies.near_copies(docs.select(own.alias("_own"), "text"), key="_own")
+    groups = simhash.near_duplicates(docs.select(own.alias("_own"), "text"), key="_own", radius=simhash.RADIUS)
     keepers = groups.where(F.col("_own") == F.col("component_id")).groupBy("_own").agg(F.count("*").alias("_copies"))
     keepers = materialize(
         keepers.select(_id_text(F.col("_own.doc_id")).alias("_id"), F.col("_own._hash").alias("_row"), "_copies"), "keepers"
