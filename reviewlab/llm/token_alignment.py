@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -18,11 +19,17 @@ from reviewlab.session import materialize
 
 BYTE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Texts of more characters are cut where both tokenizers must cut; characters aligned and rows given out at once.
-SEGMENT_CHARACTERS, CHARACTERS_AT_ONCE, ROWS_AT_ONCE = 1 << 16, 1 << 20, 64
+SEGMENT_CHARACTERS, CHARACTERS_AT_ONCE, ROWS_AT_ONCE = 1 << 16, 1 << 18, 64
+#: Distinct links that a task adds up before it gives them out.
+LINKS_AT_ONCE = 1 << 20
 #: Linked id pairs, the most frequent ones, that every task holds in memory (17 bytes each).
 HOT_PAIRS = 500_000
 #: Neither tokenizer joins a character other than white space to a following blank and letter.
 _CUT = re.compile(r"(?<=\S) (?=[A-Za-z])")
+# Fixed value: how a byte-level vocabulary of this kind cuts a text before merging.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters whose class no version of Unicode has changed; other texts go through the tokenizer file's own rules.
+_SETTLED = re.compile("[\x00-\u017F\u2010-\u2027\u20AC]*")
 _WORKERS: dict[tuple[str, str], Aligner] = {}
 
 
@@ -48,19 +55,20 @@ class Aligner:
     """Both tokenizers, the bytes of their entries, and the decimal spelling of their ids."""
 
     def __init__(self, byte_file: str, piece_file: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(byte_file)
-        self.a.encode_special_tokens = True
+        self.byte_file, self._library = byte_file, None
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
         of_letter = {letter: byte for byte, letter in enumerate(byte_letters())}
-        special = set(self.a.get_added_tokens_decoder())
-        entries = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
-        self.a_bytes = [
-            e.encode() if i in special else bytes(of_letter[letter] for letter in e) for i, e in enumerate(entries)
-        ]
+        with open(byte_file, encoding="utf-8") as file:
+            described = json.load(file)
+        special = {t["id"]: t["content"].encode() for t in described["added_tokens"]}
+        entries = {i: bytes(of_letter[letter] for letter in e) for e, i in described["model"]["vocab"].items() if i not in special}
+        self.a_bytes = [special.get(i) or entries.get(i, b"") for i in range(1 + max([*special, *entries]))]
+        # the same merges in a faster library: an entry's number is the rank of its merge
+        ranks = {e: i for i, e in entries.items()}
+        self.fast = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b_bytes = [
             bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
             for i in range(self.b.vocab_size()) for piece in [self.b.id_to_piece(i)]
@@ -73,9 +81,24 @@ class Aligner:
         )
 
     def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
+        """Ids of both tokenizers for each part."""
+        a = [self.fast.encode_ordinary(" " + p) if _SETTLED.fullmatch(p) else self._encode_any(p) for p in parts]
         return a, self.b.encode(parts, num_threads=1)
 
+    def _encode_any(self, part: str) -> list[int]:
+        return self.a.encode(" " + part, add_special_tokens=False).ids
+
+    @property
+    def a(self):
+        """The byte-level tokenizer as its own library reads it; special tokens are plain text."""
+        if self._library is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self.byte_file)
+            self._library.encode_special_tokens = True
+        return self._library
+
     def whole(self, parts: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
         """Whether the tokens of each part spell exactly a blank and the part, for both tokenizers."""
         wanted = [(" " + p).encode("utf-8", "surrogatepass") for p in parts]
@@ -171,13 +194,27 @@ def _align(aligner: Aligner, parts: list[tuple[_Document, str]]) -> None:
         )
 
 
+def _pack(keys: np.ndarray, times: np.ndarray) -> bytes:
+    """Ascending keys and their numbers as compressed bytes."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(np.diff(keys, prepend=0).tobytes() + times.astype("<i8").tobytes())
+
+
+def _unpack(packed: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    import zstandard
+
+    both = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed.as_buffer()), "<i8")
+    return np.cumsum(both[:len(both) // 2]), both[len(both) // 2:]
+
+
 def aligned_texts(docs: DataFrame, text: str, carry: list[str], files: tuple[str, str] | None = None) -> DataFrame:
-    """`carry`, `n_a`, `n_b`, `n_groups`, `groups_sha256` and each text's distinct links with their number.
+    """`carry`, `n_a`, `n_b`, `n_groups`, `groups_sha256` and `links`, a text's distinct links and their numbers.
 
-    A link is written as `A id * size of B + B id`.
+    A link is written as `A id * size of B + B id`; `_unpack` reads the column.
     """
     paths = files or default_files()
-    more = "n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>, times array<long>"
+    more = "n_a long, n_b long, n_groups long, groups_sha256 string, links binary"
     schema = schema_with(docs, carry, more)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,11 +227,10 @@ def aligned_texts(docs: DataFrame, text: str, carry: list[str], files: tuple[str
                 found = [d.row() for d in documents[at:upto]]
                 documents[at:upto] = [None] * (upto - at)
                 n_a, n_b, n_groups, digests, keys, times = zip(*found)
-                offsets = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x))) for x in (keys, times)]
+                links = pa.array([_pack(k, t) for k, t in zip(keys, times)], pa.binary())
                 numbers = [pa.array(c, pa.int64()) for c in (n_a, n_b, n_groups)]
                 own = [c.slice(at, upto - at) for c in batch.columns[1:]]
-                columns = [*own, *numbers, pa.array(digests, pa.string()), *lists]
+                columns = [*own, *numbers, pa.array(digests, pa.string()), links]
                 return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
             for value in batch.column(0):
@@ -220,8 +256,30 @@ def aligned_texts(docs: DataFrame, text: str, carry: list[str], files: tuple[str
 def link_totals(aligned: DataFrame, size_b: int) -> DataFrame:
     """`(pair, total, best)`: links of each id pair over all texts, and whether no other A id has more
     links with the same B id. The best totals are one row per entry of B's vocabulary."""
-    links = aligned.select(F.inline(F.arrays_zip("pairs", "times"))).groupBy(F.col("pairs").alias("pair"))
-    totals = materialize(links.agg(F.sum("times").alias("total")), "link-totals")
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, times = np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def added(more: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+            all_keys = np.concatenate([keys, *[k for k, _ in more]])
+            found, at = np.unique(all_keys, return_inverse=True)
+            return found, np.bincount(at, np.concatenate([times, *[t for _, t in more]]), len(found)).astype(np.int64)
+
+        waiting, size = [], 0
+        for batch in batches:
+            for packed in batch.column(0):
+                waiting.append(_unpack(packed))
+                size += len(waiting[-1][0])
+                if size >= LINKS_AT_ONCE:
+                    keys, times = added(waiting)
+                    waiting, size = [], 0
+                if len(keys) >= LINKS_AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], names=["pair", "n"])
+                    keys, times = keys[:0], times[:0]
+        keys, times = added(waiting)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], names=["pair", "n"])
+
+    links = aligned.select("links").mapInArrow(of_batches, "pair long, n long").groupBy("pair")
+    totals = materialize(links.agg(F.sum("n").alias("total")), "link-totals")
     of_b = F.pmod(F.col("pair"), F.lit(size_b)).alias("b")
     most = totals.groupBy(of_b).agg(F.max("total").alias("most"))
     joined = totals.withColumn("b", of_b).join(F.broadcast(most), "b")
@@ -264,14 +322,14 @@ def align_tokenizers(
     paths = files or default_files()
     size_b = _vocabulary_size(paths[1])
     found = aligned_texts(docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")), "_text", ["_key"], paths)
-    aligned = materialize(found.withColumn("_row", F.monotonically_increasing_id()), "aligned", "zstd")
+    aligned = materialize(found.withColumn("_row", F.monotonically_increasing_id()), "aligned", "none")
     totals = link_totals(aligned, size_b)
     cut = _hot_cut(totals, hot_pairs)
     counted = _count_hot(aligned, totals.where(F.col("total") >= cut))
     own = ["_key", "n_a", "n_b", "n_groups", "groups_sha256"]
     if cut:
-        counted = materialize(counted, "counted", "zstd")
-        rare = counted.select("_row", F.inline(F.arrays_zip("pairs", "times"))).withColumnRenamed("pairs", "pair")
+        counted = materialize(counted, "counted", "none")
+        rare = _unfolded(counted)
         rest = rare.join(totals.where(F.col("total") < cut), "pair").groupBy("_row").agg(
             F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("more_best"),
             F.sum(F.col("times") * F.col("total")).alias("more_sum"),
@@ -292,27 +350,39 @@ def _vocabulary_size(piece_file: str) -> int:
 
 
 def _count_hot(aligned: DataFrame, hot: DataFrame) -> DataFrame:
-    """`n_best` and `count_sum` of the links in `hot` (bounded); `pairs` and `times` keep the others."""
+    """`n_best` and `count_sum` of the links in `hot` (bounded); `links` keeps the others."""
     table = hot.orderBy("pair").toArrow()
     keys, totals, best = (table.column(c).to_numpy() for c in ("pair", "total", "best"))
     shared = aligned.sparkSession.sparkContext.broadcast((keys, totals, best.astype(np.int64)))
     carried = ["_key", "_row", "n_a", "n_b", "n_groups", "groups_sha256"]
-    schema = schema_with(aligned, carried, "n_best long, count_sum long, pairs array<long>, times array<long>")
+    schema = schema_with(aligned, carried, "n_best long, count_sum long, links binary")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, totals, best = shared.value
         for batch in batches:
-            n = batch.num_rows
-            pairs, times = (batch.column(c).flatten().to_numpy() for c in ("pairs", "times"))
-            row = np.repeat(np.arange(n), batch.column("pairs").value_lengths().to_numpy())
-            at = np.minimum(np.searchsorted(keys, pairs), max(0, len(keys) - 1))
-            known = keys[at] == pairs if len(keys) else np.zeros(len(pairs), bool)
-            n_best, count_sum = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            np.add.at(n_best, row[known], times[known] * best[at[known]])
-            np.add.at(count_sum, row[known], times[known] * totals[at[known]])
-            left = pa.array(np.r_[0, np.cumsum(np.bincount(row[~known], minlength=n))], pa.int32())
-            rest = [pa.ListArray.from_arrays(left, pa.array(x[~known])) for x in (pairs, times)]
-            columns = [*[batch.column(c) for c in carried], pa.array(n_best), pa.array(count_sum), *rest]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return aligned.select(*carried, "pairs", "times").mapInArrow(of_batches, schema)
+            n_best, count_sum, rest = [], [], []
+            for packed in batch.column("links"):
+                pairs, times = _unpack(packed)
+                at = np.minimum(np.searchsorted(keys, pairs), max(0, len(keys) - 1))
+                known = keys[at] == pairs if len(keys) else np.zeros(len(pairs), bool)
+                n_best.append(int(times[known] @ best[at[known]]))
+                count_sum.append(int(times[known] @ totals[at[known]]))
+                rest.append(None if known.all() else _pack(pairs[~known], times[~known]))
+            columns = [pa.array(n_best, pa.int64()), pa.array(count_sum, pa.int64()), pa.array(rest, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carried], *columns], names=schema.names)
+
+    return aligned.select(*carried, "links").mapInArrow(of_batches, schema)
+
+
+def _unfolded(counted: DataFrame) -> DataFrame:
+    """`(_row, pair, times)` of the links that are left."""
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, packed in zip(batch.column(0), batch.column(1)):
+                pairs, times = _unpack(packed)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(row, len(pairs)), pa.array(pairs), pa.array(times)], names=["_row", "pair", "times"]
+                )
+
+    left = counted.where(F.col("links").isNotNull()).select("_row", "links")
+    return left.mapInArrow(of_batches, "_row long, pair long, times long")

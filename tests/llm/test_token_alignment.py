@@ -98,6 +98,23 @@ def test_segments_give_the_tokens_of_the_whole(aligner, text, size):
     assert sum(b, []) == aligner.b.encode(text) or not text
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(
+    st.text(alphabet=st.characters(max_codepoint=0x17F), max_size=60),
+    st.text(alphabet=st.sampled_from("aZé0 \n\t'.,-#\x85\xa0²¼ªſŉ—…€‘’”"), max_size=60),
+    st.lists(st.sampled_from([" word", "'s", "'LL", "<|endoftext|>", " 12", "  ", "\n\n", "étude", "x" * 40]), max_size=20).map("".join),
+))
+def test_ranks_give_the_tokens_of_the_file(aligner, text):
+    assert token_alignment._SETTLED.fullmatch(text)
+    assert aligner.encode([text])[0][0] == aligner._encode_any(text)
+
+
+def test_ranks_give_the_tokens_of_the_given_texts(aligner, spark, sf):
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect() if r.text]
+    assert aligner.encode(texts)[0] == [aligner._encode_any(t) for t in texts]
+    assert sum(token_alignment._SETTLED.fullmatch(t) is not None for t in texts) > len(texts) // 2
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.data())
 def test_pointer_jumping_equals_common_ends(data):
