@@ -125,6 +125,7 @@ FEATURE_COLUMNS = [
 # --- hyper-parameter grids ------------------------------------------------------------------
 NAIVE_BAYES_GRID = {"alpha": [0.01, 0.1, 0.5, 1.0, 2.0], "fit_prior": [True, False]}
 SVM_GRID = {"C": [0.01, 0.1, 1.0, 10.0], "loss": ["hinge", "squared_hinge"], "max_iter": [1000, 2500]}
+SVM_ITERATIONS, FOREST_TREES = 1000, 100
 FOREST_GRID = {
     "n_estimators": [50, 100, 200], "max_depth": [10, 20, None], "min_samples_split": [2, 5, 10],
     "min_samples_leaf": [1, 2, 4],
@@ -132,3 +133,27 @@ FOREST_GRID = {
 RANDOM_SEARCH_DRAWS = 20
 CROSS_VALIDATION_FOLDS = 5
 SEED = 42
+
+# --- word-order rules of valence (published constants and word lists) ---------------------------------------
+
+BOOSTER_STEP, CAPITALS_STEP, NEGATION_FACTOR = 0.293, 0.733, -0.74
+BOOSTER_DECAY, NEVER_FACTORS = [1.0, 0.95, 0.9], [1.0, 1.5, 1.25]
+EXCLAMATION_STEP, QUESTION_STEP, MOST_QUESTIONS = 0.292, 0.18, 0.96
+VALENCE_NEGATIONS = (
+    "aint arent cannot cant couldnt darent didnt doesnt dont hadnt hasnt havent isnt mightnt mustnt neither neednt never none "
+    "nope nor not nothing nowhere oughtnt shant shouldnt uhuh wasnt werent uh-uh without wont wouldnt rarely seldom despite"
+).split()
+BOOSTERS = (
+    "absolutely amazingly awfully completely considerably decidedly deeply effing enormously entirely especially exceptionally "
+    "extremely fabulously flipping flippin fricking frickin frigging friggin fully fucking greatly hella highly hugely incredibly "
+    "intensely majorly more most particularly purely quite really remarkably so substantially thoroughly totally tremendously uber "
+    "unbelievably unusually utterly very"
+).split()
+DAMPENERS = (
+    "almost barely hardly kinda kindof kind-of less little marginally occasionally partly scarcely slightly somewhat sorta sortof sort-of"
+).split()
+DAMPENER_PAIRS = ["just enough", "kind of", "sort of"]
+VALENCE_IDIOMS = {
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "yeah right": -2.0, "cut the mustard": 2.0, "kiss of death": -1.5,
+    "hand to mouth": -2.0,
+}

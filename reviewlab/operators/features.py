@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reviewlab.functions import fixed_values as fv
 from reviewlab.functions.keys import row_keys
 from reviewlab.functions.text import sentence_tokens, sentences, tokens
+from reviewlab.functions.valence import rule_scores, rule_words
 from reviewlab.operators.corpus import bounded_ratio
 from reviewlab.operators.lookup import lookup_join
 
@@ -180,6 +181,20 @@ def valence_scores(df: DataFrame, lexicon: DataFrame | None, text: str = "text")
     return scored.rows.select(*row_keys(df), *_valence_columns(scored))
 
 
+def rule_valence_scores(df: DataFrame, lexicon: DataFrame, text: str = "text") -> DataFrame:
+    """Valence by word order: boosters, negations, contrast, idioms, capitals and punctuation count.
+
+    Each document gets the valences of its own words as a map, by one join of its distinct words; the rules
+    then work within the row. Null text scores zero. Of contradicting lexicon entries the largest counts.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    words = rule_words(body)
+    rows = df.select(*row_keys(df), body.alias("_text"), F.transform(words, F.lower).alias("_words"))
+    scored = _with_own_valences(rows, _valences(lexicon, "word", "valence").where("word is not null and valence is not null"), None)
+    found = rule_scores(F.col("_text"), rule_words(F.col("_text")), F.col("_own")).alias("_scores")
+    return scored.select(*row_keys(df), found).select(*row_keys(df), "_scores.*")
+
+
 def structural_features(
     df: DataFrame, text: str = "text", include_rating: bool = True
 ) -> DataFrame:

@@ -8,36 +8,40 @@ import random
 import time
 from dataclasses import dataclass, field
 
-from pyspark.ml import Estimator
-from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.linalg import VectorUDT
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlab.functions import fixed_values as fv
-from reviewlab.operators import evaluation, naive_bayes
+from reviewlab.operators import evaluation, forests, linear_svm, naive_bayes
 from reviewlab.operators.vectors import minmax_limits, minmax_scale
 from reviewlab.session import materialize
 
 NAIVE_BAYES, SVM, FOREST = "Naive Bayes", "SVM", "Random Forest"
+#: Relative duality gap of support vector machines while a grid is searched; final fits use the operator's own.
+SEARCH_TOLERANCE = 1e-2
 _UNLIMITED_DEPTH = 30  # the deepest tree Spark ML grows
 
 
 # --- the edge between long-form vectors and Spark ML -------------------------------------------
 
 
+def document_entries(vectors: DataFrame, documents: DataFrame) -> DataFrame:
+    """`documents` with `_e`, their entries `(idx, value)` in order; a document's are bounded by its length."""
+    entries = vectors.where(F.col("value") != 0).groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("_e")
+    )
+    return documents.join(entries, "doc_id", "left")
+
+
 def sparse_features(vectors: DataFrame, documents: DataFrame, width: int | Column) -> DataFrame:
     """`documents` with a sparse `features` column; documents without entries get the zero vector.
 
     The vector is spelled as JSON and read back with the vector type, which keeps the conversion in
-    the JVM. A document's entries are bounded by its own length.
+    the JVM.
     """
-    entries = vectors.where(F.col("value") != 0).groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("_e")
-    )
     parts = F.struct(
         F.struct(
             F.lit(0).alias("type"),
@@ -48,7 +52,7 @@ def sparse_features(vectors: DataFrame, documents: DataFrame, width: int | Colum
     )
     schema = T.StructType([T.StructField("features", VectorUDT())])
     return (
-        documents.join(entries, "doc_id", "left")
+        document_entries(vectors, documents)
         .withColumn("features", F.from_json(F.to_json(parts), schema)["features"])
         .drop("_e")
     )
@@ -65,25 +69,15 @@ def class_name(index: Column, classes: list[str]) -> Column:
 # --- estimators --------------------------------------------------------------------------------
 
 
-def svm(n_documents: int, C: float = 1.0, max_iter: int = 1000, loss: str = "hinge") -> OneVsRest:
-    """Linear SVM, one binary model per class. Spark ML minimises hinge loss only."""
-    del loss
-    binary = LinearSVC(
-        regParam=1.0 / (C * max(n_documents, 1)), maxIter=max_iter, standardization=False
-    )
-    return OneVsRest(classifier=binary, parallelism=3)
-
-
 def forest(
-    n_documents: int = 0,
     n_estimators: int = 100,
     max_depth: int | None = None,
     min_samples_split: int = 2,
     min_samples_leaf: int = 1,
     seed: int = fv.SEED,
 ) -> RandomForestClassifier:
-    """A split minimum has no counterpart; half of it is folded into the leaf minimum."""
-    del n_documents
+    """A plain Spark ML forest, for saving and loading. A split minimum has no counterpart there; half of it is
+    folded into the leaf minimum. `forests` honours it as it is."""
     return RandomForestClassifier(
         numTrees=n_estimators,
         maxDepth=_UNLIMITED_DEPTH if max_depth is None else max_depth,
@@ -92,13 +86,6 @@ def forest(
     )
 
 
-def estimator(name: str, n_documents: int, **params) -> Estimator:
-    builders = {SVM: svm, FOREST: forest}
-    if name not in builders:
-        raise ValueError(f"Unknown model: {name}")
-    return builders[name](n_documents, **params)
-
-
 # --- grids -------------------------------------------------------------------------------------
 
 
@@ -117,8 +104,6 @@ def search_settings(name: str, grid: dict[str, list] | None = None, seed: int =
     settings = combinations(grid or parameter_grids()[name])
     if name == FOREST and len(settings) > fv.RANDOM_SEARCH_DRAWS:
         settings = random.Random(seed).sample(settings, fv.RANDOM_SEARCH_DRAWS)
-    if name == SVM:
-        settings = list({(s["C"], s["max_iter"]): s for s in reversed(settings)}.values())[::-1]
     return settings
 
 
@@ -160,7 +145,10 @@ def evaluate(
     **params,
 ) -> Evaluation:
     """Fit on `set = 'train'` of `documents(doc_id, label, set)`, predict and score every set."""
-    run = _run_naive_bayes if name == NAIVE_BAYES else _run_spark_ml
+    runs = {NAIVE_BAYES: _run_naive_bayes, SVM: _run_svm, FOREST: _run_forest}
+    if name not in runs:
+        raise ValueError(f"Unknown model: {name}")
+    run = runs[name]
     predictions, train_seconds, predict_seconds = run(name, representation, documents, classes, params)
     rows = evaluation.metrics_by_set(predictions, classes).collect()  # one row per set
     metrics = {r["set"]: {k: v for k, v in r.asDict().items() if k != "set"} for r in rows}
@@ -169,18 +157,63 @@ def evaluate(
     )
 
 
-def _run_spark_ml(name, representation, documents, classes, params):
-    rows = sparse_features(representation.vectors, documents, representation.width)
-    rows = materialize(rows.withColumn("y", label_index(F.col("label"), classes)))
-    train = rows.where(F.col("set") == "train")
+def _rows_and_blocks(representation: Representation, documents: DataFrame, classes: list[str], fold: Column, carry: list[str]):
+    """The documents as blocks, and as written rows `(features, y, fold)` for Spark ML; y is -1 beyond `classes`."""
+    numbered = _numbered_rows(representation, documents.select(*carry), classes, fold)
+    blocks = linear_svm.document_blocks(numbered, representation.width, carry)
+    rows = sparse_features(
+        representation.vectors,
+        documents.select("doc_id", fold.cast("int").alias("fold"), F.coalesce(label_index(F.col("label"), classes), F.lit(-1.0)).alias("y")),
+        representation.width,
+    )
+    return materialize(rows.where("y >= 0").select("features", "y", "fold"), "forest-rows"), blocks, numbered
+
+
+def _learnt(classes: list[str]) -> Column:
+    """Fold 0 holds the training rows whose label is one of `classes`, fold 1 all others."""
+    return F.when((F.col("set") == "train") & F.col("label").isin(*classes), 0).otherwise(1)
+
+
+def _run_forest(name, representation, documents, classes, params):
+    del name
+    carry = ["doc_id", "set", "label"]
+    rows, blocks, numbered = _rows_and_blocks(representation, documents, classes, _learnt(classes), carry)
+    trees = params.get("n_estimators", fv.FOREST_TREES)
+    start = time.perf_counter()
+    grown = forests.fit_trees(
+        rows.where("fold = 0"), trees, params.get("max_depth"), params.get("min_samples_leaf", 1), params.get("seed", fv.SEED)
+    )
+    trained = time.perf_counter()
+    asked = [("", trees, forests.forest_rule(params))]
+    judged = forests.judge(blocks, grown, asked, classes, [numbered.schema[c] for c in carry])
+    predictions = materialize(judged.drop("params"))
+    return predictions, trained - start, time.perf_counter() - trained
+
+
+def _numbered_rows(representation: Representation, documents: DataFrame, classes: list[str], fold: Column) -> DataFrame:
+    """Rows for `linear_svm.document_blocks`: class number (-1 beyond `classes`), fold, and entries."""
+    rows = document_entries(representation.vectors, documents.withColumn("_fold", fold.cast("int")))
+    return rows.select(
+        *[c for c in documents.columns if c != "fold"], F.col("_fold").alias("fold"),
+        F.coalesce(label_index(F.col("label"), classes), F.lit(-1.0)).cast("int").alias("y"),
+        F.col("_e.idx").cast("array<int>").alias("idx"), F.col("_e.value").alias("value"),
+    )
+
+
+def _run_svm(name, representation, documents, classes, params):
+    del name
+    carry = ["doc_id", "set", "label"]
+    rows = _numbered_rows(representation, documents.select(*carry), classes, _learnt(classes))
+    blocks = linear_svm.document_blocks(rows, representation.width, carry)
+    limit = params.get("max_iter", fv.SVM_ITERATIONS)
     start = time.perf_counter()
-    model = estimator(name, train.count(), **params).setLabelCol("y").fit(train)
+    problems = linear_svm.class_problems(len(classes), params.get("C", 1.0), params.get("loss", linear_svm.SQUARED_HINGE), 1)
+    weights = linear_svm.fit(blocks, problems, representation.width, (limit,))[0][limit]
     trained = time.perf_counter()
-    predictions = materialize(
-        model.transform(rows).select(
-            "doc_id", "set", "label", class_name(F.col("prediction"), classes).alias("prediction")
-        )
+    judged = linear_svm.predict(
+        blocks, linear_svm.class_weights(weights, len(classes)), [linear_svm.NOWHERE], classes, [documents.schema[c] for c in carry]
     )
+    predictions = materialize(judged)
     return predictions, trained - start, time.perf_counter() - trained
 
 
@@ -214,7 +247,6 @@ def cross_validate(
     folds: DataFrame,
     settings: list[dict] | None = None,
     classes: list[str] = fv.CLASS_ORDER,
-    parallelism: int = 4,
 ) -> DataFrame:
     """Mean weighted F1 over the folds of `folds(doc_id, label, fold)` for each setting."""
     spark = folds.sparkSession
@@ -235,30 +267,38 @@ def cross_validate(
         return means.select(
             F.lit(name).alias("model"), F.to_json(F.struct("alpha", "fit_prior")).alias("params"), "f1_cv"
         )
-    rows = sparse_features(representation.vectors, folds, representation.width)
-    rows = materialize(
-        rows.withColumn("y", label_index(F.col("label"), classes)).withColumn("fold", F.col("fold").cast("int"))
-    )
-    n_folds = rows.select("fold").distinct().count()
-    base = estimator(name, rows.count() * (n_folds - 1) // n_folds, **settings[0]).setLabelCol("y")
-    maps = [_param_map(name, base, rows.count() * (n_folds - 1) // n_folds, s) for s in settings]
-    validator = CrossValidator(
-        estimator=base,
-        estimatorParamMaps=maps,
-        evaluator=MulticlassClassificationEvaluator(labelCol="y", metricName="f1"),
-        numFolds=n_folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    means = validator.fit(rows).avgMetrics
-    table = [(name, str(s), float(f1)) for s, f1 in zip(settings, means)]
-    return spark.createDataFrame(table, "model string, params string, f1_cv double")
+    if name == SVM:
+        return _cross_validate_svm(representation, folds, settings, classes)
+    return _cross_validate_forest(representation, folds, settings, classes)
 
 
-def _param_map(name: str, base: Estimator, n_documents: int, setting: dict) -> dict:
-    """The setting as parameters of `base`, read off an estimator built for it."""
-    built = estimator(name, n_documents, **setting)
-    if name == SVM:
-        return {base.classifier: built.getClassifier()}
-    names = ("numTrees", "maxDepth", "minInstancesPerNode")
-    return {base.getParam(p): built.getOrDefault(p) for p in names}
+def _mean_f1(name: str, judged: DataFrame, classes: list[str]) -> DataFrame:
+    """`(model, params, f1_cv)` from `(params, fold, label, prediction)`."""
+    by_fold = evaluation.weighted_metrics(materialize(judged, "judged"), classes, ["params", "fold"])
+    means = by_fold.groupBy("params").agg(F.avg("f1_score").alias("f1_cv"))
+    return means.select(F.lit(name).alias("model"), "params", "f1_cv")
+
+
+def _fold_numbers(folds: DataFrame) -> list[int]:
+    return sorted(r["fold"] for r in folds.select(F.col("fold").cast("int").alias("fold")).distinct().collect())
+
+
+def _cross_validate_forest(representation: Representation, folds: DataFrame, settings: list[dict], classes: list[str]) -> DataFrame:
+    carry = ["doc_id", "label", "fold"]
+    known = folds.select(*carry).where(F.col("label").isin(*classes))
+    rows, blocks, numbered = _rows_and_blocks(representation, known, classes, F.col("fold"), carry)
+    settings = [{"n_estimators": fv.FOREST_TREES, **s} for s in settings]
+    carried = [numbered.schema[c] for c in carry]
+    judged = forests.cross_validated(rows, blocks, settings, classes, _fold_numbers(folds), carried)
+    return _mean_f1(FOREST, judged, classes)
+
+
+def _cross_validate_svm(representation: Representation, folds: DataFrame, settings: list[dict], classes: list[str]) -> DataFrame:
+    carry = ["doc_id", "label", "fold"]
+    settings = [{"C": 1.0, "loss": linear_svm.SQUARED_HINGE, "max_iter": fv.SVM_ITERATIONS, **s} for s in settings]
+    rows = _numbered_rows(representation, folds.select(*carry).where(F.col("label").isin(*classes)), classes, F.col("fold"))
+    blocks = linear_svm.document_blocks(rows, representation.width, carry)
+    judged = linear_svm.cross_validated(
+        blocks, settings, classes, _fold_numbers(folds), representation.width, [rows.schema[c] for c in carry], SEARCH_TOLERANCE
+    )
+    return _mean_f1(SVM, judged, classes)

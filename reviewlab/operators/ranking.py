@@ -210,14 +210,30 @@ def ordinals(keys: DataFrame, order: list[str], column: str = "ordinal") -> Data
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The `n` rows with the smallest `key` (unique, nulls first).
+    """The `n` rows with the smallest `key`, nulls first; of equal keys at the end any, but exactly `n` in all.
 
-    A few rows come from every task's own smallest ones; for many, range counts of the sorted keys find
-    the last key that stays.
+    A few rows come from every task's own smallest ones. For many, one count finds the rows with a null
+    key and the positions of the sorted keys the last key that stays; only rows that share it compete.
     """
     if n <= 0:
         return df.limit(0)
     if n <= FEW_ROWS:
         return df.orderBy(F.col(key).asc_nulls_first()).limit(n)
-    last = ordinals(df.select(key), [key]).where(F.col("ordinal") == n - 1).select(key).first()
-    return df if last is None else df.where(F.col(key) <= F.lit(last[key]))
+    known, unknown = df.where(F.col(key).isNotNull()), df.where(F.col(key).isNull())
+    left = n - unknown.count()
+    if left <= 0:
+        return _any_rows(unknown, n)
+    last = ordinals(known.select(key), [key]).where(F.col("ordinal") == left - 1).select(key).first()
+    if last is None:
+        return df
+    limit = F.lit(last[key])
+    places = left - known.where(F.col(key) < limit).count()
+    below = df.where(F.col(key).isNull() | (F.col(key) < limit))
+    return below.unionByName(_any_rows(df.where(F.col(key) == limit), places))
+
+
+def _any_rows(df: DataFrame, n: int) -> DataFrame:
+    """`n` of the rows, numbered by their content; equal rows are told apart by their position."""
+    columns = df.columns
+    placed = ordinals(df.withColumn("_content", F.xxhash64(*[f"`{c}`" for c in columns])), ["_content"], "_position")
+    return placed.where(F.col("_position") < n).select(*[f"`{c}`" for c in columns])

@@ -101,6 +101,13 @@ def normal_forms(spark: SparkSession, sf_dir: str, by_class: bool = False) -> Da
     return nouns.unionByName(adjectives)
 
 
+def lemma_tables(words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Words of an even number of letters as lemmas; words that start with "th" have an exception."""
+    lemmas = words.where("length(term) % 2 = 0").select(F.col("term").alias("lemma"), "pos_class")
+    cut = words.where("term LIKE 'th%' AND pos_class = 'v'")
+    return lemmas, cut.select("term", "pos_class", F.expr("left(term, 2)").alias("normal_form"))
+
+
 def pos_of(token: Column) -> Column:
     return (
         F.when(F.lower(token).isin(DETERMINERS), "DT")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from reviewlab.functions import fixed_values as fv
+from reviewlab.functions import stems
 from reviewlab.functions.cleaning import stopwords
+from reviewlab.operators import normalization
 from reviewlab.plans import fixtures as fx
 
 
@@ -591,6 +593,150 @@ ORACLE["model_ranking"] = f"""WITH {PREDICTIONS}, judged AS (
   results AS (SELECT model, representation, {_WEIGHTED} FROM m GROUP BY ALL)
   SELECT model, representation, {_W6}, row_number() OVER (ORDER BY round(f1_score, 9) DESC, model, representation) AS rank FROM results"""
 
+ORACLE["limit_documents_many"] = f"""WITH {RATINGS}, keyed AS (SELECT CASE WHEN row_id % 50 = 0 THEN NULL ELSE row_id * 7919 % 1000003 END AS key, row_id FROM ratings)
+  SELECT CAST(coalesce(key, -1) AS BIGINT) AS key, row_id FROM (SELECT * FROM keyed ORDER BY key NULLS FIRST LIMIT 1500)"""
+
+# --- stems, one step of the cascade after the other ------------------------------------------------------------
+
+_C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+_SOME, _ONE, _MORE = f"^({_C})?{_V}{_C}", f"^({_C})?{_V}{_C}({_V})?$", f"^({_C})?{_V}{_C}{_V}{_C}"
+
+
+def _cut(word: str, n: int) -> str:
+    return f"left({word}, length({word}) - {n})"
+
+
+def _fits(word: str, pattern: str) -> str:
+    return f"regexp_matches({word}, {text(pattern)})"
+
+
+def _rules(rules: list[tuple[str, str]], pattern: str | None) -> str:
+    def changed(suffix: str, ending: str) -> str:
+        new = f"{_cut('w', len(suffix))} || '{ending}'"
+        return new if pattern is None else f"CASE WHEN {_fits(_cut('w', len(suffix)), pattern)} THEN {new} ELSE w END"
+
+    return "CASE " + " ".join(f"WHEN ends_with(w, '{s}') THEN {changed(s, e)}" for s, e in rules) + " ELSE w END"
+
+
+def _short(word: str) -> str:
+    pattern = "(^[aeiou][^aeiou]$)|(([aeiou]y|[^aeiouy])[aeiouy][^aeiouwxy]$)"
+    return f"({_fits(word, pattern)} AND NOT {_fits(word, '[aeiou]y[^aeiouwxy]$')})"
+
+
+def _past(n: int) -> str:
+    s = _cut("w", n)
+    return f"""CASE WHEN NOT {_fits(s, f'^({_C})?[aeiouy]')} THEN w WHEN {_fits(s, '(at|bl|iz)$')} THEN {s} || 'e'
+      WHEN {_fits(s, '(bb|cc|dd|ff|gg|hh|jj|kk|mm|nn|pp|qq|rr|tt|vv|ww|xx)$')} THEN {_cut('w', n + 1)}
+      WHEN {_fits(s, _ONE)} AND {_short(s)} THEN {s} || 'e' ELSE {s} END"""
+
+
+_STEM_STEPS = [
+    f"CASE WHEN ends_with(w, 'ies') AND length(w) = 4 THEN {_cut('w', 1)} ELSE {_rules(stems.PLURALS, None)} END",
+    f"""CASE WHEN ends_with(w, 'ied') THEN CASE WHEN length(w) = 4 THEN {_cut('w', 1)} ELSE {_cut('w', 2)} END
+      WHEN ends_with(w, 'eed') THEN CASE WHEN {_fits(_cut('w', 3), _SOME)} THEN {_cut('w', 1)} ELSE w END
+      WHEN ends_with(w, 'ed') THEN {_past(2)} WHEN ends_with(w, 'ing') THEN {_past(3)} ELSE w END""",
+    f"CASE WHEN {_fits('w', '[^aeiou]y$')} AND NOT {_fits('w', '([aeiou]|^)yy$')} AND length(w) > 2 THEN {_cut('w', 1)} || 'i' ELSE w END",
+    f"CASE WHEN ends_with(w, 'alli') AND {_fits(_cut('w', 4), _SOME)} THEN {_cut('w', 2)} ELSE w END",
+    f"""CASE WHEN ends_with(w, 'logi') THEN CASE WHEN {_fits(_cut('w', 3), _SOME)} THEN {_cut('w', 1)} ELSE w END
+      ELSE {_rules(stems.DOUBLE_SUFFIXES, _SOME)} END""",
+    _rules(stems.SHORT_SUFFIXES, _SOME),
+    f"""CASE WHEN ends_with(w, 'ion') THEN CASE WHEN {_fits(_cut('w', 3), _MORE)} AND {_fits(_cut('w', 3), '[st]$')} THEN {_cut('w', 3)} ELSE w END
+      ELSE {_rules([(e, '') for e in stems.ENDINGS if e != 'ion'], _MORE)} END""",
+    f"""CASE WHEN ends_with(w, 'e') AND ({_fits(_cut('w', 1), _MORE)} OR ({_fits(_cut('w', 1), _ONE)} AND NOT {_short(_cut('w', 1))}))
+      THEN {_cut('w', 1)} ELSE w END""",
+    f"CASE WHEN ends_with(w, 'll') AND {_fits(_cut('w', 1), _MORE)} THEN {_cut('w', 1)} ELSE w END",
+]
+_IRREGULAR = "CASE term " + " ".join(f"WHEN '{w}' THEN '{f}'" for w, f in stems.IRREGULAR.items()) + " END"
+_STEMMED = f"""words AS (SELECT DISTINCT lower(unnest({tokens('text')})) AS term FROM documents),
+  s0 AS (SELECT term, regexp_replace(term, '^y', 'Y') AS w FROM words),
+  {", ".join(f"s{i} AS (SELECT term, {step} AS w FROM s{i - 1})" for i, step in enumerate(_STEM_STEPS, 1))},
+  stemmed AS (SELECT term, coalesce({_IRREGULAR}, CASE WHEN length(term) <= 2 THEN term ELSE regexp_replace(w, '^Y', 'y') END) AS normal_form
+    FROM s{len(_STEM_STEPS)})"""
+ORACLE["stem_vocabulary"] = f"WITH {_STEMMED} SELECT term, normal_form FROM stemmed WHERE term <> normal_form"
+ORACLE["stem_texts"] = f"""WITH {_STEMMED}, placed AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos
+    FROM (SELECT doc_id, {tokens('lower(text)')} AS t FROM documents)),
+  rejoined AS (SELECT doc_id, string_agg(normal_form, ' ' ORDER BY pos) AS text FROM placed JOIN stemmed ON token = term GROUP BY doc_id)
+  SELECT doc_id, coalesce(rejoined.text, '') AS text FROM documents LEFT JOIN rejoined USING (doc_id)"""
+
+# --- lemmas: rules applied again and again until a form is in the lexicon -----------------------------------------
+
+_RULE_ROWS = ", ".join(
+    f"('{pos}', {n}, '{cut}', '{put}')" for pos in "nv" for n, (cut, put) in enumerate(normalization.LEMMA_RULES[pos])
+)
+ORACLE["lemma_vocabulary"] = f"""WITH RECURSIVE words AS (SELECT term, pos_class FROM (SELECT DISTINCT lower(unnest({tokens('text')})) AS term FROM documents),
+    (VALUES ('n'), ('v')) p(pos_class)),
+  rule(pos_class, n, cut, put) AS (VALUES {_RULE_ROWS}),
+  special AS (SELECT term, pos_class, left(term, 2) AS form FROM words WHERE term LIKE 'th%' AND pos_class = 'v'),
+  gen(term, pos_class, depth, path, form) AS (
+    SELECT w.term, pos_class, 1, [n], left(w.term, length(w.term) - length(cut)) || put FROM words w JOIN rule USING (pos_class)
+      WHERE ends_with(w.term, cut) AND NOT EXISTS (SELECT 1 FROM special s WHERE s.term = w.term AND s.pos_class = w.pos_class)
+    UNION ALL
+    SELECT term, pos_class, depth + 1, list_append(path, n), left(form, length(form) - length(cut)) || put FROM gen JOIN rule USING (pos_class)
+      WHERE ends_with(form, cut)),
+  tried AS (SELECT term, pos_class, 1 AS depth, [-1] AS path, term AS form FROM words
+    UNION ALL SELECT term, pos_class, 1, [0], form FROM special UNION ALL SELECT * FROM gen),
+  known AS (SELECT * FROM tried WHERE length(form) % 2 = 0 AND (form, pos_class) IN (SELECT (term, pos_class) FROM words)),
+  best AS (SELECT *, row_number() OVER (PARTITION BY term, pos_class ORDER BY depth, length(form), path) AS place FROM known)
+  SELECT term, pos_class, form AS normal_form FROM best WHERE place = 1"""
+
+# --- valence by word order: the words behind each word as columns, one effect after the other ----------------------
+
+_MARK = r"(?:[.!?,;:\-'\"]|!!!?|\?\?\??|\?!\?!?|!\?!\??)"
+_BARE = r"([^!-/:-@\[-`{-~\s]{2,})"
+_WORDS = f"list_filter(regexp_split_to_array(t, {text(fv.WHITESPACE_CLASS + '+')}), lambda x: length(x) > 1)"
+
+
+def _among(expr: str, words: list[str]) -> str:
+    return f"coalesce({expr} IN ({', '.join(text(w) for w in words)}), false)"
+
+
+def _effect(back: int) -> str:
+    """Column v after the word `back` places before has had its effect."""
+    low, strong, weak = f"l{back}", _among(f"l{back}", fv.BOOSTERS), _among(f"l{back}", fv.DAMPENERS)
+    step = f"(CASE WHEN {strong} THEN 0.293::DOUBLE WHEN {weak} THEN -0.293::DOUBLE ELSE 0.0::DOUBLE END * CASE WHEN v < 0 THEN -1 ELSE 1 END)"
+    shout = f"(CASE WHEN ({strong} OR {weak}) AND c{back} AND mixed THEN CASE WHEN v > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END ELSE 0.0::DOUBLE END)"
+    so = {b: _among(f"w{b}", ["so", "this"]) for b in (1, 2)}
+    emphatic = {1: "false", 2: f"w2 = 'never' AND {so[1]}", 3: f"(w3 = 'never' AND {so[2]}) OR {so[1]}"}[back]
+    negated = f"({_among(low, fv.VALENCE_NEGATIONS)} OR contains({low}, 'n''t'))"
+    factor = f"CASE WHEN coalesce({emphatic}, false) THEN {fv.NEVER_FACTORS[back - 1]}::DOUBLE WHEN {negated} THEN -0.74::DOUBLE ELSE 1.0::DOUBLE END"
+    out = f"(v + ({step} + {shout}) * {fv.BOOSTER_DECAY[back - 1]}::DOUBLE) * {factor}"
+    if back == 3:
+        idiom = "CASE {} " + " ".join(f"WHEN {text(p)} THEN {x}::DOUBLE" for p, x in fv.VALENCE_IDIOMS.items()) + " END"
+        spans = ["w || ' ' || n1 || ' ' || n2", "w || ' ' || n1", "w1 || ' ' || w", "w2 || ' ' || w1 || ' ' || w", "w2 || ' ' || w1",
+                 "w3 || ' ' || w2 || ' ' || w1", "w3 || ' ' || w2"]
+        held = ", ".join(idiom.format(s) for s in spans)
+        pair = f"{_among(spans[6], fv.DAMPENER_PAIRS)} OR {_among(spans[4], fv.DAMPENER_PAIRS)}"
+        out = f"coalesce({held}, {out}) - CASE WHEN {pair} THEN 0.293::DOUBLE ELSE 0.0::DOUBLE END"
+    return f"CASE WHEN v IS NOT NULL AND i > {back} AND x{back} IS NULL THEN {out} ELSE v END"
+
+
+_BEHIND = ", ".join(f"lag(w, {b}) OVER d AS w{b}, lag(low, {b}) OVER d AS l{b}, lag(caps, {b}) OVER d AS c{b}, lag(value, {b}) OVER d AS x{b}" for b in (1, 2, 3))
+ORACLE["rule_valence_scores"] = f"""WITH {LEXICON}, body AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+  split AS (SELECT doc_id, unnest(ws) AS piece, generate_subscripts(ws, 1) AS i FROM (SELECT doc_id, {_WORDS} AS ws FROM body)),
+  bare AS (SELECT doc_id, i, regexp_replace(regexp_replace(piece, {text('^' + _MARK + _BARE + '$')}, '\\1'), {text('^' + _BARE + _MARK + '$')}, '\\1') AS w FROM split),
+  lowered AS (SELECT *, lower(w) AS low, (w = upper(w) AND w <> lower(w)) AS caps FROM bare),
+  valued AS (SELECT lowered.*, valence AS value FROM lowered LEFT JOIN lexicon ON low = term),
+  placed AS (SELECT *, {_BEHIND}, lead(w, 1) OVER d AS n1, lead(w, 2) OVER d AS n2, lead(low, 1) OVER d AS nl1,
+      count(*) FILTER (WHERE caps) OVER a BETWEEN 1 AND count(*) OVER a - 1 AS mixed, min(CASE WHEN low = 'but' THEN i END) OVER a AS but
+    FROM valued WINDOW d AS (PARTITION BY doc_id ORDER BY i), a AS (PARTITION BY doc_id)),
+  e0 AS (SELECT *, value + CASE WHEN caps AND mixed THEN CASE WHEN value > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END ELSE 0.0::DOUBLE END AS v FROM placed),
+  e1 AS (SELECT * REPLACE ({_effect(1)} AS v) FROM e0), e2 AS (SELECT * REPLACE ({_effect(2)} AS v) FROM e1), e3 AS (SELECT * REPLACE ({_effect(3)} AS v) FROM e2),
+  e4 AS (SELECT doc_id, i, but, CASE WHEN v IS NULL OR {_among('low', fv.BOOSTERS + fv.DAMPENERS)} OR (low = 'kind' AND coalesce(nl1 = 'of', false)) THEN 0.0::DOUBLE
+      WHEN i > 1 AND l1 = 'least' AND x1 IS NULL AND NOT (i > 2 AND {_among('l2', ['at', 'very'])}) THEN v * -0.74::DOUBLE ELSE v END AS v FROM e3),
+  e5 AS (SELECT doc_id, i, CASE WHEN i < but THEN v * 0.5::DOUBLE WHEN i > but THEN v * 1.5::DOUBLE ELSE v END AS v FROM e4),
+  sums AS (SELECT doc_id, sum(v ORDER BY i) AS total, coalesce(sum(v + 1 ORDER BY i) FILTER (WHERE v > 0), 0.0::DOUBLE) AS up,
+      coalesce(sum(1 - v ORDER BY i) FILTER (WHERE v < 0), 0.0::DOUBLE) AS down, count(*) FILTER (WHERE v = 0) AS flat FROM e5 GROUP BY doc_id),
+  loud AS (SELECT doc_id, least(length(t) - length(replace(t, '!', '')), 4) * 0.292::DOUBLE
+      + CASE WHEN q > 3 THEN 0.96::DOUBLE WHEN q > 1 THEN q * 0.18::DOUBLE ELSE 0.0::DOUBLE END AS loud
+    FROM (SELECT *, length(t) - length(replace(t, '?', '')) AS q FROM body)),
+  shares AS (SELECT doc_id, coalesce(total + sign(total) * loud, 0.0::DOUBLE) AS total, coalesce(up + CASE WHEN up > down THEN loud ELSE 0.0::DOUBLE END, 0.0::DOUBLE) AS up,
+      coalesce(down + CASE WHEN up < down THEN loud ELSE 0.0::DOUBLE END, 0.0::DOUBLE) AS down, coalesce(flat, 0) AS flat FROM loud LEFT JOIN sums USING (doc_id))
+  SELECT doc_id, round(total / sqrt(total * total + 15.0::DOUBLE), 4) AS vader_compound,
+    CASE WHEN up + down + flat = 0 THEN 0.0::DOUBLE ELSE round(up / (up + down + flat), 3) END AS vader_positive,
+    CASE WHEN up + down + flat = 0 THEN 0.0::DOUBLE ELSE round(down / (up + down + flat), 3) END AS vader_negative,
+    CASE WHEN up + down + flat = 0 THEN 0.0::DOUBLE ELSE round(flat / (up + down + flat), 3) END AS vader_neutral FROM shares"""
+
+
 # --- checkable facts about models -----------------------------------------------------------------------------
 
 _FACTS = f"""WITH {_QUALITY} SELECT "set", label, count(*) AS n, count(DISTINCT doc_id) AS n_ids, true AS known_classes,

@@ -319,6 +319,14 @@ def limit_documents(spark, sf):
     return first_rows(kept, "row_id", 100).select("row_id", "rating")
 
 
+@query
+def limit_documents_many(spark, sf):
+    """More rows than a top-n takes, some without a key: those come first, and the number is exact."""
+    ratings = fx.ratings(spark, sf).withColumn("key", F.expr("CASE WHEN row_id % 50 = 0 THEN NULL ELSE row_id * 7919 % 1000003 END"))
+    first = first_rows(ratings.select("key", "row_id"), "key", 1500)
+    return first.select(F.coalesce("key", F.lit(-1)).cast("bigint").alias("key"), "row_id")
+
+
 @query
 def metadata_map(spark, sf):
     return docs.metadata_json(fx.reviews(spark, sf)).select("row_id", "metadata")
@@ -439,6 +447,24 @@ def normalize_terms(spark, sf):
     return normalization.normalize_terms(texts, fx.normal_forms(spark, sf))
 
 
+@query
+def stem_vocabulary(spark, sf):
+    return normalization.stem_terms(fx.texts(spark, sf))
+
+
+@query
+def stem_texts(spark, sf):
+    return normalization.stem_texts(fx.texts(spark, sf).select("doc_id", "text"))
+
+
+@query
+def lemma_vocabulary(spark, sf):
+    """Lemmas of all words as nouns and as verbs; the lexicon and the exceptions are made of their own letters."""
+    words = normalization.vocabulary(fx.texts(spark, sf))
+    both = words.withColumn("pos_class", F.explode(F.array(F.lit("n"), F.lit("v"))))
+    return normalization.lemma_terms(both, *fx.lemma_tables(both))
+
+
 @query
 def normalize_terms_pos(spark, sf):
     texts = fx.texts(spark, sf).select("doc_id", "text")
@@ -609,6 +635,11 @@ def domain_word_freq(spark, sf):
     return feats.domain_word_frequency(fx.texts(spark, sf), fx.DOMAIN)
 
 
+@query
+def rule_valence_scores(spark, sf):
+    return rounded(feats.rule_valence_scores(fx.texts(spark, sf), fx.lexicon(spark)))
+
+
 @query
 def structural_features(spark, sf):
     return rounded(feats.structural_features(fx.corpus(spark, sf, spread=True)))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from reviewlab.functions import fixed_values as fv
 from reviewlab.operators.lookup import lookup_join
+from reviewlab.sources.quoted_csv import read_quoted_csv
 
 REVIEW_FIELDS = T.StructType(
     [
@@ -73,14 +74,8 @@ def read_reviews(
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with line breaks inside quotes. One file is one task: convert large files to Parquet once."""
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    """Quoted CSV with line breaks inside fields; many tasks share one large file (`quoted_csv`)."""
+    raw = read_quoted_csv(spark, path)
     reviews = standardize_columns(raw)
     if "rating" in reviews.columns:
         reviews = reviews.withColumn("rating", F.expr("try_cast(rating AS double)"))

@@ -240,3 +240,13 @@ def test_wide_tables_are_not_broadcast(spark):
     wide = spark.range(100).select("id", F.expr("repeat('x', 1000)").alias("text"))
     assert lookup.is_small(wide) and not lookup.is_small(wide, byte_limit=50_000)
     assert not lookup.is_small(wide, limit=99)
+
+
+@pytest.mark.parametrize("n", [999, 1000, 1001, 1500, 2500, 2999, 3000, 4000])
+@pytest.mark.parametrize("nulls", [0, 100, 1500])
+def test_first_rows_keeps_nulls_and_exactly_n(spark, n, nulls):
+    """Null keys first, equal keys at the cut, repeated rows: always the smallest keys and exactly n rows."""
+    keys = [None] * nulls + [i // 7 for i in range(3000 - nulls)]
+    rows = spark.createDataFrame([(k, i % 3) for i, k in enumerate(keys)], "k long, v int").repartition(4)
+    found = sorted(-1 if r.k is None else r.k for r in ranking.first_rows(rows, "k", n).collect())
+    assert found == sorted(-1 if k is None else k for k in keys)[:n]

@@ -167,9 +167,7 @@ def test_grids():
     assert [len(models.combinations(grids[m])) for m in (models.NAIVE_BAYES, models.SVM, models.FOREST)] == [10, 16, 81]
     assert len(models.search_settings(models.FOREST)) == 20
     assert models.search_settings(models.FOREST) == models.search_settings(models.FOREST)
-    assert len(models.search_settings(models.SVM)) == 8  # the loss cannot vary
-    with pytest.raises(ValueError, match="Unknown model"):
-        models.estimator("Oracle", 1)
+    assert len(models.search_settings(models.SVM)) == 16
     assert models.forest(max_depth=None, min_samples_split=10).getMinInstancesPerNode() == 5
 
 
@@ -187,6 +185,12 @@ def test_separable_classes_are_learned(spark, model, params):
     assert set(run.record()) == {c.split()[0] for c in experiment.RESULT_SCHEMA.split(", ")}
 
 
+def test_unknown_models_are_refused(spark):
+    empty = spark.createDataFrame([], "doc_id long, label string, set string")
+    with pytest.raises(ValueError, match="Unknown model"):
+        models.evaluate("Oracle", models.Representation("r", empty, 1), empty)
+
+
 def judged(spark, pairs):
     return spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "doc_id int, label string, prediction string")
 
