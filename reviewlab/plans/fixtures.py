@@ -101,6 +101,11 @@ def normal_forms(spark: SparkSession, sf_dir: str, by_class: bool = False) -> Da
     return nouns.unionByName(adjectives)
 
 
+def abbreviated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts with the word "the" as "Th." throughout: an abbreviation that nothing but its use tells."""
+    return texts(spark, sf_dir).select("doc_id", F.regexp_replace("text", r"\b[Tt]he ", "Th. ").alias("text"))
+
+
 def lemma_tables(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Words of an even number of letters as lemmas; words that start with "th" have an exception."""
     lemmas = words.where("length(term) % 2 = 0").select(F.col("term").alias("lemma"), "pos_class")

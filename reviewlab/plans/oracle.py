@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from reviewlab.functions import fixed_values as fv
 from reviewlab.functions import stems
 from reviewlab.functions.cleaning import stopwords
@@ -737,21 +739,60 @@ ORACLE["rule_valence_scores"] = f"""WITH {LEXICON}, body AS (SELECT doc_id, coal
     CASE WHEN up + down + flat = 0 THEN 0.0::DOUBLE ELSE round(flat / (up + down + flat), 3) END AS vader_neutral FROM shares"""
 
 
+# --- sentence ends and tags learnt from the texts -----------------------------------------------------------------
+
+_SP = text(fv.WHITESPACE_CLASS + "+")
+_TYPE = "regexp_replace(lower(regexp_replace({w}, '\\.$', '')), '^[-+]?[0-9][0-9.,]*$', '##number##')"
+
+
+def _ll(k: str, n: str, p: str) -> str:
+    q = f"least(greatest({p}, 1e-12::DOUBLE), 1 - 1e-12::DOUBLE)"
+    return f"({k} * ln({q}) + ({n} - {k}) * ln(1 - {q}))"
+
+
+_ABBREVIATED = f"""docs AS (SELECT doc_id, regexp_replace(text, '\\b[Tt]he ', 'Th. ', 'g') AS text FROM documents),
+  words AS (SELECT unnest(regexp_split_to_array(text, {_SP})) AS w FROM docs),
+  types AS (SELECT {_TYPE.format(w="w")} AS type, count(*) FILTER (WHERE ends_with(w, '.')) AS closed, count(*) AS n FROM words WHERE w <> '' GROUP BY 1),
+  totals AS (SELECT sum(closed) / CAST(sum(n) AS DOUBLE) AS p FROM types),
+  scored AS (SELECT type, 2 * ({_ll('closed', 'n', '0.99::DOUBLE')} - {_ll('closed', 'n', 'p')})
+      * exp(-(length(replace(type, '.', '')) + 1.0::DOUBLE)) * (length(type) - length(replace(type, '.', '')) + 1)
+      * pow(length(replace(type, '.', '')) + 1.0::DOUBLE, CAST(closed - n AS DOUBLE)) AS score
+    FROM types, totals WHERE closed > 0 AND regexp_matches(type, '\\p{{L}}') AND type <> '##number##'),
+  abbreviations AS (SELECT type, score FROM scored WHERE score >= 0.3)"""
+ORACLE["abbreviations"] = f"WITH {_ABBREVIATED} SELECT type, round(score, 6) AS score FROM abbreviations"
+ORACLE["learned_sentences"] = f"""WITH {_ABBREVIATED},
+  pieces AS (SELECT doc_id, unnest(s) AS piece, generate_subscripts(s, 1) AS i, len(s) AS n FROM (SELECT doc_id,
+    string_split(regexp_replace(coalesce(text, ''), '([.!?])' || {_SP}, '\\1' || chr(2), 'g'), chr(2)) AS s FROM docs)),
+  lasts AS (SELECT *, regexp_split_to_array(piece, {_SP})[-1] AS w FROM pieces),
+  cuts AS (SELECT doc_id, piece, i, n, ends_with(w, '.') AND ({_TYPE.format(w="w")} IN (SELECT type FROM abbreviations)
+      OR regexp_matches(w, '^\\p{{L}}\\.$') OR {_TYPE.format(w="w")} = '##number##') AS doubtful FROM lasts),
+  runs AS (SELECT *, sum(CASE WHEN i = 1 OR NOT before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+    FROM (SELECT *, lag(doubtful) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM cuts))
+  SELECT doc_id, count(*) FILTER (WHERE size > 0) AS n_sentences FROM (SELECT doc_id, run, sum(length(piece)) + count(*) - 1 AS size FROM runs GROUP BY ALL)
+  GROUP BY doc_id"""
+ORACLE["tag_transitions"] = f"""WITH {annotations('documents')}, pairs AS (SELECT coalesce(lag(pos) OVER (PARTITION BY doc_id, sentence_idx ORDER BY token_idx), '') AS previous, pos
+    FROM annotations) SELECT previous, pos, count(*) AS n FROM pairs GROUP BY ALL"""
+ORACLE["viterbi_tags"] = f"""SELECT doc_id, CAST(coalesce(list_sum([len({tokens('x')}) FOR x IN {sentences('text')}]), 0) AS BIGINT) AS n_tokens,
+  true AS known_tags FROM documents"""
+
 # --- checkable facts about models -----------------------------------------------------------------------------
 
-_FACTS = f"""WITH {_QUALITY} SELECT "set", label, count(*) AS n, count(DISTINCT doc_id) AS n_ids, true AS known_classes,
-  true AS beats_majority FROM quality GROUP BY ALL"""
-ORACLE["svm_fit_predict"] = ORACLE["rf_fit_predict"] = _FACTS
+_FACTS = """"set", count(*) AS n, count(DISTINCT doc_id) AS n_ids, true AS known_classes, true AS recomputed_f1, true AS beats_majority"""
+ORACLE["svm_fit_predict"] = ORACLE["rf_fit_predict"] = f'WITH {_QUALITY} SELECT {_FACTS} FROM quality GROUP BY "set"'
 ORACLE["model_roundtrip"] = f"""WITH {_QUALITY} SELECT "set", count(*) AS n, true AS same_predictions FROM quality GROUP BY "set" """
-ORACLE["train_and_evaluate"] = """SELECT unnest(['Naive Bayes', 'Random Forest', 'SVM']) AS model, 'counts' AS representation,
-  true AS recomputed_f1, true AS timed, true AS ranked"""
-ORACLE["cross_validate"] = """SELECT unnest(['Naive Bayes', 'Random Forest', 'SVM']) AS model, unnest([10, 2, 2])::BIGINT AS settings,
-  true AS valid_scores"""
+_MODELS = "(VALUES ('Naive Bayes'), ('SVM'), ('Random Forest')) m(model)"
+ORACLE["train_and_evaluate"] = f"""WITH {_QUALITY} SELECT model, {_FACTS}, true AS timed, true AS ranked FROM quality, {_MODELS}
+  GROUP BY model, "set" """
+_GRIDS = {"Naive Bayes": fv.NAIVE_BAYES_GRID, "SVM": fv.SVM_GRID}
+_SETTINGS = {m: math.prod(map(len, grid.values())) for m, grid in _GRIDS.items()} | {"Random Forest": fv.RANDOM_SEARCH_DRAWS}
+ORACLE["cross_validate"] = "SELECT model, settings::BIGINT AS settings, true AS valid_scores FROM (VALUES " + ", ".join(
+    f"({text(m)}, {n})" for m, n in _SETTINGS.items()
+) + ") s(model, settings)"
 ORACLE["tune_top5"] = """SELECT unnest(range(1, 6)) AS rank, true AS in_grid, true AS three_sets, true AS recomputed_f1"""
 _NAMES = [f"tfidf_{n}gram" for n in (1, 2, 3)] + ["linguistic"] + [f"combined_{n}gram" for n in (1, 2, 3)]
 _NAME_ROWS = ", ".join(f"({text(n)})" for n in _NAMES)
-ORACLE["model_matrix"] = f"""SELECT model, representation, true AS recomputed_f1, true AS timed
-  FROM (VALUES {_NAME_ROWS}) r(representation), (VALUES ('Naive Bayes'), ('SVM'), ('Random Forest')) m(model)"""
+ORACLE["model_matrix"] = f"""{_TWO_STEP} SELECT model, representation, "set", count(DISTINCT doc_id) AS n, true AS recomputed_f1, true AS timed
+  FROM split, (VALUES {_NAME_ROWS}) r(representation), {_MODELS} GROUP BY ALL"""
 ORACLE["representations"] = f"""{_TWO_STEP} SELECT representation, "set", count(*) AS n_documents, true AS complete
   FROM split, (VALUES {_NAME_ROWS}) r(representation) GROUP BY ALL"""
 ORACLE["custom_step"] = f"SELECT doc_id, {collapsed('text')} || ' [' || length({collapsed('text')}) || ']' AS text FROM documents"
