@@ -16,6 +16,8 @@ ROW_OVERHEAD = 8
 LARGE_PER_SHARD, BUNDLES_PER_SHARD = 256, 1024
 #: Rows that one task numbers within a shard, about; and the least number of such parts.
 ROWS_PER_PART, LEAST_PARTS = 20_000, 16
+#: Copies of one row that are unfolded together.
+COPIES_AT_ONCE = 1 << 16
 
 
 def longest_first(sizes: dict, shards: int) -> dict:
@@ -67,24 +69,33 @@ def shard_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     of_small = spark.createDataFrame(
         [(n, s) for (kind, n, _), s in placed.items() if kind == "small"], "_bundle long, _small int"
     )
+    # repeated rows are one row with a number until the slots are known, so that they are no hot key
+    distinct = rows.groupBy(key, "size", "text_crc32", "a", "b").agg(F.count("*").alias("_copies"))
     assigned = (
-        rows.join(F.broadcast(of_large), ["a", "b"], "left")
+        distinct.join(F.broadcast(of_large), ["a", "b"], "left")
         .withColumn("_bundle", bundle)
         .join(F.broadcast(of_small), "_bundle", "left")
-        .select(key, "size", "text_crc32", F.coalesce("_large", "_small").alias("shard"), F.xxhash64(key, "a").alias("_h"))
+        .select(key, "size", "text_crc32", "_copies", F.coalesce("_large", "_small").alias("shard"), F.xxhash64(key, "a").alias("_h"))
     )
-    return _with_slots(assigned, key, shards)
+    return _with_slots(materialize(assigned, "assigned"), key, shards)
 
 
 def _with_slots(assigned: DataFrame, key: str, shards: int) -> DataFrame:
     parts = max(LEAST_PARTS, -(-assigned.count() // (shards * ROWS_PER_PART)))
     assigned = assigned.withColumn("_part", F.pmod("_h", F.lit(parts)))
-    counts = assigned.groupBy("shard", "_part").agg(F.count("*").alias("_n"))
+    counts = assigned.groupBy("shard", "_part").agg(F.sum("_copies").alias("_n"))
     earlier = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("shard", "_part").orderBy("_h", key, "text_crc32")
-    return (
-        assigned.withColumn("_within", F.row_number().over(within) - 1)
+    within = Window.partitionBy("shard", "_part").orderBy("_h", key, "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        assigned.withColumn("_within", F.coalesce(F.sum("_copies").over(within), F.lit(0)))
         .join(offsets, ["shard", "_part"])
-        .select(key, "size", "text_crc32", "shard", (F.col("_before") + F.col("_within")).cast("long").alias("slot"))
+        .withColumn("_first", F.col("_before") + F.col("_within"))
+    )
+    # copies are unfolded in runs of bounded length
+    run = F.lit(COPIES_AT_ONCE)
+    runs = placed.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / run))))
+    copy = F.explode(F.sequence(F.col("_run") * run, F.least(F.col("_copies"), (F.col("_run") + 1) * run) - 1))
+    return runs.withColumn("_copy", copy).select(
+        key, "size", "text_crc32", "shard", (F.col("_first") + F.col("_copy")).cast("long").alias("slot")
     )

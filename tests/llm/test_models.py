@@ -196,3 +196,14 @@ def test_sharding_of_odd_rows(spark):
         by.setdefault(r.text_crc32, set()).add(r.shard)
     assert all(len(s) == 1 for s in by.values())
     assert sharding.shard_documents(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_sharding_of_many_equal_rows(spark):
+    """Two thirds of the rows are one row: it fills a shard, and slots stay gapless."""
+    n = 200_000
+    docs = spark.range(n).selectExpr("CASE WHEN id % 3 < 2 THEN 7 ELSE id END AS doc_id", "CASE WHEN id % 3 < 2 THEN 'one' ELSE concat('t', id) END AS text")
+    rows = sharding.shard_documents(docs, shards=4).groupBy("shard").agg(
+        F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last"), F.count_if(F.col("doc_id") == 7).alias("same")
+    ).collect()
+    assert sum(r.n for r in rows) == n and all(r.n == r.slots == r.last + 1 for r in rows)
+    assert [r.same for r in rows if r.same] == [n - n // 3]
