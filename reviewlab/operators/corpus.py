@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab.functions import fixed_values as fv
 from reviewlab.functions.cleaning import strip
 from reviewlab.operators.lookup import lookup_join
-from reviewlab.operators.ranking import ordinals
+from reviewlab.operators.ranking import counts_before, numbered_within
 
 Bands = list[tuple[str, float, float]]
 _CORE = ["text", "rating", "game_id", "user", "username"]
@@ -34,8 +34,7 @@ def with_row_key(reviews: DataFrame, name: str = "row_key") -> DataFrame:
     """
     shown = [F.concat(F.lit("="), F.col(f"`{c}`").cast("string")) for c in sorted(reviews.columns)]
     content = F.md5(F.concat_ws("|", *[F.coalesce(c, F.lit("-")) for c in shown]))
-    repeated = Window.partitionBy("_content").orderBy("_content")
-    numbered = reviews.withColumn("_content", content).withColumn("_n", F.row_number().over(repeated) - 1)
+    numbered = numbered_within(reviews.withColumn("_content", content), "_content", "_n")
     return numbered.withColumn(name, F.concat_ws("-", "_content", F.col("_n").cast("string"))).drop("_content", "_n")
 
 
@@ -48,15 +47,12 @@ def with_doc_ids(
     share one, or have none (first in the order), keep positions of their own in arbitrary order. Missing
     columns or values of game and user are named as unknown and anonymous.
     """
-    copies = reviews.groupBy(F.col(order_key).alias("_key")).agg(F.count("*").alias("_rows"))
-    keys = copies.select("_key", F.explode(F.expr("sequence(1L, _rows)")).alias("_copy"))
-    positions = ordinals(keys, ["_key", "_copy"])
+    rows = numbered_within(reviews, order_key, "_of_key")
+    keys = reviews.groupBy(F.col(order_key).alias("_key")).agg(F.count("*").alias("_rows"))
+    before = counts_before(keys, "_key", "_rows", "_before")
+    numbered = rows.join(before, F.col(order_key).eqNullSafe(F.col("_key"))).withColumn("ordinal", F.col("_before") + F.col("_of_key"))
     if max_documents is not None:
-        positions = positions.where(F.col("ordinal") < max_documents)
-    same_key = Window.partitionBy(order_key).orderBy(order_key)
-    numbered = reviews.withColumn("_of_key", F.row_number().over(same_key)).join(
-        positions, F.col(order_key).eqNullSafe(F.col("_key")) & (F.col("_of_key") == F.col("_copy"))
-    )
+        numbered = numbered.where(F.col("ordinal") < max_documents)
 
     def named(columns: tuple[str, ...], default: str) -> Column:
         present = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in columns if c in reviews.columns]
@@ -68,7 +64,7 @@ def with_doc_ids(
             "_", named(("game_id",), fv.UNKNOWN_GAME), named(("user", "username"), fv.ANONYMOUS_USER),
             F.col("ordinal").cast("string"),
         ),
-    ).drop("ordinal", "_key", "_copy", "_of_key")
+    ).drop("ordinal", "_key", "_rows", "_before", "_of_key")
 
 
 def metadata_json(reviews: DataFrame, column: str = "metadata") -> DataFrame:

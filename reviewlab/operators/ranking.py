@@ -209,6 +209,36 @@ def ordinals(keys: DataFrame, order: list[str], column: str = "ordinal") -> Data
     )
 
 
+def numbered_within(df: DataFrame, key: str, column: str) -> DataFrame:
+    """`df` with the 0-based number of each row among the rows of its `key` (null is a key too), in no given order.
+
+    The rows are written once and counted per key and written part, so that a key may hold any share of
+    them: no task numbers more rows of a key than one part has.
+    """
+    placed = materialize(df.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumn("_part", F.shiftright("_place", _ROW_BITS))
+    counts = placed.groupBy(F.col(key).alias("_key"), "_part").agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_key", F.col("_part").alias("_of"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(key, "_part").orderBy("_place")
+    rows = placed.withColumn("_within", F.row_number().over(within) - 1)
+    joined = rows.join(offsets, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_of")))
+    return joined.withColumn(column, F.col("_before") + F.col("_within")).select(*[f"`{c}`" for c in df.columns], column)
+
+
+def counts_before(counts: DataFrame, key: str, number: str, column: str) -> DataFrame:
+    """`counts(key, number)`, one row per key, with the sum of `number` over all smaller keys (null is the smallest)."""
+    placed = materialize(counts.orderBy(F.col(key).asc_nulls_first()).withColumn("_place", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_place", _ROW_BITS))
+    parts = placed.groupBy("_part").agg(F.sum(number).alias("_rows"))
+    # one row per range of the sorted keys
+    earlier = Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    rows = placed.withColumn("_within", F.coalesce(F.sum(number).over(within), F.lit(0))).join(F.broadcast(offsets), "_part")
+    return rows.withColumn(column, F.col("_offset") + F.col("_within")).select(*counts.columns, column)
+
+
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     """The `n` rows with the smallest `key`, nulls first; of equal keys at the end any, but exactly `n` in all.
 

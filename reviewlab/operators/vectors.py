@@ -129,17 +129,20 @@ def fit_counts(documents: DataFrame, **options) -> DataFrame:
 
 
 def _known_terms(
-    documents: DataFrame, terms: DataFrame, ngram_sizes: tuple[int, int], max_features: int | None
+    documents: DataFrame, terms: DataFrame, ngram_sizes: tuple[int, int], max_features: int | None, together: bool = False
 ) -> DataFrame:
     """`(doc_id, <columns of terms>, count)` for the n-grams that are in the vocabulary.
 
     `max_features` bounds the vocabulary; without it the size is counted. A small vocabulary filters
-    the n-grams before they are counted; a large one is joined after counting, salted by document.
+    the n-grams before they are counted; a large one is joined after counting, salted by document. With
+    `together` the n-grams of a document meet before they are counted, so that what follows by document
+    needs no exchange of its own.
     """
     columns, keys = [c for c in terms.columns if c != "term"], row_keys(documents)
     if max_features <= BROADCAST_ROW_LIMIT if max_features is not None else is_small(terms):
         hits = _exploded(documents, ngram_sizes).join(F.broadcast(terms), "term")
-        return hits.groupBy(*keys, *columns).agg(F.count("*").alias("count"))
+        gathered = hits.repartition(*keys) if together else hits
+        return gathered.groupBy(*keys, *columns).agg(F.count("*").alias("count"))
     counts = term_counts(documents, ngram_sizes).withColumnRenamed("tf", "count")
     return lookup_join(
         counts, terms, ["term"], spread=F.col("doc_id"), how="inner", known_rows=BROADCAST_ROW_LIMIT + 1
@@ -163,7 +166,7 @@ def tfidf_vectors(
     max_features: int | None = None,
 ) -> DataFrame:
     """(1 + ln tf) * idf, scaled to length 1 per document; terms outside the vocabulary drop out."""
-    known = _known_terms(documents, terms.select("term", "idx", "idf"), ngram_sizes, max_features)
+    known = _known_terms(documents, terms.select("term", "idx", "idf"), ngram_sizes, max_features, together=True)
     keys = row_keys(documents)
     weighted = known.select(
         *keys, "idx", ((1.0 + F.log("count")) * F.col("idf")).alias("weight")

@@ -14,16 +14,18 @@ from reviewlab.functions import fixed_values as fv
 from reviewlab.functions import text as words_of
 from reviewlab.operators import annotations as notes
 from reviewlab.operators import corpus as docs
-from reviewlab.operators import evaluation, models, naive_bayes, normalization, sampling, statistics, vectors
+from reviewlab.operators import (
+    evaluation, models, naive_bayes, normalization, sampling, sentence_ends, statistics, tagging, vectors,
+)
 from reviewlab.operators import features as feats
 from reviewlab.operators.lookup import lookup_join
-from reviewlab.operators import sentence_ends, tagging
 from reviewlab.operators.ranking import first_rows
 from reviewlab.plans import experiment
 from reviewlab.plans import fixtures as fx
 from reviewlab.plans.cleaning_plan import CleaningPlan
 from reviewlab.session import materialize, scratch_path
 from reviewlab.sources import reviews as src
+from reviewlab.sources.named_files import write_named_files
 from reviewlab.sources.workspace import Workspace
 from reviewlab.streaming import reviews as stream
 
@@ -90,15 +92,12 @@ def _game_of_run() -> Column:
     return F.concat(F.lit("g"), F.floor(F.col("row_id") / _GAME_ROWS).cast("string"))
 
 
-def _flattened(spark, nested: str) -> str:
-    """The same files as `<game>.json` in one folder."""
+def _write_flat_games(spark, sf) -> str:
+    """`<game>.json` files in one folder, written by the tasks that hold the games."""
     path = scratch_path(spark, "json-flat")
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    files = jvm.org.apache.hadoop.fs.Path(nested).getFileSystem(conf)
-    files.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
-    for found in files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{nested}/game_id=*/*.json")):
-        game = found.getPath().getParent().getName().removeprefix("game_id=")
-        files.rename(found.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{game}.json"))
+    record = F.struct("row_id", "text", "rating", "user")
+    games = fx.reviews(spark, sf).groupBy(_game_of_run().alias("game")).agg(F.to_json(F.struct(F.collect_list(record).alias("reviews"))).alias("content"))
+    write_named_files(games.select(F.concat("game", F.lit(".json")).alias("name"), "content"), path)
     return path
 
 
@@ -113,7 +112,7 @@ def _fields(ddl: str):
 
 @query
 def read_reviews_json(spark, sf):
-    path = _flattened(spark, _write_json_games(spark, sf))
+    path = _write_flat_games(spark, sf)
     rows = src.read_reviews(spark, path, "json", fields=_fields(_WITH_ROW_ID))
     return rows.select("row_id", "game_id", "text", "rating", "user")
 
@@ -131,17 +130,10 @@ def read_game_metadata(spark, sf):
     path = scratch_path(spark, "metadata")
     games = fx.reviews(spark, sf).select(_game_of_run().alias("game_id")).distinct()
     record = F.to_json(F.struct(F.upper("game_id").alias("name"), F.array(F.lit("a"), F.lit("b")).alias("categories")))
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
-    # the fixture's few games; files are named one by one, as a Spark writer does not let them be named
-    for row in games.select("game_id", record.alias("json")).collect():
-        game, content = row["game_id"], row["json"].encode()
-        names = [f"{game}_metadata.json"] if game.endswith("3") else []
-        names += [f"{game}/metadata.json"] if len(game) % 2 else [f"{game}/reviews.json"]
-        for name in names:
-            out = files.create(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"))
-            out.write(content)
-            out.close()
+    beside = F.when(F.endswith("game_id", F.lit("3")), F.concat("game_id", F.lit("_metadata.json")))
+    inside = F.concat("game_id", F.when(F.length("game_id") % 2 == 1, "/metadata.json").otherwise("/reviews.json"))
+    names = F.explode(F.array_compact(F.array(beside, inside))).alias("name")
+    write_named_files(games.select(names, record.alias("content")), path)
     found = src.read_game_metadata(spark, path)
     return found.select("game_id", "name", F.size("categories").cast("bigint").alias("n_categories"))
 

@@ -29,10 +29,16 @@ _SCRATCH: list[tuple[SparkSession, str]] = []
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`, else one below the session's warehouse.
 
-    Both lie on the file system that all executors share; no machine-local folder is ever made up.
+    Both lie on the file system that all executors share. On a cluster without that setting, a warehouse
+    that is a folder of one machine is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if root:
+        return root
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

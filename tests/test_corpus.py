@@ -250,3 +250,22 @@ def test_first_rows_keeps_nulls_and_exactly_n(spark, n, nulls):
     rows = spark.createDataFrame([(k, i % 3) for i, k in enumerate(keys)], "k long, v int").repartition(4)
     found = sorted(-1 if r.k is None else r.k for r in ranking.first_rows(rows, "k", n).collect())
     assert found == sorted(-1 if k is None else k for k in keys)[:n]
+
+
+def test_equal_rows_and_keys_are_numbered_without_gaps(spark):
+    """Two thirds of 200,000 rows are equal or have no key: ids stay unique and follow the order of the keys."""
+    n = 200_000
+    rows = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE id % 1000 END AS k", "'g' AS game_id", "CAST(NULL AS STRING) AS user", "'same' AS text", "1.0D AS rating"
+    ).repartition(6)
+    keyed = corpus.with_row_key(rows)
+    assert keyed.select("row_key").distinct().count() == n and keyed.columns == [*rows.columns, "row_key"]
+    found = corpus.with_doc_ids(rows, "k").selectExpr("k", "CAST(split(doc_id, '_')[2] AS LONG) AS at")
+    facts = found.selectExpr("count(DISTINCT at) AS n", "min(at) AS low", "max(at) AS high").first()
+    assert tuple(facts) == (n, 0, n - 1)
+    spans = found.groupBy("k").agg(F.min("at").alias("low"), F.max("at").alias("high"), F.count("*").alias("n")).collect()
+    assert all(r.high - r.low + 1 == r.n for r in spans)
+    ordered = sorted(spans, key=lambda r: r.low)
+    assert ordered[0].k is None and [r.k for r in ordered[1:]] == sorted(r.k for r in ordered[1:])
+    assert corpus.with_doc_ids(rows, "k", 70_000).count() == 70_000
+    assert corpus.with_doc_ids(rows.limit(0), "k").count() == 0

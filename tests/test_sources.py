@@ -192,3 +192,37 @@ def test_one_whole_metadata_record_per_game(spark):
     joined = reviews.with_game_metadata(spark.createDataFrame([("g",), ("h",)], "game_id string"), metadata)
     found = {r["game_id"]: (r["name"], r["categories"], r["mechanics"]) for r in joined.collect()}
     assert found == {"g": ("A", ["y"], ["m"]), "h": (None, [], [])}
+
+
+def test_a_local_warehouse_is_refused_on_a_cluster():
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Context:
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+    class Fake:
+        def __init__(self, master, **conf):
+            self.conf, self.sparkContext = Conf(conf), Context(master)
+
+    local, shared = {"spark.sql.warehouse.dir": "file:/tmp/w"}, {"spark.sql.warehouse.dir": "hdfs://n/w/"}
+    assert session.checkpoint_root(Fake("local[2]", **local)) == "file:/tmp/w/_scratch"
+    assert session.checkpoint_root(Fake("yarn", **shared)) == "hdfs://n/w/_scratch"
+    assert session.checkpoint_root(Fake("yarn", **local, **{"spark.checkpoint.dir": "hdfs://n/c"})) == "hdfs://n/c"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Fake("yarn", **local))
+
+
+def test_named_files(spark, tmp_path):
+    rows = spark.createDataFrame([("a.json", "x"), ("b/c.txt", "é\n"), ("b/d.txt", "")], "name string, content string")
+    from reviewlab.sources.named_files import write_named_files
+
+    assert write_named_files(rows.repartition(3), str(tmp_path)) == 3
+    found = {str(p.relative_to(tmp_path)): p.read_text(encoding="utf-8") for p in tmp_path.rglob("*") if p.is_file() and not p.name.startswith(".")}
+    assert found == {"a.json": "x", "b/c.txt": "é\n", "b/d.txt": ""}
+    assert write_named_files(rows.limit(0), str(tmp_path)) == 0
