@@ -33,21 +33,22 @@ def text_length_stats(documents: DataFrame, text: str = "text") -> DataFrame:
     sort of the documents.
     """
     lengths = documents.groupBy(F.length(text).alias("value")).agg(F.count("*").alias("n"))
-    return lengths.agg(*_weighted_summary())
+    return _weighted_summary(lengths)
 
 
-def _weighted_summary() -> list:
-    """Summary of a histogram `(value, n)`."""
+def _weighted_summary(histogram: DataFrame) -> DataFrame:
+    """Summary of a histogram `(value, n)`; deviations are taken from the mean, so no digits are lost."""
     value, n = F.col("value").cast("double"), F.col("n")
-    mean = F.sum(value * n) / F.sum(n)
-    return [
-        mean.alias("mean"),
+    # the histogram is at most as long as the longest text
+    whole = Window.partitionBy(F.lit(1))
+    centred = histogram.where(F.col("value").isNotNull()).withColumn("_mean", F.sum(value * n).over(whole) / F.sum(n).over(whole))
+    return centred.agg(
+        F.max("_mean").alias("mean"),
         F.expr("percentile(value, 0.5D, n)").alias("median"),
         F.min("value").cast("double").alias("min"),
         F.max("value").cast("double").alias("max"),
-        # rounding may leave a difference just below zero
-        F.sqrt(F.greatest(F.sum(value * value * n) / F.sum(n) - mean * mean, F.lit(0.0))).alias("std"),
-    ]
+        F.sqrt(F.sum(n * F.pow(value - F.col("_mean"), F.lit(2.0))) / F.sum(n)).alias("std"),
+    )
 
 
 def avg_rating_per_label(documents: DataFrame) -> DataFrame:
@@ -96,9 +97,7 @@ def corpus_statistics(documents: DataFrame, text: str = "text") -> DataFrame:
 
     labels = cells_of("label").where(F.col("label").isNotNull())
     ratings, games = cells_of("rating"), cells_of("game_id")
-    length_summary = (
-        cells_of("text_length").withColumn("value", F.col("text_length")).agg(*_weighted_summary())
-    )
+    length_summary = _weighted_summary(cells_of("text_length").withColumn("value", F.col("text_length")))
     game_summary = games.agg(
         F.count("*").alias("unique_games"), F.avg("n").alias("mean"), F.median("n").alias("median"),
         F.min("n").alias("min"), F.max("n").alias("max"),

@@ -598,6 +598,11 @@ ORACLE["model_ranking"] = f"""WITH {PREDICTIONS}, judged AS (
 ORACLE["limit_documents_many"] = f"""WITH {RATINGS}, keyed AS (SELECT CASE WHEN row_id % 50 = 0 THEN NULL ELSE row_id * 7919 % 1000003 END AS key, row_id FROM ratings)
   SELECT CAST(coalesce(key, -1) AS BIGINT) AS key, row_id FROM (SELECT * FROM keyed ORDER BY key NULLS FIRST LIMIT 1500)"""
 
+ORACLE["stream_statistics"] = f"""WITH {CORPUS}, t AS (SELECT 'label' AS level, coalesce(label, '') AS label, rating, length(text) AS x FROM corpus
+    UNION ALL SELECT 'all', 'all', rating, length(text) FROM corpus)
+  SELECT level, label, count(*) AS n, round(avg(rating), 6) AS avg_rating, round(avg(x), 6) AS mean_length, round(stddev_pop(x), 6) AS std_length,
+    CAST(min(x) AS BIGINT) AS min_length, CAST(max(x) AS BIGINT) AS max_length FROM t GROUP BY ALL"""
+
 # --- stems, one step of the cascade after the other ------------------------------------------------------------
 
 _C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"

@@ -28,6 +28,7 @@ from reviewlab.sources import reviews as src
 from reviewlab.sources.named_files import write_named_files
 from reviewlab.sources.workspace import Workspace
 from reviewlab.streaming import reviews as stream
+from reviewlab.streaming import statistics as stream_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,6 +194,23 @@ def stream_label_reviews(spark, sf):
     return spark.read.parquet(f"{path}/out").select("row_id", "game_id", "rating", "label")
 
 
+@query
+def stream_statistics(spark, sf):
+    """Statistics of labelled documents from the states that a stream kept per batch; estimates are left to tests."""
+    path = scratch_path(spark, "stream-statistics")
+    schema = fx.table(spark, sf, "documents").schema
+    arriving = stream.stream_reviews(spark, sf, schema, glob="documents.parquet")
+    labelled = stream.label_stream(
+        arriving.select("doc_id", F.col("source").alias("game_id"), "text", F.expr(fx.RATING_SQL).alias("rating"))
+    )
+    stream_stats.write_statistics(labelled, f"{path}/state", f"{path}/checkpoint")
+    found = stream_stats.merged(stream_stats.read_state(spark, f"{path}/state"))
+    return rounded(found.select(
+        "level", F.coalesce("label", F.lit("")).alias("label"), "n", "avg_rating", "mean_length", "std_length",
+        F.col("min_length").cast("bigint").alias("min_length"), F.col("max_length").cast("bigint").alias("max_length"),
+    ))
+
+
 # --- saved tables -----------------------------------------------------------------------------
 
 
