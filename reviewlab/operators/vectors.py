@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from reviewlab.functions import fixed_values as fv
 from reviewlab.functions.keys import row_keys
 from reviewlab.functions.text import ngram_range, words
+from reviewlab.operators.counting_filter import repeated_grams
 from reviewlab.operators.lookup import BROADCAST_ROW_LIMIT, is_small, lookup_join
 from reviewlab.operators.ranking import ordinals
 from reviewlab.session import materialize
@@ -50,13 +51,13 @@ def _spaced(names: list[str]) -> Column:
     return F.concat(*parts)
 
 
-def term_statistics(documents: DataFrame, ngram_sizes: tuple[int, int] = (1, 1)) -> DataFrame:
+def term_statistics(documents: DataFrame, ngram_sizes: tuple[int, int] = (1, 1), repeated_only: bool = False) -> DataFrame:
     """`(term, df, tf)` without bringing a document together: no shuffle but the one on terms.
 
     Each row yields its n-grams once per occurrence (for tf) and once per distinct value (for df);
-    both kinds add up on the map side first, which also takes care of very frequent terms.
+    both kinds add up on the map side first, which also takes care of very frequent terms. With
+    `repeated_only` most n-grams of a single document are left out before the shuffle (`counting_filter`).
     """
-    grams = ngram_range(F.col("words"), *ngram_sizes)
     marked = F.concat(
         F.transform("_grams", lambda g: F.struct(g.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
         F.transform(
@@ -64,7 +65,10 @@ def term_statistics(documents: DataFrame, ngram_sizes: tuple[int, int] = (1, 1))
             lambda g: F.struct(g.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
         ),
     )
-    unfolded = documents.select(grams.alias("_grams")).select(F.inline(marked))
+    grams = repeated_grams(documents, ngram_sizes) if repeated_only else documents.select(
+        ngram_range(F.col("words"), *ngram_sizes).alias("_grams")
+    )
+    unfolded = grams.select(F.inline(marked))
     return unfolded.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
 
 
@@ -74,19 +78,22 @@ def fit_terms(
     max_features: int | None = None,
     min_df: int | float = 1,
     max_df: int | float = 1.0,
+    counting_filter: bool = False,
 ) -> DataFrame:
     """The vocabulary of `(doc_id, words)`.
 
     Terms outside the document-frequency limits go first (an int is a count, a float a share of all
     documents), then the `max_features` most frequent stay, ties by term. `idx` follows the
-    alphabetical order; idf = ln((1 + n) / (1 + df)) + 1.
+    alphabetical order; idf = ln((1 + n) / (1 + df)) + 1. `counting_filter` reads the documents twice to
+    shuffle fewer n-grams where `min_df` asks for two documents or more; the result is the same.
     """
     n_documents = documents.agg(F.count("*")).scalar().cast("double")
 
     def documents_for(limit: int | float) -> Column:
         return F.lit(limit) * n_documents if isinstance(limit, float) else F.lit(limit)
 
-    stats = term_statistics(documents, ngram_sizes).where(
+    wanted = min_df * documents.count() if counting_filter and isinstance(min_df, float) else min_df
+    stats = term_statistics(documents, ngram_sizes, counting_filter and wanted > 1).where(
         (F.col("df") >= documents_for(min_df)) & (F.col("df") <= documents_for(max_df))
     )
     idf = F.log((1.0 + n_documents) / (1.0 + F.col("df"))) + 1.0

@@ -483,6 +483,7 @@ ORACLE["split_disjoint"] = f"""{_SPLIT3}, p AS (SELECT * FROM (VALUES ('test', '
 # --- vectors -----------------------------------------------------------------------------------------------------
 
 ORACLE["tfidf_vocabulary"] = f"WITH {vocabulary(2)} {_TERMS}"
+ORACLE["tfidf_vocabulary_prefiltered"] = f"WITH {vocabulary(3)} {_TERMS}"
 ORACLE["tfidf_vocabulary_unlimited"] = f"""WITH {vocabulary(1, None, min_df='3',
     max_df='0.5::DOUBLE * (SELECT count(*) FROM documents)')} {_TERMS}"""
 for _n in (1, 2, 3):

@@ -848,6 +848,12 @@ def tfidf_vocabulary_unlimited(spark, sf):
     return rounded(vectors.fit_terms(_words(spark, sf), min_df=3, max_df=0.5))
 
 
+@query
+def tfidf_vocabulary_prefiltered(spark, sf):
+    """The 3-gram vocabulary, for which only n-grams that may occur in two documents are shuffled."""
+    return rounded(vectors.fit_terms(_words(spark, sf), (1, 3), fv.NGRAM_FEATURES[3], fv.MIN_DF, fv.MAX_DF, counting_filter=True))
+
+
 def _tfidf_query(n, spark, sf):
     return rounded(_tfidf(spark, sf, n))
 
