@@ -50,18 +50,21 @@ _TELLING = re.compile("class|id|role|itemprop|style|hidden", re.I)
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: What has, or lacks, an element of some name is none itself.
+_OF_OTHERS = re.compile(r"\b(?:has|have|no|not|with|without|is|hide|show|toggle)[-_ ]+[a-z]+")
 
-#: What an element says of the text inside.
-SILENT, ARTICLE, ASIDE, OUTSIDE = range(4)
+#: What an element says of the text inside; MIXED has words of both kinds, such as a part of an article.
+SILENT, ARTICLE, ASIDE, OUTSIDE, MIXED = range(5)
 
 
 class Element:
-    """An open or closed element; `says` is its own mark, `holds` whether an article lies inside."""
+    """An open or closed element; `says` is its own mark, `holds` whether an article element lies inside (2) or
+    one that is called so (1)."""
 
     __slots__ = ("tag", "parent", "depth", "says", "holds")
 
     def __init__(self, tag: str, parent: Element | None, says: int):
-        self.tag, self.parent, self.says, self.holds = tag, parent, says, False
+        self.tag, self.parent, self.says, self.holds = tag, parent, says, 0
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -86,7 +89,7 @@ def mark(tag: str, rest: str, in_article: bool) -> tuple[int, bool]:
         elif name == "style":
             hidden |= "display:none" in value.replace(" ", "").lower()
         elif name in ("class", "id", "role", "itemprop"):
-            words.update(_WORD.findall(_CAMEL.sub(" ", value).lower()))
+            words.update(_WORD.findall(_OF_OTHERS.sub(" ", _CAMEL.sub(" ", value).lower())))
     if tag in ("html", "body"):
         return SILENT, False
     if tag in _OUTSIDE_TAGS or (tag != "main" and words & COMMENT_WORDS):
@@ -94,7 +97,7 @@ def mark(tag: str, rest: str, in_article: bool) -> tuple[int, bool]:
     article = tag in ("article", "main") or bool(words & ARTICLE_WORDS)
     aside = tag in _ASIDE_TAGS or bool((words | {tag} & {"header"}) & (ASIDE_WORDS - ({"header"} if in_article else set())))
     if article and aside:
-        return ARTICLE if tag in ("article", "main") else SILENT, hidden
+        return ARTICLE if tag in ("article", "main") else MIXED, hidden
     return ARTICLE if article else ASIDE if aside else SILENT, hidden
 
 
@@ -217,11 +220,12 @@ def _tell_holders(element: Element | None) -> None:
     """Mark what lies around an article that nothing inside it calls something else."""
     while element is not None and element.says not in (ARTICLE, OUTSIDE, ASIDE):
         element = element.parent
-    if element is None or element.says != ARTICLE or element.tag not in ("article", "main"):
+    if element is None or element.says != ARTICLE:
         return
+    kind = 2 if element.tag in ("article", "main") else 1
     element = element.parent
-    while element is not None and not element.holds:
-        element.holds = True
+    while element is not None and element.holds < kind:
+        element.holds = kind
         element = element.parent
 
 
@@ -235,7 +239,8 @@ def places(blocks: list[Block]) -> Iterator[int]:
             element = element.parent
         place = SILENT if element is None else known[id(element)]
         for element in reversed(path):
-            if element.says == OUTSIDE or (element.says == ASIDE and not element.holds):
+            apart = (element.says == ASIDE and element.holds < 2) or (element.says == MIXED and not element.holds)
+            if element.says == OUTSIDE or apart:
                 place = OUTSIDE
             elif element.says == ARTICLE and place != OUTSIDE:
                 place = ARTICLE

@@ -52,6 +52,17 @@ PAGES = {
     "inline": ("<article><p>one<b>two</b><br>three <a href='x>y'>four</a></p>five</article>", ["onetwo three four", "five"]),
     "table": ("<article><table><tr><td>a<td>b<tr><td>c</table><dl><dt>d<dd>e</dl></article>", ["a", "b", "c", "d", "e"]),
     "less than": ("<article><p>a < b and 3<4, <3</p></article>", ["a < b and 3<4, <3"]),
+    "parts of an article": (
+        "<div id=main class='col has-sidebar'><div class='post-header'><h1>Title</h1></div>"
+        f"{paragraphs(PROSE[:3])}<div class='article-share'>Tell your friends about it.</div>{paragraphs(PROSE[3:])}"
+        "<div class='post-footer'>Filed under things.</div></div><div class='footer-content'><p>All rights are reserved, always.</p></div>"
+        f"<div class='sidebar'><div class='post'><p>{PROSE[0]} Teaser.</p></div></div>",
+        ["Title", *PROSE],
+    ),
+    "words around the article": (
+        f"<div class='site menu-main-content'><div class='content'>{paragraphs(PROSE)}</div></div><div class='cookie-content'>{paragraphs(PROSE[:1])}</div>",
+        PROSE,
+    ),
     "only menu": ("<nav><p>Long prose in the menu, with commas, and a full stop.</p></nav>", []),
     "empty": ("", []), "null": (None, []), "tags": ("<div><br></div><p", []),
 }
