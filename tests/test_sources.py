@@ -226,3 +226,21 @@ def test_named_files(spark, tmp_path):
     found = {str(p.relative_to(tmp_path)): p.read_text(encoding="utf-8") for p in tmp_path.rglob("*") if p.is_file() and not p.name.startswith(".")}
     assert found == {"a.json": "x", "b/c.txt": "é\n", "b/d.txt": ""}
     assert write_named_files(rows.limit(0), str(tmp_path)) == 0
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+def test_stream_queries_read_a_file_and_a_folder_of_parts(spark, tmp_path, parts):
+    from reviewlab.plans.queries import QUERIES
+
+    rows = [(i, f"text number {i} of some length", "en", "src1", 20) for i in range(1, 31)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    if parts:
+        documents.repartition(parts).write.parquet(f"{tmp_path}/documents.parquet")
+    else:
+        documents.toPandas().to_parquet(f"{tmp_path}/documents.parquet")
+    other = spark.createDataFrame([(1, "not a document")], "page_id long, text string")
+    other.write.parquet(f"{tmp_path}/pages.parquet")
+    labelled = {r.row_id for r in QUERIES["stream_label_reviews"](spark, str(tmp_path)).collect()}
+    assert labelled == {i for i in range(1, 31) if i != 3}
+    whole = {r.level: r.n for r in QUERIES["stream_statistics"](spark, str(tmp_path)).where("level = 'all'").collect()}
+    assert whole == {"all": 29}
