@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from reviewlab.functions import fixed_values as fv
 from reviewlab.operators import corpus, lookup, ranking, sampling, statistics
+from reviewlab.session import materialize
 
 
 def test_rating_bands(spark):
@@ -242,6 +243,16 @@ def test_wide_tables_are_not_broadcast(spark):
     assert not lookup.is_small(wide, limit=99)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_tables_above_the_limit_are_never_broadcast(spark, how):
+    """The table lies in a small file, but is repeated for every salt."""
+    rows = spark.range(2000).select(F.concat(F.lit("w"), F.col("id") % 50).alias("word"), "id")
+    table = materialize(spark.range(40).select(F.concat(F.lit("w"), "id").alias("word"), F.col("id").alias("n")))
+    found = lookup.lookup_join(rows, table, ["word"], F.col("id"), how, known_rows=lookup.BROADCAST_ROW_LIMIT + 1)
+    assert "Broadcast" not in found._jdf.queryExecution().toString()
+    assert found.count() == {"inner": 1600, "left": 2000, "left_semi": 1600, "left_anti": 400}[how]
+
+
 @pytest.mark.parametrize("n", [999, 1000, 1001, 1500, 2500, 2999, 3000, 4000])
 @pytest.mark.parametrize("nulls", [0, 100, 1500])
 def test_first_rows_keeps_nulls_and_exactly_n(spark, n, nulls):
