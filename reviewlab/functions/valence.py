@@ -14,6 +14,8 @@ from reviewlab.functions import fixed_values as fv
 
 _PUNCTUATION = r"!-/:-@\[-`{-~"
 _MARK = r"(?:[.!?,;:\-'\"]|!!!?|\?\?\??|\?!\?!?|!\?!\??)"
+#: What a marked word starts or ends with; `$` also holds before a line end.
+_EDGES = ".!?,;:-'\"\n\r\u0085\u2028\u2029"
 _BARE = rf"([^{_PUNCTUATION}\s]{{2,}})"
 
 
@@ -25,9 +27,13 @@ def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
 def rule_words(text: Column) -> Column:
     """Blank-separated words of two characters or more; one mark before or after a bare word is dropped."""
     pieces = F.filter(F.split(text, fv.WHITESPACE_CLASS + "+"), lambda w: F.length(w) > 1)
-    return F.transform(
-        pieces, lambda w: F.regexp_replace(F.regexp_replace(w, f"^{_MARK}{_BARE}$", "$1"), f"^{_BARE}{_MARK}$", "$1")
-    )
+
+    def bare(word: Column) -> Column:
+        cut = F.regexp_replace(F.regexp_replace(word, f"^{_MARK}{_BARE}$", "$1"), f"^{_BARE}{_MARK}$", "$1")
+        marked = [F.substring(word, at, 1).isin(*_EDGES) for at in (1, -1)]
+        return F.when(marked[0] | marked[1], cut).otherwise(word)
+
+    return F.transform(pieces, bare)
 
 
 def _negates(low: Column) -> Column:
@@ -89,9 +95,11 @@ def _word_valence(r: Column, i: Column) -> Column:
 
 def _contrast(r: Column, valences: Column) -> Column:
     """What stands before the first "but" counts half, what stands after it half as much again."""
-    but = F.array_position(r["lows"], "but") - 1
-    weighed = F.transform(valences, lambda v, i: v * F.when(i < but, 0.5).when(i > but, 1.5).otherwise(1.0))
-    return F.when(but >= 0, weighed).otherwise(valences)
+    def weighed(but: Column) -> Column:
+        return F.transform(valences, lambda v, i: v * F.when(i < but, 0.5).when(i > but, 1.5).otherwise(1.0))
+
+    at = F.array_position(r["lows"], "but") - 1
+    return F.when(at >= 0, _bound(at, weighed)).otherwise(valences)
 
 
 def _scores(text: Column, valences: Column) -> Column:
@@ -128,15 +136,19 @@ def rule_scores(text: Column, words: Column, own: Column) -> Column:
     `words` are its `rule_words`, `own` maps lower-cased words to their valences; other words have none.
     A text without words scores zero throughout; its shares are those of positive, negative and other words.
     """
-    caps = F.transform(words, lambda w: (w == F.upper(w)) & (w != F.lower(w)))
-    n_caps = F.size(F.filter(caps, lambda c: c))
-    row = F.struct(
-        words.alias("words"), F.transform(words, F.lower).alias("lows"),
-        F.transform(words, lambda w: F.try_element_at(own, F.lower(w))).alias("values"),
-        caps.alias("caps"), ((n_caps > 0) & (n_caps < F.size(words))).alias("mixed"),
-    )
+    def row(w: Column) -> Column:
+        shouted = F.transform(w, lambda x: (x == F.upper(x)) & (x != F.lower(x)))
+        return _bound(F.struct(w.alias("words"), F.transform(w, F.lower).alias("lows"), shouted.alias("caps")), valued)
+
+    def valued(r: Column) -> Column:
+        n_caps = F.size(F.filter(r["caps"], lambda c: c))
+        return F.struct(
+            r["words"].alias("words"), r["lows"].alias("lows"), F.transform(r["lows"], lambda w: F.try_element_at(own, w)).alias("values"),
+            r["caps"].alias("caps"), ((n_caps > 0) & (n_caps < F.size(r["words"]))).alias("mixed"),
+        )
 
     def valences(r: Column) -> Column:
-        return _contrast(r, F.transform(r["words"], lambda w, i: _word_valence(r, i)))
+        return _bound(F.transform(r["words"], lambda w, i: _word_valence(r, i)), lambda v: _contrast(r, v))
 
-    return _bound(_bound(row, valences), lambda v: _scores(text, v))
+    # words, rows and valences are bound, so that each is computed once a text
+    return _bound(_bound(_bound(words, row), valences), lambda v: _scores(text, v))
