@@ -248,3 +248,13 @@ def test_metrics_without_rows_and_with_other_labels(spark):
     found = {r["set"]: r for r in evaluation.metrics_by_set(odd, ["a", "b"]).collect()}
     assert found["x"]["accuracy"] == 2 / 3 and found["x"]["recall"] == 1.0
     assert found["y"]["accuracy"] == 1.0 and found["y"]["f1_score"] == 0.0
+
+
+def test_facts_of_a_model_are_given_for_every_set_and_label(spark):
+    from reviewlab.plans.queries import _judged
+
+    rows = [(i, s, str(i % 2)) for i, s in enumerate(["train"] * 6 + ["test"] * 4)]
+    documents = spark.createDataFrame(rows, "doc_id long, set string, label string")
+    run = models.Evaluation("m", "r", documents.withColumn("prediction", F.col("label")), {s: {"f1_score": 1.0} for s in ("train", "test")}, 1.0, 1.0)
+    found = {(r["set"], r.label): (r.n, r.n_ids, r.known_classes, r.recomputed_f1, r.beats_majority) for r in _judged(run, documents, ("set", "label")).collect()}
+    assert found == {(s, x): (n, n, True, True, True) for s, n in (("train", 3), ("test", 2)) for x in "01"}
