@@ -263,6 +263,20 @@ def test_first_rows_keeps_nulls_and_exactly_n(spark, n, nulls):
     assert found == sorted(-1 if k is None else k for k in keys)[:n]
 
 
+def test_numbering_leaves_rows_without_copies_in_place(spark):
+    """Every tenth row is a copy: texts meet no exchange, and the numbers of each key have no gaps."""
+    rows = spark.range(2000).selectExpr("CASE WHEN id < 20 THEN NULL WHEN id < 200 THEN 7 ELSE id END AS k", "'some text' AS text").repartition(5)
+    found = ranking.numbered_within(rows, "k", "n")
+    assert found.columns == ["k", "text", "n"] and dict(found.dtypes)["n"] == "bigint"
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    numbers = {}
+    for r in found.collect():
+        numbers.setdefault(r.k, []).append(r.n)
+    assert len(numbers) == 1802 and all(sorted(n) == list(range(len(n))) for n in numbers.values())
+    assert len(numbers[None]) == 20 and len(numbers[7]) == 180
+
+
 def test_equal_rows_and_keys_are_numbered_without_gaps(spark):
     """Two thirds of 200,000 rows are equal or have no key: ids stay unique and follow the order of the keys."""
     n = 200_000
