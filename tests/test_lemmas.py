@@ -64,3 +64,21 @@ def test_tagged_tokens_stay_in_their_rows(spark):
     found = normalization.normalize_tagged(spark.createDataFrame(rows, schema), mapping, "words", "pos").collect()
     assert sorted((r.other, list(r.words)) for r in found) == [(7, ["dog", "go", "fast", "Dogs"]), (8, []), (9, ["x"])]
     assert found[0].asDict().keys() == {"doc_id", "words", "pos", "other"}
+
+
+def test_lemmas_and_exceptions_are_read_once_whatever_the_rounds(spark):
+    def counted(frame, counter):
+        def of_batches(batches):
+            for batch in batches:
+                counter.add(batch.num_rows)
+                yield batch
+
+        return frame.mapInArrow(of_batches, frame.schema)
+
+    seen = [spark.sparkContext.accumulator(0) for _ in range(2)]
+    words = spark.createDataFrame([("runs", "n"), ("oxen", "n"), ("glassess", "n")], "term string, pos_class string")
+    lemmas = counted(spark.createDataFrame([("run", "n"), ("glass", "n"), ("ox", "n")], "lemma string, pos_class string"), seen[0])
+    exceptions = counted(spark.createDataFrame([("oxen", "n", "ox")], "term string, pos_class string, normal_form string"), seen[1])
+    found = {r.term: r.normal_form for r in normalization.lemma_terms(words, lemmas, exceptions).collect()}
+    assert found["runs"] == "run" and found["oxen"] == "ox"
+    assert [s.value for s in seen] == [3, 1]
