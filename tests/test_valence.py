@@ -125,3 +125,12 @@ def test_odd_rows(spark):
     found = scored(spark, [None, "", " \n ", "word " * 20_000 + "good", "a b c"])
     assert found[0] == found[1] == found[2] == found[4] == (0.0, 0.0, 0.0, 0.0)
     assert found[3][0] == 0.4404
+
+
+def test_words_of_a_text_are_computed_once(spark):
+    from reviewlab.functions.valence import rule_scores, rule_words
+
+    text = F.col("text")
+    own = F.create_map(F.lit("good"), F.lit(1.5))
+    scored = spark.createDataFrame([("Good day!",)], "text string").select(rule_scores(text, rule_words(text), own).alias("s"))
+    assert scored._jdf.queryExecution().analyzed().toString().lower().count("regexp_replace(") == 2
