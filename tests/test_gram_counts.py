@@ -89,3 +89,12 @@ def test_counts_of_known_terms_keep_repeated_and_null_ids(spark):
     terms = spark.createDataFrame([("a", 0), ("a b", 1), ("b", 2), ("z z", 3), ("b", 4)], "term string, idx long")
     found = vectors.count_vectors(documents, terms, (1, 2), 5).collect()
     assert {tuple(r) for r in found} == {(1, 0, 3.0), (1, 1, 1.0), (1, 2, 1.0), (1, 4, 1.0), (None, 1, 1.0), (None, 2, 1.0), (None, 4, 1.0)}
+
+
+def test_vectors_are_put_together_in_all_partitions(spark):
+    """Few partitions, as the optimizer makes of small rows, would each hold the entries of many documents."""
+    documents = frame(spark, [["a", "b", "a"]] * 40, 2)
+    terms = spark.createDataFrame([("a", 0, 1.0), ("b", 1, 1.0)], "term string, idx long, idf double")
+    found = vectors.tfidf_vectors(documents, terms, (1, 1), 2)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found.count() == 80
