@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlab.functions import fixed_values as fv
-from reviewlab.operators.lookup import lookup_join
+from reviewlab.operators.lookup import lookup_join, row_lookup
 from reviewlab.session import materialize
 
 #: From these scores on a type is an abbreviation, and a word is one that starts sentences (published values).
 ABBREVIATION, STARTER = 0.3, 30.0
 _BREAK, _GAP = "\u0001", "\u0002"
 _SPACE = fv.WHITESPACE_CLASS + "+"
+_NO_SPACE = "[^" + fv.WHITESPACE_CLASS[1:]
 
 
 def _pieces(text: Column) -> Column:
@@ -21,17 +22,19 @@ def _pieces(text: Column) -> Column:
 
 
 def _last_word(piece: Column) -> Column:
-    return F.element_at(F.split(piece, _SPACE), -1)
+    return F.regexp_replace(piece, rf"(?s)\A.*{fv.WHITESPACE_CLASS}", "")
 
 
 def _first_word(piece: Column) -> Column:
-    return F.get(F.split(piece, _SPACE), F.lit(0))
+    return F.regexp_extract(piece, rf"\A{_NO_SPACE}*", 0)
 
 
 def _type(word: Column) -> Column:
-    """A word without its last period, in lower case, numbers as one type."""
-    bare = F.lower(F.regexp_replace(word, r"\.$", ""))
-    return F.regexp_replace(bare, r"^[-+]?[0-9][0-9.,]*$", "##number##")
+    """A word without its last period, in lower case, numbers as one type. Most words meet no expression."""
+    bare = F.lower(F.when(F.contains(word, F.lit(".")), F.regexp_replace(word, r"\.$", "")).otherwise(word))
+    # a number starts with a character from plus to nine
+    number = F.regexp_replace(bare, r"^[-+]?[0-9][0-9.,]*$", "##number##")
+    return F.when((word >= "+") & (word < ":"), number).otherwise(bare)
 
 
 def _log_likelihood(successes: Column, trials: Column, p: Column) -> Column:
@@ -88,25 +91,39 @@ def _marked(df: DataFrame, known: DataFrame, text: str) -> DataFrame:
     """The rows of `df` with `_parts` (text, white space, text, ...) and, per cut between texts, `_cuts`: the
     word behind it and whether the word before it is an abbreviation, a single letter or a number.
 
-    Only the distinct types before a period meet the table of abbreviations, and only hits come back.
+    A short table of abbreviations is searched within the row. Of a long one only the distinct types before a
+    period meet it, and only hits come back.
     """
-    name = "_row_id"
-    rows = materialize(df.withColumn("_parts", _pieces(F.coalesce(F.col(text), F.lit("")))).withColumn(name, F.monotonically_increasing_id()), "sentence-parts")
     texts = F.filter("_parts", lambda p, i: i % 2 == 0)
-    closed = F.filter(F.transform(texts, _last_word), lambda w: F.endswith(w, F.lit(".")))
-    held = rows.select(name, F.explode(F.array_distinct(F.transform(closed, _type))).alias("type"))
-    hits = lookup_join(held, known.select("type"), ["type"], spread=F.col(name), how="left_semi").groupBy(name).agg(F.collect_set("type").alias("_known"))
-    joined = rows.join(hits, name, "left").withColumn("_known", F.coalesce("_known", F.array().cast("array<string>"))).withColumn("_texts", texts)
-
-    def cut(before: Column, i: Column) -> Column:
-        last = _last_word(before)
-        doubtful = F.endswith(last, F.lit(".")) & (
-            F.array_contains("_known", _type(last)) | last.rlike(r"^\p{L}\.$") | (_type(last) == "##number##")
+    rows = df.withColumn("_parts", _pieces(F.coalesce(F.col(text), F.lit("")))).withColumn("_texts", texts)
+    rows = rows.withColumn("_last", F.transform("_texts", _last_word)).withColumn("_next", F.transform("_texts", _first_word)).drop("_texts")
+    rows = rows.withColumn("_types", F.transform("_last", lambda w: F.when(F.endswith(w, F.lit(".")), _type(w))))
+    listed = materialize(known.select("type", F.lit("").alias("_found")).where("type is not null").distinct(), "abbreviations")
+    find = row_lookup(listed, "type", "_found")
+    if find is not None:
+        joined = rows.withColumn("_listed", F.transform("_types", lambda t: find(t).isNotNull()))
+    else:
+        name = "_row_id"
+        rows = materialize(rows.withColumn(name, F.monotonically_increasing_id()), "sentence-parts")
+        held = rows.select(name, F.explode(F.array_distinct(F.array_compact("_types"))).alias("type"))
+        hits = lookup_join(held, listed.select("type"), ["type"], spread=F.col(name), how="left_semi").groupBy(name).agg(F.collect_set("type").alias("_known"))
+        of_row = F.coalesce("_known", F.array().cast("array<string>"))
+        joined = rows.join(hits, name, "left").withColumn("_known", of_row).withColumn(
+            "_listed", F.transform("_types", lambda t: F.array_contains("_known", t))
+        ).drop(name, "_known")
+
+    # side by side, not by position: a column that is looked up within a lambda may be computed per element
+    following = F.slice("_next", 2, F.greatest(F.size("_next"), F.lit(1)))
+
+    def cut(at: Column) -> Column:
+        doubtful = at["_types"].isNotNull() & (
+            at["_listed"] | at["_last"].rlike(r"^\p{L}\.$") | (at["_types"] == "##number##")
         )
-        return F.struct(_first_word(F.get("_texts", i + 1)).alias("word"), doubtful.alias("doubtful"))
+        return F.struct(at["word"].alias("word"), doubtful.alias("doubtful"))
 
-    cuts = F.filter(F.transform("_texts", cut), lambda c: c["word"].isNotNull())
-    return joined.withColumn("_cuts", cuts).drop("_texts", "_known", name)
+    places = F.arrays_zip("_types", "_listed", "_last", following.alias("word"))
+    cuts = F.filter(F.transform(places, cut), lambda c: c["word"].isNotNull())
+    return joined.withColumn("_cuts", cuts).drop("_last", "_next", "_types", "_listed")
 
 
 def split_sentences(df: DataFrame, known: DataFrame, first_words: DataFrame | None = None, text: str = "text") -> DataFrame:

@@ -85,3 +85,23 @@ def test_odd_rows(spark):
     assert len(by[None]) == 3002 and by[None][-2:] == ["dr.", "The end"]
     assert sentence_ends.abbreviations(df.limit(0)).count() == 0
     assert sentence_ends.split_sentences(df.limit(0), known).count() == 0
+
+
+def test_long_tables_of_abbreviations_are_joined(spark, monkeypatch):
+    """A short table is searched in the row, a longer one joined: both cut alike, also where ids repeat or are null."""
+    texts = ["See Fig. 3 there. It is 5. dice of A. Smith", "Fig. a  ", " no. No. x 1.5. y", "", None, "ends.\nnext! so? ."]
+    rows = [(i // 2 if i else None, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = spark.createDataFrame([("fig", 1.0), ("no", 2.0), ("no", 3.0), (None, 1.0)], "type string, score double")
+    short = [r["sentences"] for r in sentence_ends.split_sentences(df, known).orderBy("doc_id", "text").collect()]
+    monkeypatch.setattr(sentence_ends, "row_lookup", lambda *_: None)
+    joined = [r["sentences"] for r in sentence_ends.split_sentences(df, known).orderBy("doc_id", "text").collect()]
+    assert short == joined
+    assert ["See Fig. 3 there.", "It is 5. dice of A. Smith"] in short and ["ends.", "next!", "so?", "."] in short
+
+
+def test_split_moves_no_texts_for_a_short_table(spark):
+    df = spark.createDataFrame([(1, "See Fig. 3 there. Yes")], "doc_id bigint, text string")
+    known = spark.createDataFrame([("fig", 1.0)], "type string, score double")
+    found = sentence_ends.split_sentences(df, known)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
