@@ -68,3 +68,14 @@ def test_models_read_both_forms(spark):
     wanted = {(r["doc_id"], str(r["features"])) for r in models.sparse_features(long, documents, 5).collect()}
     found = [(r["doc_id"], str(r["features"])) for r in models.sparse_features(stacked, documents, 5).collect()]
     assert set(found) == wanted and len(found) == 4
+
+
+def test_a_block_holds_each_entry_once(spark):
+    from reviewlab.operators import linear_svm
+
+    rows = spark.createDataFrame([(i, i % 2, 0, list(range(40)), [1.0] * 40) for i in range(50)], "doc_id long, y int, fold int, idx array<int>, value array<double>")
+    blocks = linear_svm.document_blocks(rows, 40, ["doc_id"]).drop("carried")
+    parts = [F.length(c) for c, kind in blocks.dtypes if kind == "binary"]
+    held = blocks.agg(F.sum(sum(parts, F.lit(0)))).first()[0]
+    # an index of 4 and a value of 8 bytes an entry; labels, folds and bounds are a few numbers a document
+    assert held <= 50 * 41 * 12 + 50 * 32
