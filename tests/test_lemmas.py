@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from reviewlab.operators import normalization
 
 LEXICON = {
@@ -82,3 +84,23 @@ def test_lemmas_and_exceptions_are_read_once_whatever_the_rounds(spark):
     found = {r.term: r.normal_form for r in normalization.lemma_terms(words, lemmas, exceptions).collect()}
     assert found["runs"] == "run" and found["oxen"] == "ox"
     assert [s.value for s in seen] == [3, 1]
+
+
+def test_words_found_in_parts_of_a_map_and_salts_by_the_rows_of_a_key(spark, monkeypatch):
+    """Long and repeated rows get the same stems and opinion words by a salted join; its rows are not counted for it."""
+    from reviewlab.operators import features, lookup, normalization
+
+    words = [f"runn{chr(97 + i % 26)}{chr(97 + i // 26)}ings" for i in range(400)]
+    rows = [(1, " ".join(words)), (1, " ".join(words)), (2, None), (3, "Nothing here"), (None, "relational cats"), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lexicon = spark.createDataFrame([(w, (i % 7) - 3.0) for i, w in enumerate(words)], "term string, valence double")
+    monkeypatch.setattr(features, "INLINE_WORD_LIMIT", 10)
+    stems = sorted(map(str, normalization.stem_texts(df).collect()))
+    opinions = sorted(map(str, features.opinion_words(df, lexicon).collect()))
+    monkeypatch.setattr(lookup, "is_small", lambda *_: False)
+    monkeypatch.setattr(lookup, "salts_for", lambda rows: pytest.fail("the rows were counted"))
+    assert sorted(map(str, normalization.stem_texts(df).collect())) == stems
+    assert sorted(map(str, features.opinion_words(df, lexicon).collect())) == opinions
+    positive = sum((i % 7) > 3 for i in range(400))
+    assert sum(f"positive_word_count={positive}" in r for r in opinions) == 2
+    assert any("text='relat cat'" in r for r in stems) or any("relational cats" in r for r in stems)
